@@ -26,7 +26,7 @@ def page_options(pages: str) -> dict[str, str]:
 def _read_pages(spark: SparkSession, path: str, pages: str) -> DataFrame:
     if not list_files(spark, path):
         raise FeedError(f"JSON feed not found: {path}")
-    return json_items(spark.read.options(**page_options(pages)).text(path))
+    return json_items(spark.read.options(**page_options(pages)).format("text").load(path))
 
 
 def json_items(pages: DataFrame) -> DataFrame:
@@ -36,11 +36,11 @@ def json_items(pages: DataFrame) -> DataFrame:
         F.concat(F.lit("Unexpected response format, not a JSON array: "), F.col("_metadata.file_path"))
     )
     line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    arrays = pages.select(
-        "value", arrival_column(line, F.col("_metadata.file_block_start")).alias("page"), "_metadata"
-    ).where(F.trim("value") != "")
-    items = arrays.select(
-        F.coalesce(elements, wrong_shape.cast("array<string>")).alias("elements"), "page"
+    # A condition, not a filter: filters may be evaluated after the error.
+    blank = F.trim("value") == ""
+    checked = F.when(~blank, F.coalesce(elements, wrong_shape.cast("array<string>")))
+    items = pages.select(
+        arrival_column(line, F.col("_metadata.file_block_start")).alias("page"), checked.alias("elements")
     ).select("page", F.posexplode("elements").alias("position", "payload"))
     return items.select(
         "payload",
