@@ -65,13 +65,18 @@ class Resolution:
         return records.join(self.keys, ["source", "symbol"], "left")
 
 
-def coins_by_symbol(coins: DataFrame) -> DataFrame:
-    """symbol -> coin_id. Reading the id of a symbol that several coins share is an error."""
-    grouped = coins.groupBy("symbol").agg(F.min("coin_id").alias("_id"), F.count("*").alias("_n"))
-    ambiguous = F.raise_error(F.concat(F.lit("several coins have the symbol "), F.col("symbol")))
-    return grouped.select(
-        "symbol", F.when(F.col("_n") > 1, ambiguous.cast("long")).otherwise(F.col("_id")).alias("coin_id")
+def _join_coin(rows: DataFrame, lookup: Column, coins: DataFrame, out: str) -> DataFrame:
+    """Add the id of the coin whose symbol equals ``lookup``.
+
+    A row that finds a symbol which several coins share is an error.
+    """
+    by_symbol = coins.groupBy(F.col("symbol").alias("_symbol")).agg(
+        F.min("coin_id").alias("_id"), F.count("*").alias("_n")
     )
+    ambiguous = F.raise_error(F.concat(F.lit("several coins have the symbol "), F.col("_symbol")))
+    joined = rows.withColumn("_lookup", lookup).join(by_symbol, F.col("_lookup") == F.col("_symbol"), "left")
+    found = F.when(F.col("_lookup").isNotNull() & (F.col("_n") > 1), ambiguous.cast("long"))
+    return joined.withColumn(out, found.otherwise(F.col("_id"))).drop("_lookup", "_symbol", "_id", "_n")
 
 
 def _max_id(coins: DataFrame) -> int:
@@ -120,15 +125,8 @@ def resolve_entities(
     )
     looked_up = firsts.select("source", "sid", "_row.*").join(mapped, ["source", "sid"], "left")
     # Only unmapped rows look up their symbol, so that a shared symbol fails only where it is used.
-    by_symbol = coins_by_symbol(coins).withColumnRenamed("coin_id", "symbol_id")
-    lookup_symbol = F.when(F.col("mapped_id").isNull(), F.col("symbol"))
-    looked_up = looked_up.withColumn("_lookup", lookup_symbol)
-    known = materialize(
-        looked_up.join(
-            by_symbol.withColumnRenamed("symbol", "_lookup"), "_lookup", "left"
-        ).drop("_lookup"),
-        "entity_lookup",
-    )
+    lookup = F.when(F.col("mapped_id").isNull(), F.col("symbol"))
+    known = materialize(_join_coin(looked_up, lookup, coins, "symbol_id"), "entity_lookup")
 
     missing = known.where("mapped_id IS NULL AND symbol_id IS NULL")
     creators = missing.groupBy("symbol").agg(
@@ -201,7 +199,5 @@ def resolve_by_symbol(
 
 
 def lookup_coin_ids(records: DataFrame, coins: DataFrame) -> DataFrame:
-    """coin_id per record by symbol, null when unknown; creates nothing."""
-    symbols = coins_by_symbol(coins).withColumnRenamed("symbol", "_symbol")
-    key = F.upper(F.col("symbol"))
-    return records.join(symbols, key == F.col("_symbol"), "left").drop("_symbol")
+    """coin_id per record by upper-cased symbol, null when unknown; creates nothing."""
+    return _join_coin(records, F.upper(F.col("symbol")), coins, "coin_id")

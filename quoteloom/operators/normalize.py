@@ -26,7 +26,7 @@ CSV_COLUMNS = {
 }
 
 # Columns of a normalized frame. raw_id and raw_symbol are the feed's own identifiers, before
-# cleaning; arrival orders the rows.
+# cleaning; arrival orders the rows. A ``raw`` column of the input is passed through.
 NORMALIZED = [
     "source",
     "source_id",
@@ -126,6 +126,7 @@ def _finish(
         "payload",
         "arrival",
         reason.alias("reject_reason"),
+        *(["raw"] if "raw" in staged.columns else []),
     )
 
 
@@ -142,7 +143,8 @@ def normalize_csv(raw: DataFrame, source: str | Column = "csv", run_ts: datetime
     A missing symbol column means "UNKNOWN", a missing time column means now; an empty or unreadable
     time rejects the row, an unreadable number becomes null.
     """
-    chosen = renamed_columns([c for c in raw.columns if c not in ("arrival", "feed_source")])
+    kept = [c for c in ("feed_source", "raw") if c in raw.columns]
+    chosen = renamed_columns([c for c in raw.columns if c not in ("arrival", *kept)])
 
     def text(name: str) -> Column:
         return F.col(f"`{chosen[name]}`") if name in chosen else F.lit(None).cast("string")
@@ -153,7 +155,7 @@ def normalize_csv(raw: DataFrame, source: str | Column = "csv", run_ts: datetime
         {"ignoreNullFields": "false"},
     )
     staged = raw.select(
-        *(["feed_source"] if "feed_source" in raw.columns else []),
+        *kept,
         F.coalesce(F.nullif(text("id"), F.lit("")), raw_symbol).alias("source_id"),
         F.coalesce(F.nullif(text("name"), F.lit("")), raw_symbol).alias("name"),
         clean_symbol(raw_symbol).alias("symbol"),

@@ -86,10 +86,10 @@ def checkpoint_of(store: Store, source: str, literal: bool = False) -> datetime
     return row["checkpoint"].replace(tzinfo=timezone.utc) if row and row["checkpoint"] else None
 
 
-def _drift_rows(spec: FeedSpec, raw: DataFrame, run_ts: datetime) -> DataFrame:
+def _drift_rows(spec: FeedSpec, rows: DataFrame, run_ts: datetime) -> DataFrame:
     if spec.columnar:
-        return drift.detect(raw.drop("arrival"), spec.expected_columns, run_ts)
-    return drift.detect_json(raw, spec.expected_columns, run_ts)
+        return drift.detect(rows.select("raw.*"), spec.expected_columns, run_ts)
+    return drift.detect_json(rows, spec.expected_columns, run_ts)
 
 
 def load_batch(
@@ -111,9 +111,9 @@ def load_batch(
     now: Column = F.lit(run_ts).cast("timestamp")
     scratch = scratch_path(spark, f"run-{job_id}")
 
-    raw = materialize(raw.drop("item"), "raw", f"{scratch}/raw")
-    reading = raw if spec.columnar else raw.withColumn("item", F.try_parse_json("payload"))
-    rows = materialize(spec.normalize(reading, source, now), "rows", f"{scratch}/rows")
+    if spec.columnar:  # the drift check needs the feed's own columns
+        raw = raw.withColumn("raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != "arrival"]))
+    rows = materialize(spec.normalize(raw, source, now), "rows", f"{scratch}/rows")
     good = normalize.accepted(rows)
     totals = rows.agg(
         F.count("*").alias("read"),
@@ -127,7 +127,7 @@ def load_batch(
         return RunResult(job_id, source, SUCCESS, 0, totals["read"], totals["read"], 0, None)
 
     try:
-        found = _drift_rows(spec, raw, run_ts)
+        found = _drift_rows(spec, rows, run_ts)
         store.append("drift_log", found.withColumns({"source": F.lit(source), "job_id": F.lit(job_id)}))
     except Exception as problem:  # a failed drift check never stops a run
         log.warning("%s: drift check failed: %s", source, problem)
@@ -141,13 +141,9 @@ def load_batch(
     resolution = identity.resolve_entities(
         good, coins, store.read("mappings"), rows, use_record_source_id, run_ts=now
     )
-    new_coins = materialize(resolution.new_coins, "new_coins", f"{scratch}/new_coins")
-    quality.assert_unique(
-        coins.select("slug").unionByName(new_coins.select("slug")), ["slug"], "coin slug"
-    )
-    new_mappings = materialize(resolution.new_mappings, "new_mappings", f"{scratch}/new_mappings")
-    store.append("coins", new_coins)
-    store.append("mappings", new_mappings)
+    quality.assert_insertable(resolution.new_coins, coins, ["slug"], "coin slug")
+    store.append("coins", resolution.new_coins)
+    store.append("mappings", resolution.new_mappings)
 
     quotes = resolution.attach(good).select(
         *QUOTE_KEY, "symbol", "price_usd", "market_cap", "volume_24h", "arrival"

@@ -22,6 +22,10 @@ ADAPTIVE = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# PySpark records the Python call site of every column expression for its error messages; building
+# the plans here takes several times as long with it.
+PLANNING = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a running session; memory and parallelism stay the cluster's."""
@@ -35,7 +39,7 @@ def build_session(app_name: str = "quoteloom", master: str | None = None, **conf
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED, **ADAPTIVE}.items():
+    for key, value in {**REQUIRED, **ADAPTIVE, **PLANNING}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -18,8 +18,8 @@ class FeedSpec:
 
     ``read(spark, path)`` returns raw rows with an orderable ``arrival`` column; ``newer(raw,
     checkpoint)`` drops rows already seen; ``normalize(raw, source, run_ts)`` returns the columns of
-    ``operators.normalize.NORMALIZED``. ``expected_columns`` feeds the drift check, which runs over
-    ``profile(raw)``: either a frame of top-level columns or a JSON ``payload`` column.
+    ``operators.normalize.NORMALIZED``. ``expected_columns`` feeds the drift check; ``columnar`` says
+    whether it looks at the columns of the raw rows or at the keys of their JSON ``payload``.
     """
 
     read: Callable[[SparkSession, str], DataFrame]

@@ -64,13 +64,13 @@ def stream_json(
     reader = store.spark.readStream.options(**page_options(pages)).format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = json_items(reader.load(landing)).drop("item")
+    pages_read = reader.load(landing).select("value", "_metadata")
     load = _load(store, source, drop_late, run_ts)
 
     def batch(part: DataFrame, batch_id: int) -> None:
-        load(part.withColumn("item", F.try_parse_json("payload")), batch_id)
+        load(json_items(part), batch_id)
 
-    writer = rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    writer = pages_read.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
 
 
@@ -99,13 +99,16 @@ def stream_csv(
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = reader.load(landing).select(
-        *[F.col(f"`{name}`") for name in schema.fieldNames()],
-        arrival_column(position, F.col("_metadata.file_block_start")).alias("arrival"),
-    )
-    writer = rows.writeStream.foreachBatch(_load(store, source, drop_late, run_ts))
-    return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
+    rows = reader.load(landing).select("*", "_metadata")
+    load = _load(store, source, drop_late, run_ts)
+
+    def batch(part: DataFrame, batch_id: int) -> None:
+        position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        arrival = arrival_column(position, F.col("_metadata.file_block_start"))
+        load(part.withColumn("arrival", arrival).drop("_metadata"), batch_id)
+
+    writer = rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return _trigger(writer, interval).start()
 
 
 def stream_table(
