@@ -6,22 +6,23 @@ from pyspark.sql import types as T
 
 from .text import strip_spaces
 
-# Python's float grammar: single underscores between digits are allowed, type suffixes are not
-# (a plain cast would read "5d" as 5.0).
+# Python's float grammar. Plain numbers with ASCII spaces around them go straight to the cast (which
+# alone would also read "5d"); underscores, other white space, infinity and NaN take the second way.
+PLAIN_NUMBER = r"^[ \t\n\x0B\f\r]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[ \t\n\x0B\f\r]*$"
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
-FLOAT_TEXT = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
-INFINITE_TEXT = r"^(?i)[+-]?inf(?:inity)?$"
-NAN_TEXT = r"^(?i)[+-]?nan$"
+OTHER_NUMBER = (
+    rf"^(?i)[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?(?:e[+-]?{_DIGITS})?|\.{_DIGITS}(?:e[+-]?{_DIGITS})?"
+    r"|inf(?:inity)?|nan)$"
+)
 
 
 def coerce_number(value: Column) -> Column:
     """Text to double; null for null, empty, "N/A" and anything that is not a number."""
     text = strip_spaces(value)
-    return (
-        F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(text.rlike(INFINITE_TEXT), text.try_cast("double"))
-        .when(text.rlike(NAN_TEXT), F.lit(float("nan")))
+    other = F.when(F.lower(text).endswith("nan"), F.lit(float("nan"))).otherwise(
+        F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     )
+    return F.when(value.rlike(PLAIN_NUMBER), value.try_cast("double")).when(text.rlike(OTHER_NUMBER), other)
 
 
 def to_decimal(number: Column, kind: T.DecimalType) -> Column:

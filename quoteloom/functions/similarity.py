@@ -25,7 +25,11 @@ def feasible_lengths(names: Iterable[str], cutoff: float) -> list[int]:
 
 
 def fuzzy_alias_udf(aliases: Mapping[str, str], cutoff: float):
-    """Arrow UDF from a token to the symbol of its closest alias, else null."""
+    """Arrow UDF from a token to the symbol of its closest alias, else null.
+
+    Marked nondeterministic so that a filter on its result is not pushed below the ``distinct`` that
+    keeps it off the fact rows.
+    """
     names = list(aliases)
     symbols = dict(aliases)
 
@@ -37,4 +41,4 @@ def fuzzy_alias_udf(aliases: Mapping[str, str], cutoff: float):
 
         return tokens.map(lookup)
 
-    return closest
+    return closest.asNondeterministic()

@@ -49,60 +49,94 @@ def variant_text(column: str, *keys: str) -> Column:
     return F.try_variant_get(F.col(column), "$" + "".join(f".{key}" for key in keys), "string")
 
 
-def _kind(column: str, *keys: str) -> Column:
-    """JSON type of a field: null when absent, VOID for a JSON null."""
-    path = "$" + "".join(f".{key}" for key in keys)
-    return F.regexp_replace(F.schema_of_variant(F.try_variant_get(F.col(column), path, "variant")), r"[(<].*", "")
+def computed_once(df: DataFrame) -> DataFrame:
+    """Compute the columns of ``df`` once per row.
+
+    Catalyst would copy their expressions into every filter and expression that uses them; it does
+    not do so across a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
+def _fields(raw: DataFrame, **paths: tuple[str, ...]) -> DataFrame:
+    """Text ``<name>`` and JSON type ``<name>_kind`` of each path of the VARIANT column ``item``.
+
+    The type is null for an absent field and VOID for a JSON null.
+    """
+    columns = []
+    for name, keys in paths.items():
+        value = F.try_variant_get("item", "$" + "".join(f".{key}" for key in keys), "variant")
+        columns.append(variant_text("item", *keys).alias(name))
+        columns.append(F.schema_of_variant(value).alias(f"{name}_kind"))
+    return computed_once(raw.select("payload", "arrival", *columns))
 
 
-def _absent(kind: Column) -> Column:
+def _absent(name: str) -> Column:
+    kind = F.col(f"{name}_kind")
     return kind.isNull() | (kind == "VOID")
 
 
-_NUMBER_KINDS = ("BIGINT", "DOUBLE", "DECIMAL", "FLOAT", "BOOLEAN")
+def _is(name: str, kind: str) -> Column:
+    return F.col(f"{name}_kind") == kind
 
 
-def _lenient_number(column: str, *keys: str) -> Column:
+def _is_object(name: str) -> Column:
+    return F.col(f"{name}_kind").startswith("OBJECT")
+
+
+def _is_number(name: str) -> Column:
+    return F.col(f"{name}_kind").rlike("^(?:BIGINT|DECIMAL|DOUBLE|FLOAT)")
+
+
+def _lenient_number(name: str) -> Column:
     """Number, boolean or numeric text to double; everything else is null."""
-    path = "$" + "".join(f".{key}" for key in keys)
-    number = F.try_variant_get(F.col(column), path, "double")
-    kind = _kind(column, *keys)
-    return F.when(kind.isin(*_NUMBER_KINDS), number).when(
-        kind == "STRING", coerce_number(variant_text(column, *keys))
+    return (
+        F.when(_is_number(name), F.col(name).try_cast("double"))
+        .when(_is(name, "STRING"), coerce_number(F.col(name)))
+        .when(_is(name, "BOOLEAN"), F.col(name).try_cast("boolean").cast("double"))
     )
 
 
-def _strict_number_ok(column: str, key: str) -> Column:
+def _strict_number_ok(name: str) -> Column:
     """A strict numeric field accepts null, numbers and numeric text, but no "N/A" or other text."""
-    kind = _kind(column, key)
-    return _absent(kind) | kind.isin(*_NUMBER_KINDS) | (
-        (kind == "STRING") & coerce_number(variant_text(column, key)).isNotNull()
-    )
+    return _absent(name) | _lenient_number(name).isNotNull()
 
 
-def _optional_text_ok(column: str, key: str) -> Column:
-    kind = _kind(column, key)
-    return _absent(kind) | (kind == "STRING")
+def _optional_text_ok(name: str) -> Column:
+    return _absent(name) | _is(name, "STRING")
 
 
 def _first_reason(*checks: tuple[str, Column]) -> Column:
     """The first reason whose condition is not true; null for a valid row."""
-    return F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(reason)) for reason, ok in checks])
+    reasons = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(reason)) for reason, ok in checks]
+    return F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
 
 
 def _finish(
-    staged: DataFrame, source: str | Column, run_ts: datetime | Column | None, time_missing: Column, *checks: tuple[str, Column]
+    fields: DataFrame,
+    source: str | Column,
+    run_ts: datetime | Column | None,
+    time_text: Column,
+    time_missing: Column,
+    columns: dict[str, Column],
+    checks: list[tuple[str, Column]],
 ) -> DataFrame:
     """Shared tail: default time, decimals, and the checks that hold for every feed.
 
-    ``staged`` has text ``time_text`` and double ``price``, ``cap`` and ``volume`` columns.
+    ``columns`` has source_id, name, symbol, raw_id, raw_symbol and the doubles price, cap, volume.
     """
     now = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp")
-    timed = staged.withColumn(
-        "timestamp", F.when(time_missing, now).otherwise(parse_timestamp(F.col("time_text")))
+    kept = [c for c in ("payload", "arrival", "raw") if c in fields.columns and c not in columns]
+    parsed = computed_once(
+        fields.select(
+            (source if isinstance(source, Column) else F.lit(source)).alias("source"),
+            *[column.alias(name) for name, column in columns.items()],
+            F.when(time_missing, now).otherwise(parse_timestamp(time_text)).alias("timestamp"),
+            *kept,
+            _first_reason(*checks).alias("feed_reason"),
+        )
     )
     reason = _first_reason(
-        *checks,
         ("bad_timestamp", F.col("timestamp").isNotNull()),
         ("symbol_too_long", F.length("symbol") <= MAX_SYMBOL_LENGTH),
         (
@@ -112,8 +146,8 @@ def _finish(
             & fits_decimal(F.col("volume"), AMOUNT),
         ),
     )
-    return timed.select(
-        (source if isinstance(source, Column) else F.lit(source)).alias("source"),
+    return parsed.select(
+        "source",
         "source_id",
         "name",
         "symbol",
@@ -125,8 +159,8 @@ def _finish(
         "raw_symbol",
         "payload",
         "arrival",
-        reason.alias("reject_reason"),
-        *(["raw"] if "raw" in staged.columns else []),
+        F.coalesce("feed_reason", reason).alias("reject_reason"),
+        *(["raw"] if "raw" in parsed.columns else []),
     )
 
 
@@ -154,80 +188,72 @@ def normalize_csv(raw: DataFrame, source: str | Column = "csv", run_ts: datetime
         F.struct(*[F.col(f"`{feed}`").alias(name) for name, feed in chosen.items()]),
         {"ignoreNullFields": "false"},
     )
-    staged = raw.select(
-        *kept,
-        F.coalesce(F.nullif(text("id"), F.lit("")), raw_symbol).alias("source_id"),
-        F.coalesce(F.nullif(text("name"), F.lit("")), raw_symbol).alias("name"),
-        clean_symbol(raw_symbol).alias("symbol"),
-        coerce_number(text("price_usd")).alias("price"),
-        coerce_number(text("market_cap")).alias("cap"),
-        coerce_number(text("volume_24h")).alias("volume"),
-        text("timestamp").alias("time_text"),
-        (text("symbol") if "symbol" in chosen else F.lit(None).cast("string")).alias("raw_id"),
-        (text("symbol") if "symbol" in chosen else F.lit(None).cast("string")).alias("raw_symbol"),
-        payload.alias("payload"),
-        "arrival",
-    )
-    return _finish(staged, source, run_ts, F.lit("timestamp" not in chosen))
+    columns = {
+        "source_id": first_filled(text("id"), raw_symbol),
+        "name": first_filled(text("name"), raw_symbol),
+        "symbol": clean_symbol(raw_symbol),
+        "price": coerce_number(text("price_usd")),
+        "cap": coerce_number(text("market_cap")),
+        "volume": coerce_number(text("volume_24h")),
+        "raw_id": text("symbol"),
+        "raw_symbol": text("symbol"),
+        "payload": payload,
+    }
+    no_time = F.lit("timestamp" not in chosen)
+    return _finish(raw, source, run_ts, text("timestamp"), no_time, columns, [])
+
+
+def _json_columns() -> dict[str, Column]:
+    return {
+        "source_id": F.col("id"),
+        "name": F.col("name"),
+        "symbol": clean_symbol(F.col("symbol")),
+        "price": _lenient_number("price"),
+        "cap": _lenient_number("cap"),
+        "volume": _lenient_number("volume"),
+        "raw_id": F.col("id"),
+        "raw_symbol": F.col("symbol"),
+    }
+
+
+def _time_missing() -> Column:
+    return F.coalesce(F.col("updated"), F.lit("")) == ""
 
 
 def normalize_markets(raw: DataFrame, source: str = "coingecko", run_ts: datetime | Column | None = None) -> DataFrame:
     """Markets feed rows to normalized quotes; numbers are strict, so "N/A" rejects the row."""
-    fields = (("price", "current_price"), ("cap", "market_cap"), ("volume", "total_volume"))
-    staged = raw.select(
-        variant_text("item", "id").alias("source_id"),
-        variant_text("item", "name").alias("name"),
-        clean_symbol(variant_text("item", "symbol")).alias("symbol"),
-        *[_lenient_number("item", key).alias(name) for name, key in fields],
-        variant_text("item", "last_updated").alias("time_text"),
-        variant_text("item", "id").alias("raw_id"),
-        variant_text("item", "symbol").alias("raw_symbol"),
-        "payload",
-        "arrival",
-        "item",
-    )
-    return _finish(
-        staged,
-        source,
-        run_ts,
-        F.coalesce(F.col("time_text"), F.lit("")) == "",
-        ("bad_id", _kind("item", "id") == "STRING"),
-        ("bad_symbol", _kind("item", "symbol") == "STRING"),
-        ("bad_name", _optional_text_ok("item", "name")),
-        *[("bad_number", _strict_number_ok("item", key)) for _, key in fields],
-        ("bad_timestamp", _optional_text_ok("item", "last_updated")),
-    )
+    fields = _fields(
+        raw, id=("id",), symbol=("symbol",), name=("name",), price=("current_price",), cap=("market_cap",),
+        volume=("total_volume",), updated=("last_updated",),
+    )
+    checks = [
+        ("bad_id", _is("id", "STRING")),
+        ("bad_symbol", _is("symbol", "STRING")),
+        ("bad_name", _optional_text_ok("name")),
+        *[("bad_number", _strict_number_ok(name)) for name in ("price", "cap", "volume")],
+        ("bad_timestamp", _optional_text_ok("updated")),
+    ]
+    return _finish(fields, source, run_ts, F.col("updated"), _time_missing(), _json_columns(), checks)
 
 
 def normalize_tickers(raw: DataFrame, source: str = "coinpaprika", run_ts: datetime | Column | None = None) -> DataFrame:
     """Tickers feed rows to normalized quotes; prices come from ``quotes.USD`` and may be absent."""
-    fields = (("price", "price"), ("cap", "market_cap"), ("volume", "volume_24h"))
-    staged = raw.select(
-        variant_text("item", "id").alias("source_id"),
-        variant_text("item", "name").alias("name"),
-        clean_symbol(variant_text("item", "symbol")).alias("symbol"),
-        *[_lenient_number("item", "quotes", "USD", key).alias(name) for name, key in fields],
-        variant_text("item", "last_updated").alias("time_text"),
-        variant_text("item", "id").alias("raw_id"),
-        variant_text("item", "symbol").alias("raw_symbol"),
-        "payload",
-        "arrival",
-        "item",
-    )
-    quotes, usd, rank = _kind("item", "quotes"), _kind("item", "quotes", "USD"), _kind("item", "rank")
-    rank_number = _lenient_number("item", "rank")
-    return _finish(
-        staged,
-        source,
-        run_ts,
-        F.coalesce(F.col("time_text"), F.lit("")) == "",
-        ("bad_id", _kind("item", "id") == "STRING"),
-        ("bad_name", _kind("item", "name") == "STRING"),
-        ("bad_symbol", _kind("item", "symbol") == "STRING"),
-        ("bad_rank", _absent(rank) | (rank_number == F.floor(rank_number))),
-        ("bad_quotes", quotes.isNull() | ((quotes == "OBJECT") & (usd.isNull() | (usd == "OBJECT")))),
-        ("bad_timestamp", _optional_text_ok("item", "last_updated")),
-    )
+    usd = ("quotes", "USD")
+    fields = _fields(
+        raw, id=("id",), symbol=("symbol",), name=("name",), rank=("rank",), quotes=("quotes",), usd=usd,
+        price=(*usd, "price"), cap=(*usd, "market_cap"), volume=(*usd, "volume_24h"), updated=("last_updated",),
+    )
+    rank = _lenient_number("rank")
+    no_usd = F.col("usd_kind").isNull()
+    checks = [
+        ("bad_id", _is("id", "STRING")),
+        ("bad_name", _is("name", "STRING")),
+        ("bad_symbol", _is("symbol", "STRING")),
+        ("bad_rank", _absent("rank") | (rank == F.floor(rank))),
+        ("bad_quotes", F.col("quotes_kind").isNull() | (_is_object("quotes") & (no_usd | _is_object("usd")))),
+        ("bad_timestamp", _optional_text_ok("updated")),
+    ]
+    return _finish(fields, source, run_ts, F.col("updated"), _time_missing(), _json_columns(), checks)
 
 
 def accepted(normalized: DataFrame) -> DataFrame:

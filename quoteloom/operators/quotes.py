@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..schemas import PRICE
 
 DEFAULT_PAGE, MAX_PAGE = 50, 500
+DIRECT_ROWS = 5_000
 
 
 def filter_quotes(
@@ -42,15 +43,56 @@ def filter_quotes(
 
 
 def page(quotes: DataFrame, tie_break: list[str], limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:
-    """Newest first. Planned as a top-k, so each task keeps at most offset + limit rows."""
+    """Newest first. Planned as a top-k, so each task keeps at most offset + limit rows.
+
+    A deep offset is first narrowed to the time range that holds the page, by counting rows per day,
+    hour, minute and second, so that the top-k stays small however deep the page lies.
+    """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
     if offset < 0:
         raise ValueError("offset must not be negative")
+    for unit in ("day", "hour", "minute", "second"):
+        if offset + limit <= DIRECT_ROWS:
+            break
+        quotes, offset = _narrow(quotes, unit, offset, limit)
     ordered = quotes.orderBy(F.col("timestamp").desc_nulls_first(), *tie_break)
     return ordered.offset(offset).limit(limit) if offset else ordered.limit(limit)
 
 
+def _narrow(quotes: DataFrame, unit: str, offset: int, limit: int) -> tuple[DataFrame, int]:
+    """The rows of the time units that hold the page, and the offset within them.
+
+    One count per unit reaches the driver: all days at first, then only the parts of the units found
+    one level above.
+    """
+    start = F.date_trunc(unit, F.col("timestamp"))
+    counts = quotes.groupBy(start.alias("unit")).count().orderBy(F.col("unit").desc_nulls_first()).collect()
+    skipped, chosen, held = 0, [], 0
+    for begin, rows in counts:
+        if not chosen and skipped + rows <= offset:
+            skipped += rows
+            continue
+        chosen.append(begin)
+        held += rows
+        if skipped + held >= offset + limit:
+            break
+    if not chosen:
+        return quotes.limit(0), 0
+    kind = quotes.schema["timestamp"].dataType
+    times = [begin for begin in chosen if begin is not None]
+    wanted = F.col("timestamp").isNull() if None in chosen else F.lit(False)
+    if times:
+        low = F.lit(min(times)).cast(kind)
+        high = F.lit(max(times)).cast(kind) + F.expr(f"INTERVAL 1 {unit}")
+        within = (F.col("timestamp") >= low) & (F.col("timestamp") < high)
+        if "event_date" in quotes.columns:
+            dates = F.col("event_date").between(F.to_date(low), F.to_date(F.lit(max(times)).cast(kind)))
+            within = within & dates
+        wanted = (wanted | within) if None in chosen else within
+    return quotes.where(wanted), offset - skipped
+
+
 def count_quotes(quotes: DataFrame, **filters) -> DataFrame:
     return filter_quotes(quotes, **filters).agg(F.count("*").alias("total"))
 

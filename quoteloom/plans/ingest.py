@@ -16,7 +16,7 @@ from ..schemas import COINS, FAILURE, LEDGER, QUOTE_KEY, RUNNING, SUCCESS
 from ..session import tune
 from ..sources.registry import FeedSpec, get_source
 from ..sources.store import Store, raw_rows, with_event_date
-from ..workspace import materialize, remove_path, scratch_path
+from ..workspace import materialize, scratch_scope
 
 log = logging.getLogger(__name__)
 
@@ -107,13 +107,17 @@ def load_batch(
     they need. New coins and mappings come before the quotes that use them, the quotes before the
     ledger row that commits the run.
     """
-    spark = store.spark
-    now: Column = F.lit(run_ts).cast("timestamp")
-    scratch = scratch_path(spark, f"run-{job_id}")
+    with scratch_scope(store.spark, f"run-{job_id}"):
+        return _load(store, source, raw, spec, job_id, run_ts, use_record_source_id)
+
 
+def _load(
+    store: Store, source: str, raw: DataFrame, spec: FeedSpec, job_id: int, run_ts: datetime, use_record_source_id: bool
+) -> RunResult:
+    now: Column = F.lit(run_ts).cast("timestamp")
     if spec.columnar:  # the drift check needs the feed's own columns
         raw = raw.withColumn("raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != "arrival"]))
-    rows = materialize(spec.normalize(raw, source, now), "rows", f"{scratch}/rows")
+    rows = materialize(spec.normalize(raw, source, now), "rows")
     good = normalize.accepted(rows)
     totals = rows.agg(
         F.count("*").alias("read"),
@@ -123,7 +127,6 @@ def load_batch(
     if totals["good"] == 0:
         if totals["read"]:
             _quarantine(store, rows, job_id, now)
-        remove_path(spark, scratch)
         return RunResult(job_id, source, SUCCESS, 0, totals["read"], totals["read"], 0, None)
 
     try:
@@ -149,11 +152,10 @@ def load_batch(
         *QUOTE_KEY, "symbol", "price_usd", "market_cap", "volume_24h", "arrival"
     )
     batch = merge.last_per_key(quotes, QUOTE_KEY).drop("arrival").withColumn("ingested_at", now)
-    batch = materialize(with_event_date(batch), "batch", f"{scratch}/batch")
+    batch = materialize(with_event_date(batch), "batch")
     affected = batch.count()
     staged = store.stage_quotes(batch, job_id)
     store.publish_quotes(staged)
-    remove_path(spark, scratch)
     checkpoint = totals["checkpoint"].replace(tzinfo=timezone.utc)
     return RunResult(
         job_id, source, SUCCESS, affected, totals["read"], totals["read"] - totals["good"],

@@ -61,6 +61,15 @@ def list_quotes(spark, sf_dir):
     return _listed(q.page(rows, ["event_id"], limit=50, offset=20))
 
 
+@query(
+    "list_quotes_deep",
+    f"""WITH {b.QUOTES_SQL}
+SELECT {_LIST} FROM quotes ORDER BY "timestamp" DESC, event_id LIMIT 500 OFFSET 6000""",
+)
+def list_quotes_deep(spark, sf_dir):
+    return _listed(q.page(b.quotes(spark, sf_dir), ["event_id"], limit=500, offset=6000))
+
+
 @query(
     "list_quotes_range",
     f"""WITH {b.QUOTES_SQL}

@@ -123,6 +123,9 @@ class Store:
                 remove_path(self.spark, staged)
         return published
 
+    def clear_drift_log(self) -> None:
+        remove_path(self.spark, self.path("drift_log"))
+
     def compact(self, table: str) -> None:
         """Rewrite an append-only, unpartitioned table (one small file per run) into few files."""
         if table in PARTITIONS:

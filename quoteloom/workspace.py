@@ -10,11 +10,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
@@ -27,12 +32,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/quoteloom/{uuid.uuid4().hex}/{label}"
+    """A new path: in the current scope, else in the application's own folder, which can go once the
+    application has ended."""
+    base = _scope.get() or f"{shared_folder(spark)}/quoteloom-{spark.sparkContext.applicationId}"
+    return f"{base}/{uuid.uuid4().hex}/{label}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, label: str) -> Iterator[str]:
+    """Scratch tables written inside are deleted at the end; frames that read them must be done."""
+    path = scratch_path(spark, label)
+    token = _scope.set(path)
+    try:
+        yield path
+    finally:
+        _scope.reset(token)
+        remove_path(spark, path)
 
 
-def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet and return the written table."""
-    path = path or scratch_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

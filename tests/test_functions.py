@@ -174,3 +174,10 @@ def test_feasible_lengths_never_exclude_a_match():
 def test_zone_is_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert datetime.now(timezone.utc).tzinfo is not None
+
+
+def test_similarity_runs_on_distinct_tokens_only(spark):
+    df = spark.range(1000).select(F.lit("bitcion").alias("w"))
+    plan = aliases.canonical_tokens(df, "w")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.index("ArrowEvalPython") < plan.index("HashAggregate")

@@ -3,6 +3,7 @@ import statistics
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 from model import upsert
 
@@ -125,6 +126,20 @@ def test_symbol_stats_and_overview(spark):
             quotes.page(frame, ["symbol"], **bad)
 
 
+@pytest.mark.parametrize("offset", [0, 3, 40, 41, 75, 98, 140, 200])
+def test_deep_pages_equal_direct_pages(spark, monkeypatch, offset):
+    import random
+
+    rng = random.Random(offset)
+    times = [rng.choice([None, T0, T0 + timedelta(seconds=rng.randint(0, 200_000)), T0 + timedelta(days=3)]) for _ in range(150)]
+    frame = spark.createDataFrame(list(enumerate(times)), "k int, timestamp timestamp").repartition(4)
+    frame = frame.withColumn("event_date", F.to_date("timestamp")) if offset % 2 else frame
+    newest_first = sorted(range(150), key=lambda i: (times[i] is not None, -times[i].timestamp() if times[i] else 0, i))
+    monkeypatch.setattr(quotes, "DIRECT_ROWS", 10)
+    got = [r["k"] for r in quotes.page(frame, ["k"], 20, offset).collect()]
+    assert got == newest_first[offset : offset + 20]
+
+
 def test_upsert_matches_the_model(spark):
     import random
 
