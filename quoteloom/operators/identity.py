@@ -44,12 +44,18 @@ def attach_source_ids(records: DataFrame, id_map: DataFrame) -> DataFrame:
 
 @dataclass
 class Resolution:
-    """``keys`` maps (source, symbol[, source_id]) to coin_id; the others are rows to append."""
+    """``keys`` maps (source, symbol[, source_id]) to coin_id; the others are rows to append.
+
+    ``links`` is false when every id was mapped already, ``creates`` when no coin is new; the frames
+    are empty then.
+    """
 
     all_keys: DataFrame
     new_coins: DataFrame
     new_mappings: DataFrame
     key_columns: tuple[str, ...]
+    links: bool
+    creates: bool
 
     @cached_property
     def keys(self) -> DataFrame:
@@ -128,13 +134,17 @@ def resolve_entities(
     lookup = F.when(F.col("mapped_id").isNull(), F.col("symbol"))
     known = materialize(_join_coin(looked_up, lookup, coins, "symbol_id"), "entity_lookup")
 
+    # In the steady state nothing is new, and the steps below are left out.
+    links = not known.where("mapped_id IS NULL").limit(1).isEmpty()
     missing = known.where("mapped_id IS NULL AND symbol_id IS NULL")
+    creates = links and not missing.limit(1).isEmpty()
     creators = missing.groupBy("symbol").agg(
         F.min_by(F.struct("source", "sid", "name", "arrival"), "arrival").alias("_row")
-    )
-    created = with_dense_ids(
-        creators.select("symbol", "_row.*"), ["arrival"], "coin_id", _max_id(coins)
-    )
+    ).select("symbol", "_row.*")
+    if creates:
+        created = with_dense_ids(creators, ["arrival"], "coin_id", _max_id(coins))
+    else:
+        created = creators.limit(0).withColumn("coin_id", F.lit(0).cast("long"))
     coin_name = first_filled(F.col("name"), F.col("symbol"))
     created = created.withColumn("name", coin_name)
     now = run_ts if run_ts is not None else F.lit(None).cast("timestamp")
@@ -175,7 +185,7 @@ def resolve_entities(
         resolved.select("source", "sid", "coin_id"), ["source", "sid"], "left"
     )
     by_key = by_key.withColumnRenamed("sid", "source_id").select(*key_columns, "coin_id")
-    return Resolution(by_key, new_coins, new_mappings, key_columns)
+    return Resolution(by_key, new_coins, new_mappings, key_columns, links, creates)
 
 
 def resolve_by_symbol(
@@ -194,7 +204,12 @@ def resolve_by_symbol(
         mappings.select("source", "source_id"), ["source", "source_id"], "left_anti"
     )
     return Resolution(
-        found.all_keys, found.new_coins, fresh.select(*found.new_mappings.columns), found.key_columns
+        found.all_keys,
+        found.new_coins,
+        fresh.select(*found.new_mappings.columns),
+        found.key_columns,
+        found.links,
+        found.creates,
     )
 
 

@@ -15,8 +15,8 @@ from ..operators import drift, identity, merge, normalize, quality, runs
 from ..schemas import COINS, FAILURE, LEDGER, QUOTE_KEY, RUNNING, SUCCESS
 from ..session import tune
 from ..sources.registry import FeedSpec, get_source
-from ..sources.store import Store, raw_rows, with_event_date
-from ..workspace import materialize, scratch_scope
+from ..sources.store import Store, with_event_date
+from ..workspace import materialize, remove_path, scratch_scope
 
 log = logging.getLogger(__name__)
 
@@ -103,8 +103,8 @@ def load_batch(
 ) -> RunResult:
     """Normalize, check, resolve and upsert one batch of raw feed rows.
 
-    The rows are parsed once into a scratch table that all later steps read with only the columns
-    they need. New coins and mappings come before the quotes that use them, the quotes before the
+    The rows are parsed once, into the run's part of the audit table, of which all later steps read
+    only the columns they need. New coins and mappings come before the quotes that use them, the quotes before the
     ledger row that commits the run.
     """
     with scratch_scope(store.spark, f"run-{job_id}"):
@@ -117,7 +117,10 @@ def _load(
     now: Column = F.lit(run_ts).cast("timestamp")
     if spec.columnar:  # the drift check needs the feed's own columns
         raw = raw.withColumn("raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != "arrival"]))
-    rows = materialize(spec.normalize(raw, source, now), "rows")
+    # The audit rows, written once with their parsed columns; they count when the run succeeds.
+    audit_path = store.run_path("raw", source, job_id)
+    parsed = spec.normalize(raw, source, now).drop("source").withColumn("created_at", now)
+    rows = materialize(parsed, "rows", audit_path).withColumn("source", F.lit(source))
     good = normalize.accepted(rows)
     totals = rows.agg(
         F.count("*").alias("read"),
@@ -125,36 +128,34 @@ def _load(
         F.max(F.when(F.col("reject_reason").isNull(), F.col("timestamp"))).alias("checkpoint"),
     ).first()
     if totals["good"] == 0:
-        if totals["read"]:
-            _quarantine(store, rows, job_id, now)
+        if totals["read"] == 0:
+            remove_path(store.spark, audit_path)
         return RunResult(job_id, source, SUCCESS, 0, totals["read"], totals["read"], 0, None)
 
     try:
         found = _drift_rows(spec, rows, run_ts)
-        store.append("drift_log", found.withColumns({"source": F.lit(source), "job_id": F.lit(job_id)}))
+        materialize(found, "drift", store.run_path("drift_log", source, job_id))
     except Exception as problem:  # a failed drift check never stops a run
         log.warning("%s: drift check failed: %s", source, problem)
 
-    audit = raw_rows(rows.select("source", "payload"), now)
-    store.append("raw", audit.withColumn("job_id", F.lit(job_id)))
-    if totals["read"] > totals["good"]:
-        _quarantine(store, rows, job_id, now)
-
     coins = store.read("coins")
     resolution = identity.resolve_entities(
         good, coins, store.read("mappings"), rows, use_record_source_id, run_ts=now
     )
-    quality.assert_insertable(resolution.new_coins, coins, ["slug"], "coin slug")
-    store.append("coins", resolution.new_coins)
-    store.append("mappings", resolution.new_mappings)
+    if resolution.creates:
+        quality.assert_insertable(resolution.new_coins, coins, ["slug"], "coin slug")
+        store.append("coins", resolution.new_coins)
+    if resolution.links:
+        store.append("mappings", resolution.new_mappings)
 
     quotes = resolution.attach(good).select(
         *QUOTE_KEY, "symbol", "price_usd", "market_cap", "volume_24h", "arrival"
     )
     batch = merge.last_per_key(quotes, QUOTE_KEY).drop("arrival").withColumn("ingested_at", now)
     batch = materialize(with_event_date(batch), "batch")
-    affected = batch.count()
-    staged = store.stage_quotes(batch, job_id)
+    per_day = batch.groupBy("event_date").count().collect()  # one row per day
+    affected = sum(row["count"] for row in per_day)
+    staged = store.stage_quotes(batch, job_id, [row["event_date"] for row in per_day])
     store.publish_quotes(staged)
     checkpoint = totals["checkpoint"].replace(tzinfo=timezone.utc)
     return RunResult(
@@ -163,11 +164,6 @@ def _load(
     )
 
 
-def _quarantine(store: Store, rows: DataFrame, job_id: int, now: Column) -> None:
-    bad = normalize.rejected(rows).select("source", "payload", "reject_reason")
-    store.append("quarantine", bad.withColumns({"job_id": F.lit(job_id), "created_at": now}))
-
-
 def run_source(
     store: Store,
     source: str,

@@ -63,13 +63,6 @@ LEDGER = _struct(
 )
 
 RAW = _struct(
-    ("payload", T.StringType()),
-    ("created_at", T.TimestampType()),
-    ("source", T.StringType()),
-    ("job_id", T.LongType()),
-)
-
-QUARANTINE = _struct(
     ("payload", T.StringType()),
     ("reject_reason", T.StringType()),
     ("created_at", T.TimestampType()),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -33,6 +34,9 @@ _REGISTRY: dict[str, FeedSpec] = {}
 
 
 def register_source(name: str, spec: FeedSpec) -> None:
+    """The name labels the rows and, in the run tables, their folders."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
+        raise ValueError(f"source name must be letters, digits, '_', '.' or '-': {name!r}")
     _REGISTRY[name] = spec
 
 

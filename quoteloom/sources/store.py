@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import merge, runs
-from ..workspace import list_children, materialize, path_exists, remove_path
+from ..workspace import list_children, materialize, move_path, path_exists, remove_path
 
 SCHEMAS = {
     "coins": schemas.COINS,
@@ -16,13 +15,11 @@ SCHEMAS = {
     "quotes": schemas.QUOTES,
     "ledger": schemas.LEDGER,
     "raw": schemas.RAW,
-    "quarantine": schemas.QUARANTINE,
     "drift_log": schemas.DRIFT_LOG,
 }
 PARTITIONS = {
     "quotes": ["event_date"],
     "raw": ["source", "job_id"],
-    "quarantine": ["source", "job_id"],
     "drift_log": ["source", "job_id"],
 }
 STAGED = "_staged"
@@ -60,16 +57,16 @@ class Store:
         return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.fieldNames())
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Append rows. Partitioned tables are first spread so that a hot partition is split over
-        tasks and a small one becomes a single file."""
+        """Append rows; for the quote table they are first clustered by day."""
         schema = SCHEMAS[table]
         typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        writer = self._partitioned(typed, table).write.mode("append")
-        writer.partitionBy(*PARTITIONS.get(table, [])).parquet(self.path(table))
+        if table == "quotes":
+            typed = _by_day(typed)
+        typed.write.mode("append").partitionBy(*PARTITIONS.get(table, [])).parquet(self.path(table))
 
-    def _partitioned(self, rows: DataFrame, table: str) -> DataFrame:
-        keys = PARTITIONS.get(table, [])
-        return rows.hint("rebalance", *[F.col(k) for k in keys]) if keys else rows
+    def run_path(self, table: str, source: str, job_id: int) -> str:
+        """Folder of one run's rows in a table that is partitioned by source and run."""
+        return f"{self.path(table)}/source={source}/job_id={job_id}"
 
     # Runs
 
@@ -78,33 +75,42 @@ class Store:
         return runs.latest_state(self.read("ledger"))
 
     def committed(self, table: str) -> DataFrame:
-        """Rows of ``raw``, ``quarantine`` or ``drift_log`` written by successful runs."""
+        """Rows of ``raw`` or ``drift_log`` written by successful runs that loaded something."""
+        done = self.runs().where((F.col("status") == schemas.SUCCESS) & (F.col("records_processed") > 0))
+        return self.read(table).join(done.select(F.col("id").alias("job_id")), "job_id", "left_semi")
+
+    def quarantine(self) -> DataFrame:
+        """The rejected rows of successful runs, with the reason."""
         done = self.runs().where(F.col("status") == schemas.SUCCESS).select(F.col("id").alias("job_id"))
-        return self.read(table).join(done, "job_id", "left_semi")
+        return self.read("raw").where("reject_reason IS NOT NULL").join(done, "job_id", "left_semi")
 
     # Quotes
 
-    def stage_quotes(self, batch: DataFrame, job_id: int) -> str:
+    def stage_quotes(self, batch: DataFrame, job_id: int, days: list | None = None) -> str:
         """Write what the touched days will hold after the upsert; the quote table stays as it is.
 
-        ``batch`` has unique keys and an event_date. Only the days it touches are read and joined.
+        ``batch`` has unique keys and an event_date. Only the ``days`` it touches (looked up when not
+        given) are read and joined.
         """
-        days = [row[0] for row in batch.select("event_date").distinct().collect()]  # one per day
+        if days is None:
+            days = [row[0] for row in batch.select("event_date").distinct().collect()]  # one per day
         target = self.read("quotes").where(F.col("event_date").isin(days)) if days else self.read("quotes").limit(0)
         merged = merge.merge_rows(target, batch.select(*target.columns))
         staged = f"{self.path(STAGED)}/quotes-{job_id}"
-        self._partitioned(merged, "quotes").write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("event_date").parquet(staged)
+        _by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "event_date"
+        ).parquet(staged)
         return staged
 
     def publish_quotes(self, staged: str) -> None:
-        """Replace the staged days in the quote table. Repeating it gives the same table."""
-        schema = SCHEMAS["quotes"]
-        rows = self.spark.read.schema(schema).parquet(staged).select(*schema.fieldNames())
-        self._partitioned(rows, "quotes").write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("event_date").parquet(self.path("quotes"))
+        """Put the staged days in the place of the table's, one folder move per day.
+
+        A day leaves the staging folder only by taking its place in the table, so an interrupted
+        publication is completed by calling this again.
+        """
+        for day in list_children(self.spark, staged):
+            if day.startswith("event_date="):
+                move_path(self.spark, f"{staged}/{day}", f"{self.path('quotes')}/{day}")
         remove_path(self.spark, staged)
 
     def recover(self) -> list[str]:
@@ -136,9 +142,11 @@ class Store:
         )
 
 
+def _by_day(quotes: DataFrame) -> DataFrame:
+    """Cluster rows by day for writing: AQE splits a hot day over tasks and merges small ones."""
+    return quotes.hint("rebalance", F.col("event_date"))
+
+
 def with_event_date(quotes: DataFrame) -> DataFrame:
     return quotes.withColumn("event_date", F.to_date("timestamp"))
 
-
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -50,9 +50,9 @@ def scratch_scope(spark: SparkSession, label: str) -> Iterator[str]:
         remove_path(spark, path)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as parquet and return the written table."""
-    path = scratch_path(df.sparkSession, label)
+def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as parquet (to a scratch path unless given) and return the written table."""
+    path = path or scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -82,6 +82,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Replace ``target`` by ``source``; the parent folder is made when missing."""
+    jvm, start, fs = _file_system(spark, source)
+    end = jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(end.getParent())
+    fs.delete(end, True)
+    if not fs.rename(start, end):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Every data file under ``path`` (a file, a directory or a glob), sorted; hidden files are left out."""
     jvm, target, fs = _file_system(spark, path)

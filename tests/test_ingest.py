@@ -64,7 +64,7 @@ def test_three_feeds_share_coins(store, folder):
         (1, "BTC", "btc"), (2, "ETH", "eth"), (3, "XRP", "xrp"),
     ]
     assert store.read("mappings").count() == 5
-    assert rows(store.read("quarantine").select("source", "reject_reason")) == [("coingecko", "bad_number")]
+    assert rows(store.quarantine().select("source", "reject_reason")) == [("coingecko", "bad_number")]
     assert store.committed("raw").groupBy("source").count().count() == 3
     assert store.read("raw").count() == 6
     assert rows(store.runs().select("id", "source", "status", "records_processed")) == [
@@ -82,6 +82,8 @@ def test_running_twice_equals_running_once(store, folder):
     assert facts(store) == before
     assert (first.records_processed, again.records_processed) == (2, 2)
     assert store.read("coins").count() == 2 and store.read("mappings").count() == 2
+    files = [f for f in os.listdir(store.path("coins")) if f.endswith(".parquet")]
+    assert len(files) <= 2  # the second run appended nothing
 
 
 def test_incremental_empty_and_forced_runs(store, folder):
@@ -205,6 +207,36 @@ def test_slug_collision_fails_the_run(store, folder):
     assert store.read("coins").count() == 1 and store.read("quotes").count() == 0
 
 
+def test_a_run_with_only_bad_rows_succeeds_and_fills_the_quarantine(store, folder):
+    path = put(folder(), "a.json", [market("btc", "N/A"), market("eth", "x")])
+    done = ingest.run_source(store, "coingecko", path, run_ts=T1)
+    assert (done.status, done.records_processed, done.rows_rejected, done.checkpoint) == ("success", 0, 2, None)
+    assert store.committed("raw").count() == 0 and store.quarantine().count() == 2
+    assert store.read("coins").count() == 0
+
+
+def test_interrupted_publication_is_completed(store, folder, monkeypatch):
+    from quoteloom.sources import store as store_module
+
+    path = put(folder(), "a.json", [market("btc", 1.0, f"2024-01-{d}T00:00:00Z") for d in (10, 11, 12)])
+    ingest.run_source(store, "coingecko", path, run_ts=T1)
+    real, moved = store_module.move_path, []
+
+    def move_once(spark, source, target):
+        if moved:
+            raise OSError("lost")
+        moved.append(target)
+        real(spark, source, target)
+
+    monkeypatch.setattr(store_module, "move_path", move_once)
+    put(path, "a.json", [market("btc", 2.0, f"2024-01-{d}T00:00:00Z") for d in (10, 11, 12)])
+    with pytest.raises(ingest.RunFailed, match="lost"):
+        ingest.run_source(store, "coingecko", path, force_full=True, run_ts=T2)
+    monkeypatch.undo()
+    assert store.recover() == ["quotes-2"]
+    assert [f[3] for f in facts(store)] == [2.0] * 3
+
+
 def test_compaction_keeps_the_rows(store):
     for _ in range(3):
         ingest.start_job(store, "csv", T1)
