@@ -55,6 +55,7 @@ def with_exact_symbol(df: DataFrame, column: str, aliases: DataFrame, out: str =
         .groupBy("_key")
         .agg(F.min_by("_symbol", F.struct("_rank", "_symbol")).alias(out))
     )
+    lookup = materialize(lookup, "alias_lookup")
     return df.join(lookup, alias_key(F.col(column)) == F.col("_key"), "left").drop("_key")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..workspace import materialize
 from .ids import with_dense_ids
 
 
@@ -48,7 +49,7 @@ def backfill_coin_id(quotes: DataFrame, coins: DataFrame) -> DataFrame:
     null key.
     """
     missing = quotes.where("coin_id IS NULL").join(
-        _coin_of_symbol(coins), F.lower("symbol") == F.col("_folded"), "left"
+        materialize(_coin_of_symbol(coins), "coin_of_symbol"), F.lower("symbol") == F.col("_folded"), "left"
     )
     filled = missing.withColumn("coin_id", F.col("_coin_id")).select(*quotes.columns)
     return quotes.where("coin_id IS NOT NULL").unionByName(filled)

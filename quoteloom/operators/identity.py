@@ -35,6 +35,10 @@ def source_id_map(raw: DataFrame) -> DataFrame:
 
 def attach_source_ids(records: DataFrame, id_map: DataFrame) -> DataFrame:
     """Replace each record's ``source_id`` by the mapped id of its symbol, else by the symbol."""
+    return _with_source_ids(records, materialize(id_map, "source_id_map"))
+
+
+def _with_source_ids(records: DataFrame, id_map: DataFrame) -> DataFrame:
     mapped = id_map.select("source", "symbol", F.col("source_id").alias("_mapped"))
     return records.join(mapped, ["source", "symbol"], "left").select(
         *[c for c in records.columns if c != "source_id"],
@@ -79,6 +83,7 @@ def _join_coin(rows: DataFrame, lookup: Column, coins: DataFrame, out: str) -> D
     by_symbol = coins.groupBy(F.col("symbol").alias("_symbol")).agg(
         F.min("coin_id").alias("_id"), F.count("*").alias("_n")
     )
+    by_symbol = materialize(by_symbol, "coins_by_symbol")
     ambiguous = F.raise_error(F.concat(F.lit("several coins have the symbol "), F.col("_symbol")))
     joined = rows.withColumn("_lookup", lookup).join(by_symbol, F.col("_lookup") == F.col("_symbol"), "left")
     found = F.when(F.col("_lookup").isNotNull() & (F.col("_n") > 1), ambiguous.cast("long"))
@@ -115,7 +120,7 @@ def resolve_entities(
         if id_map is None:
             keys = keys.withColumn("sid", F.col("symbol"))
         else:
-            keys = attach_source_ids(keys.withColumn("source_id", F.lit(None).cast("string")), id_map)
+            keys = _with_source_ids(keys.withColumn("source_id", F.lit(None).cast("string")), id_map)
             keys = keys.withColumnRenamed("source_id", "sid")
         key_columns = ("source", "symbol")
     keys = materialize(

@@ -77,12 +77,16 @@ class Store:
     def committed(self, table: str) -> DataFrame:
         """Rows of ``raw`` or ``drift_log`` written by successful runs that loaded something."""
         done = self.runs().where((F.col("status") == schemas.SUCCESS) & (F.col("records_processed") > 0))
-        return self.read(table).join(done.select(F.col("id").alias("job_id")), "job_id", "left_semi")
+        return self._of_runs(self.read(table), done)
 
     def quarantine(self) -> DataFrame:
         """The rejected rows of successful runs, with the reason."""
-        done = self.runs().where(F.col("status") == schemas.SUCCESS).select(F.col("id").alias("job_id"))
-        return self.read("raw").where("reject_reason IS NOT NULL").join(done, "job_id", "left_semi")
+        done = self.runs().where(F.col("status") == schemas.SUCCESS)
+        return self._of_runs(self.read("raw").where("reject_reason IS NOT NULL"), done)
+
+    def _of_runs(self, rows: DataFrame, done: DataFrame) -> DataFrame:
+        ids = materialize(done.select(F.col("id").alias("job_id")), "run_ids")
+        return rows.join(ids, "job_id", "left_semi")
 
     # Quotes
 

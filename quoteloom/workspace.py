@@ -3,7 +3,8 @@
 A frame that several later plans read, or whose row ids must not move, is written there once and
 read back. That cuts its lineage, survives the loss of executors, and gives Catalyst the true file
 size, so a following join is broadcast only when the written table is below
-``spark.sql.autoBroadcastJoinThreshold``.
+``spark.sql.autoBroadcastJoinThreshold``. Beyond that size AQE can split the hot keys of the other
+side, which it cannot do while an aggregate stands between the lookup's shuffle and the join.
 """
 
 from __future__ import annotations

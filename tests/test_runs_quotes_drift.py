@@ -126,6 +126,17 @@ def test_symbol_stats_and_overview(spark):
             quotes.page(frame, ["symbol"], **bad)
 
 
+def test_time_range_with_and_without_day_column(spark):
+    times = [T0 + timedelta(hours=12 * i) for i in range(6)]
+    frame = spark.createDataFrame([(t,) for t in times], "timestamp timestamp")
+    dated = frame.withColumn("event_date", F.to_date("timestamp"))
+    for table in (frame, dated):
+        for start, end in ((times[1], times[3]), ("2024-01-16 00:00:00", "2024-01-17 00:00:00")):
+            assert rows(quotes.filter_quotes(table, start=start, end=end).select("timestamp")) == [(t,) for t in times[1:4]]
+    plan = quotes.filter_quotes(dated, start=times[1])._jdf.queryExecution().optimizedPlan().toString()
+    assert "event_date" in plan or "to_date" in plan or "cast(timestamp" in plan
+
+
 @pytest.mark.parametrize("offset", [0, 3, 40, 41, 75, 98, 140, 200])
 def test_deep_pages_equal_direct_pages(spark, monkeypatch, offset):
     import random
