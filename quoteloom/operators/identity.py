@@ -140,9 +140,13 @@ def resolve_entities(
     known = materialize(_join_coin(looked_up, lookup, coins, "symbol_id"), "entity_lookup")
 
     # In the steady state nothing is new, and the steps below are left out.
-    links = not known.where("mapped_id IS NULL").limit(1).isEmpty()
+    unmapped = F.col("mapped_id").isNull()
+    news = known.agg(
+        F.coalesce(F.bool_or(unmapped), F.lit(False)).alias("links"),
+        F.coalesce(F.bool_or(unmapped & F.col("symbol_id").isNull()), F.lit(False)).alias("creates"),
+    ).first()
+    links, creates = news["links"], news["creates"]
     missing = known.where("mapped_id IS NULL AND symbol_id IS NULL")
-    creates = links and not missing.limit(1).isEmpty()
     creators = missing.groupBy("symbol").agg(
         F.min_by(F.struct("source", "sid", "name", "arrival"), "arrival").alias("_row")
     ).select("symbol", "_row.*")

@@ -270,8 +270,3 @@ def reject_counts(normalized: DataFrame) -> DataFrame:
     return normalized.groupBy("source", F.coalesce("reject_reason", F.lit("ok")).alias("reason")).agg(
         F.count("*").alias("n_rows")
     )
-
-
-def with_first_filled(df: DataFrame, out: str, *columns: str) -> DataFrame:
-    """Fallback chain in which an empty string counts as missing."""
-    return df.withColumn(out, first_filled(*[F.col(c) for c in columns]))

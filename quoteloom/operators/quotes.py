@@ -7,8 +7,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import PRICE
-
 DEFAULT_PAGE, MAX_PAGE = 50, 500
 DIRECT_ROWS = 5_000
 
@@ -146,7 +144,3 @@ def union_sources(*frames: DataFrame) -> DataFrame:
     for frame in rest:
         first = first.unionByName(frame, allowMissingColumns=True)
     return first
-
-
-def as_price(value: Column) -> Column:
-    return value.try_cast(PRICE)

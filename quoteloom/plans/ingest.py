@@ -7,12 +7,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import truncate_error
 from ..operators import drift, identity, merge, normalize, quality, runs
-from ..schemas import COINS, FAILURE, LEDGER, QUOTE_KEY, RUNNING, SUCCESS
+from ..schemas import FAILURE, LEDGER, QUOTE_KEY, RUNNING, SUCCESS
 from ..session import tune
 from ..sources.registry import FeedSpec, get_source
 from ..sources.store import Store, with_event_date
@@ -216,7 +216,3 @@ def run_all(
             log.error("%s", problem)
             results[source] = problem
     return results
-
-
-def empty_master(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], COINS)

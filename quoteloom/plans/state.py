@@ -57,9 +57,9 @@ def dedup_report(spark, sf_dir):
     return merge.dedup_report(_hourly(spark, sf_dir), _HOUR_KEY, ["source"])
 
 
-# Upsert at day grain: three fifths of the events are the target, the rest is the batch.
+# Upsert at day grain: the target holds what came before 14:00 of each day, the batch the rest.
 _MERGE_SQL = f"""{b.QUOTES_SQL},
-daily AS (SELECT *, date_trunc('day', "timestamp") AS d, event_id % 5 < 3 AS is_base FROM quotes),
+daily AS (SELECT *, date_trunc('day', "timestamp") AS d, hour("timestamp") < 14 AS is_base FROM quotes),
 best AS (
   SELECT * FROM daily
   QUALIFY row_number() OVER (PARTITION BY is_base, coin_id, source, d ORDER BY "timestamp" DESC, event_id DESC) = 1),
@@ -70,8 +70,8 @@ batch AS (SELECT * FROM best WHERE NOT is_base)"""
 def _base_and_batch(spark, sf_dir):
     rows = _hourly(spark, sf_dir, "day").withColumn("ingested_at", F.col("arrival.ts"))
     columns = [*_HOUR_KEY, "symbol", "price_usd", "market_cap", "volume_24h", "ingested_at", "event_id", "arrival"]
-    base = rows.where("event_id % 5 < 3").select(*columns)
-    batch = rows.where("event_id % 5 >= 3").select(*columns)
+    early = F.hour("arrival.ts") < 14
+    base, batch = rows.where(early).select(*columns), rows.where(~early).select(*columns)
     return merge.last_per_key(base, _HOUR_KEY), merge.last_per_key(batch, _HOUR_KEY)
 
 

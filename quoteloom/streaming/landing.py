@@ -81,12 +81,16 @@ def stream_csv(
     checkpoint: str,
     columns: list[str],
     sep: str = ",",
+    multiline: bool = True,
     interval: str | None = None,
     drop_late: bool = False,
     files_per_batch: int | None = None,
     run_ts: datetime | None = None,
 ) -> StreamingQuery:
-    """CSV files with a known header (``columns``, in file order)."""
+    """CSV files with a known header (``columns``, in file order).
+
+    Files without line breaks inside quotes can be split when ``multiline`` is off.
+    """
     schema = T.StructType([T.StructField(name.strip().lower(), T.StringType()) for name in columns])
     reader = (
         store.spark.readStream.schema(schema)
@@ -94,7 +98,7 @@ def stream_csv(
         .option("enforceSchema", "true")
         .option("sep", sep)
         .option("escape", '"')
-        .option("multiLine", "true")
+        .option("multiLine", str(multiline).lower())
         .format("csv")
     )
     if files_per_batch:
