@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import clean_symbol, coerce_number, coin_slug, parse_timestamp
+from ..functions import clean_symbol, coerce_number, coin_slug, parse_timestamp, unix_seconds
 from ..operators import aliases, incremental, normalize
 from . import bindings as b
 from .registry import query
@@ -83,6 +83,15 @@ def parse_timestamps(spark, sf_dir):
     return feed.select("event_id", F.col("date").alias("text"), parse_timestamp(F.col("date")).alias("timestamp"))
 
 
+@query(
+    "parse_unix_times",
+    """SELECT event_id, epoch_us(ts) // 1000000 AS seconds, date_trunc('second', ts) AS "timestamp" FROM events""",
+)
+def parse_unix_times(spark, sf_dir):
+    seconds = b.table(spark, sf_dir, "events").select("event_id", F.unix_seconds("ts").alias("seconds"))
+    return seconds.withColumn("timestamp", unix_seconds(F.col("seconds")))
+
+
 @query(
     "json_extract",
     """SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS price,

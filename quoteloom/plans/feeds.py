@@ -1,12 +1,17 @@
 """Feed files that Spark writes from the driver tables, read back through the feed readers."""
 
+from dataclasses import replace
+from datetime import datetime, timezone
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ..operators import normalize
-from ..sources import Store, read_csv_feed, read_markets_json, read_tickers_json
+from ..sources import Store, get_source, read_csv_feed, read_markets_json, read_tickers_json
 from ..streaming import stream_table
 from ..workspace import scratch_path
 from . import bindings as b
+from .ingest import run_source
 from .registry import query
 
 
@@ -44,33 +49,71 @@ def _write_pages(rows, path):
     pages.select("value").write.text(path)
 
 
-@query(
-    "markets_feed",
-    """SELECT event_type || '-' || CAST(event_id AS VARCHAR) AS source_id,
-       'U' || CAST(user_id AS VARCHAR) AS symbol,
-       CASE WHEN event_type <> 'error' THEN value END AS price_usd, ts AS "timestamp",
-       CASE WHEN event_type = 'error' THEN 'bad_number' END AS reject_reason FROM events""",
-)
-def markets_feed(spark, sf_dir):
-    """Flat objects; an error's price is the text "N/A", which rejects the row."""
+_RUN_TS = datetime(2024, 6, 1, tzinfo=timezone.utc)
+
+
+def _market_pages(spark, sf_dir):
+    """Flat objects. An error's price is the text "N/A", which rejects the row; signups have no time."""
     events = b.table(spark, sf_dir, "events")
     item = F.struct(
-        F.concat_ws("-", F.col("event_type"), F.col("event_id").cast("string")).alias("id"),
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("id"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("symbol"),
+        F.col("event_id").cast("string").alias("name"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("current_price"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("last_updated"),
+        F.when(F.col("event_type") != "signup", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        .alias("last_updated"),
         F.struct(F.lit(1.5).alias("times")).alias("roi"),
-    )
+    )
     text = F.to_json(item)
-    text = F.when(
-        F.col("event_type") == "error",
-        F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(',"current_price":"N/A"}')),
-    ).otherwise(text)
+    bad = F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(',"current_price":"N/A"}'))
+    text = F.when(F.col("event_type") == "error", bad).otherwise(text)
     path = scratch_path(spark, "markets")
     _write_pages(events.select("event_id", text.alias("item")), path)
-    rows = normalize.normalize_markets(read_markets_json(spark, path, pages="lines"))
-    price = F.col("price_usd").cast("double").alias("price_usd")
-    return rows.select("source_id", "symbol", price, "timestamp", "reject_reason")
+    return path
+
+
+@query(
+    "markets_feed",
+    """SELECT event_id, 'user-' || CAST(user_id AS VARCHAR) AS source_id,
+       'U' || CAST(user_id AS VARCHAR) AS symbol,
+       CASE WHEN event_type <> 'error' THEN value END AS price_usd,
+       CASE WHEN event_type = 'signup' THEN TIMESTAMP '2024-06-01 00:00:00' ELSE ts END AS "timestamp",
+       CASE WHEN event_type = 'error' THEN 'bad_number' END AS reject_reason FROM events""",
+)
+def markets_feed(spark, sf_dir):
+    pages = read_markets_json(spark, _market_pages(spark, sf_dir), pages="lines")
+    rows = normalize.normalize_markets(pages, run_ts=_RUN_TS)
+    return rows.select(
+        F.col("name").cast("long").alias("event_id"),
+        "source_id",
+        "symbol",
+        F.col("price_usd").cast("double").alias("price_usd"),
+        "timestamp",
+        "reject_reason",
+    )
+
+
+@query(
+    "ingest_feed",
+    """WITH feed AS (
+  SELECT user_id, CASE WHEN event_type = 'signup' THEN TIMESTAMP '2024-06-01 00:00:00' ELSE ts END AS t,
+         CASE WHEN event_type <> 'signup' THEN value END AS price
+  FROM events WHERE event_type <> 'error')
+SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, 'coingecko' AS source, t AS "timestamp",
+       max(price) AS price_usd
+FROM feed GROUP BY user_id, t""",
+)
+def ingest_feed(spark, sf_dir):
+    """The whole job on market pages: one quote per coin and time. Which signup is the last of its user
+    depends on the files' times, so those rows show no price."""
+    store = Store(spark, scratch_path(spark, "ingest_feed"))
+    spec = replace(get_source("coingecko"), read=partial(read_markets_json, pages="lines"))
+    run_source(store, "coingecko", _market_pages(spark, sf_dir), run_ts=_RUN_TS, spec=spec)
+    coins = store.read("coins").select("coin_id", F.col("symbol").alias("coin"))
+    price = F.when(F.col("timestamp") != F.lit(_RUN_TS).cast("timestamp"), F.col("price_usd").cast("double"))
+    return store.read("quotes").join(coins, "coin_id").select(
+        F.col("coin").alias("symbol"), "source", "timestamp", price.alias("price_usd")
+    )
 
 
 @query(

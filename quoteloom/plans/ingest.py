@@ -171,9 +171,13 @@ def run_source(
     force_full: bool = False,
     run_ts: datetime | None = None,
     use_record_source_id: bool = False,
+    spec: FeedSpec | None = None,
 ) -> RunResult:
-    """Run one source. Raises RunFailed after the failure is in the ledger; quotes are then untouched."""
-    spec = get_source(source)
+    """Run one source. Raises RunFailed after the failure is in the ledger; quotes are then untouched.
+
+    ``spec`` may replace the registered one, for example to read another page layout.
+    """
+    spec = spec or get_source(source)
     tune(store.spark)
     store.recover()
     started = run_ts or _now()
