@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 # Accepted shapes: a date; a date and time joined by "T", with an optional "Z" and, before the "Z",
 # an optional fraction of one to six digits; a date and time joined by white space. One- or two-digit
 # fields are fine, the year has four digits. Field ranges are checked by the cast.
-_DATE = r"\d{4}-\d{1,2}-\d{1,2}"
+_MONTH = r"\d{4}-\d{1,2}-"
 _CLOCK = r"\d{1,2}:\d{1,2}:\d{1,2}"
-FEED_TIME = rf"^{_DATE}(?:T{_CLOCK}(?:(?:\.\d{{1,6}})?Z)?| {_CLOCK})?$"
-SPACED_TIME = rf"^{_DATE}\s+{_CLOCK}$"
+_AFTER_T = rf"T{_CLOCK}(?:(?:\.\d{{1,6}})?Z)?"
+FEED_TIME = rf"^{_MONTH}\d{{1,2}}(?:{_AFTER_T}| {_CLOCK})?$"
+# The same with more white space before the time, or a day padded with a space; rare, so apart.
+SPACED_TIME = rf"^{_MONTH}(?: \d|\d{{1,2}})(?:{_AFTER_T}|\s+{_CLOCK})?$"
 
 # A complete time with an offset, the only kind the JSON feeds compare with a checkpoint.
 OFFSET_TIME = (
@@ -20,7 +22,7 @@ OFFSET_TIME = (
 
 def parse_timestamp(text: Column) -> Column:
     """Feed time text to a UTC instant; null when no accepted shape fits."""
-    single = F.regexp_replace(text, r"\s+", " ")
+    single = F.regexp_replace(F.replace(text, F.lit("- "), F.lit("-")), r"\s+", " ")
     return F.when(text.rlike(FEED_TIME), text.try_cast("timestamp")).when(
         text.rlike(SPACED_TIME), single.try_cast("timestamp")
     )

@@ -84,7 +84,7 @@ TIMES = [
     "2024-01-15  12:00:00", "2024-01-15 12:00:00Z", "2024-01-15", "2024-1-5", "24-01-05", "2024-1-5T1:2:3Z",
     "2024-01-15T10:30:00+00:00", "2024-02-30", "2024-13-01", "2024-01-15T24:00:00", "2024-01-15T12:00:60",
     "2024-01-15T12:00", "1705315800", "", "yesterday", " 2024-01-15", "2024-01-15 ", "2024/01/15", "2024-02-29",
-    "2023-02-29", "02024-01-01",
+    "2023-02-29", "02024-01-01", "2024-01- 5", "2024-01- 5T1:2:3Z", "2024-01- 5\t 1:2:3", "2024- 1-05", "2024-01-  5",
 ]
 
 
@@ -93,6 +93,14 @@ def test_parse_timestamp_accepts_the_same_texts_as_the_five_formats(spark):
         assert got == python_time(text), text
 
 
+@given(st.lists(st.text("0123-:TZ. ", max_size=6), min_size=1, max_size=80), st.integers(0, 19))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+def test_parse_timestamp_random(spark, texts, cut):
+    texts = ["2024-01-15 10:30:00"[:cut] + t for t in texts] + ["2024-01-15T10:30:00.5Z"[:cut] + t for t in texts]
+    got = apply(spark, texts, lambda c: parse_timestamp(c).cast("timestamp_ntz"))
+    assert got == [python_time(t) for t in texts]
+
+
 def test_offset_times(spark):
     texts = ["2024-01-15T12:00:00Z", "2024-01-15T12:00:00+02:00", "2024-01-15T12:00:00", "2024-01-15", "x", None]
     got = apply(spark, texts, lambda c: has_offset_time(c).cast("timestamp_ntz"))
