@@ -15,10 +15,11 @@ intersection is at least 75 times their union.
 4. Candidate pairs pass a size bound and a bit sketch (seven standard deviations below the limit),
    then their full sets are intersected. Only such links count.
 5. Connected components by alternating star contractions. A larger bucket whose classes are all in
-   one component is settled. The others' classes go to the next tier, with longer bands and more of
-   them, which separate what merely shares a passage. After the last tier, leaders are taken one
-   block after another until every bucket is settled: every class has then been compared with all
-   others of its bucket, so no links are lost there.
+   one component is settled. One with up to ``odd`` classes outside its main component is settled by
+   comparing these with all others: every link that could still join components has an odd end. The
+   classes of other buckets go to the next tier, with longer bands and more of them, which separate
+   what merely shares a passage. After the last tier odd classes are taken ``odd`` at a time until
+   every bucket is settled, so no link between components is lost.
 
 At a similarity of 0.75 a pair shares no band of the first tier with a probability of 0.000005.
 """
@@ -42,7 +43,7 @@ PERCENT = 75
 #: (bands, coordinates in a band) of each tier.
 TIERS = ((32, 4), (128, 8))
 BUCKET = 32
-LEADERS = 16
+ODD = 64
 _BIT_WORDS = 2
 _ROUND_SHIFT = np.uint64(53)
 
@@ -197,7 +198,7 @@ def _members(sketches: DataFrame, label: str) -> DataFrame:
     """Rows (bucket, size, leader, class columns) of buckets that hold more than one class."""
     narrow = ["class_id", "n_shingles", "bits_0", "bits_1"]
     banded = sketches.select(*narrow, F.posexplode("keys").alias("band", "key")).select(
-        *narrow, F.xxhash64("band", "key").alias("bucket")
+        *narrow, "band", F.xxhash64("band", "key").alias("bucket")
     )
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class_id").alias("leader"))
     # Written first: its join with the rows can then be broadcast or split by AQE.
@@ -230,6 +231,8 @@ def _with_leader(rows: DataFrame, sketches: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, id_column: str, pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
     """The pairs whose full sets are similar enough."""
+    if pairs.isEmpty():
+        return pairs
     needed = pairs.select(F.col("a").alias("class_id")).union(pairs.select(F.col("b").alias("class_id"))).distinct()
     needed = materialize(classes.select("class_id", "member").join(needed, "class_id", "left_semi"), f"{label}_needed")
     sets = materialize(_sets(docs, id_column, needed), f"{label}_sets")
@@ -255,7 +258,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     edges = materialize(links.select("a", "b").filter("a <> b").distinct(), f"{label}_0")
     if edges.isEmpty():
         return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
-    mark, step = None, 0
+    step = 0
     while True:
         both = edges.union(edges.select(F.col("b"), F.col("a")))
         least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{label}_large")
@@ -265,27 +268,52 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         small = large.join(least, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
         step += 1
         edges = materialize(small.union(least.select(F.col("m").alias("a"), "b")).distinct(), f"{label}_{step}")
-        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
+        # Done when the edges are stars: each node below one other, which is below none.
+        uppers, lowers = edges.select("a"), edges.groupBy(F.col("b").alias("a")).count()
+        if lowers.filter("count > 1").isEmpty() and uppers.join(lowers, "a", "left_semi").isEmpty():
             break
-        mark = tuple(seen)
     roots = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return materialize(
         roots.union(edges.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct(), f"{label}_roots"
     )
 
 
-def _open_buckets(members: DataFrame, roots: DataFrame, bucket: int) -> DataFrame:
-    """Members of large buckets that lie in more than one component."""
-    large = members.filter(F.col("size") > bucket)
-    placed = large.join(roots, large.class_id == roots.node, "left").withColumn(
-        "root", F.coalesce("root", "class_id")
+def _open_buckets(members: DataFrame, sketches: DataFrame, roots: DataFrame, bucket: int, label: str) -> DataFrame:
+    """Members of large buckets that lie in several components, with ``root``, ``keys`` and ``main``.
+
+    ``main`` is the component with most members in the bucket, ``n_odd`` counts the members outside it.
+    """
+    large = members.filter(F.col("size") > bucket).drop("leader")
+    placed = large.join(roots, large.class_id == roots.node, "left").withColumn("root", F.coalesce("root", "class_id"))
+    placed = materialize(placed.drop("node"), f"{label}_large")
+    shares = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    mains = shares.groupBy("bucket").agg(
+        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("parts")
+    )
+    mains = mains.filter("parts > 1").select("bucket", F.col("top.root").alias("main"), (F.col("all") - F.col("top.n")).alias("n_odd"))
+    opened = placed.join(materialize(mains, f"{label}_mains"), "bucket")
+    return materialize(opened.join(sketches.select("class_id", "keys"), "class_id"), f"{label}_open")
+
+
+def _odd_pairs(rows: DataFrame, odd: DataFrame, seen: DataFrame, label: str) -> DataFrame:
+    """Candidate pairs of odd classes with the classes of other components in their buckets, but ``seen``.
+
+    A pair that shares several buckets comes from the first of them alone.
+    """
+    shared = F.zip_with(F.col("a.keys"), F.col("b.keys"), lambda x, y: x == y)
+    first = F.array_position(shared, F.lit(True)) == F.col("a.band") + 1
+    apart = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.root") != F.col("b.root"))
+    found = (
+        rows.alias("a")
+        .join(odd.alias("b"), apart & _possible() & first)
+        .select(F.least("a.class_id", "b.class_id").alias("a"), F.greatest("a.class_id", "b.class_id").alias("b"))
     )
-    split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return placed.join(materialize(split.select("bucket"), "open_buckets"), "bucket")
+    return materialize(found.distinct().join(seen, ["a", "b"], "left_anti"), f"{label}_odd_pairs")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", tiers=TIERS, bucket: int = BUCKET) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", tiers=TIERS, bucket: int = BUCKET, odd: int = ODD
+) -> DataFrame:
     """id, text_key, n_shingles, component_id and root of each row of ``docs`` (id, text).
 
     ``root`` names the row's component, null for rows without words. ``component_id`` is the smallest id that links reach, the row's own included; null ids count only
@@ -296,10 +324,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", tiers=TIERS, buc
     spark = docs.sparkSession
     target = scratch_path(spark, "near_duplicates")
     with scratch_scope(spark, "near_duplicates_work"):
-        return materialize(_decide(docs, id_column, tiers, bucket), "near_duplicates", target)
+        return materialize(_decide(docs, id_column, tiers, bucket, odd), "near_duplicates", target)
 
 
-def _decide(docs: DataFrame, id_column: str, tiers, bucket: int) -> DataFrame:
+def _decide(docs: DataFrame, id_column: str, tiers, bucket: int, odd: int) -> DataFrame:
     first = Sketcher(*tiers[0])
     rows = materialize(with_sketches(docs, id_column, first), "sketches")
     named = rows.filter("class_id is not null")
@@ -314,22 +342,35 @@ def _decide(docs: DataFrame, id_column: str, tiers, bucket: int) -> DataFrame:
         ),
         "classes",
     )
-    members = _members(classes, "tier_0")
-    links = _verified(docs, id_column, _pairs(members, classes, bucket, "tier_0"), classes, "tier_0")
-    roots = components(links)
-    for number, shape in enumerate(tiers[1:], 1):
-        waiting = materialize(_open_buckets(members, roots, bucket).select("class_id").distinct(), f"open_{number}")
+    links = roots = seen = None
+    sketches = classes
+    for number, shape in enumerate(tiers):
+        label = f"tier_{number}"
+        if number:
+            again = classes.select("class_id", "member").join(waiting, "class_id", "left_semi")
+            again = with_sketches(_chosen_texts(docs, id_column, again), "id", Sketcher(*shape))
+            sketches = materialize(again.dropDuplicates(["class_id"]), f"{label}_sketches")
+        members = _members(sketches, label)
+        pairs = _pairs(members, sketches, bucket, label)
+        pairs = pairs if seen is None else materialize(pairs.join(seen, ["a", "b"], "left_anti"), f"{label}_new_pairs")
+        seen = pairs if seen is None else seen.union(pairs)
+        found = _verified(docs, id_column, pairs, classes, label)
+        links = found if links is None else links.union(found)
+        roots = components(links)
+        opened = _open_buckets(members, sketches, roots, bucket, label)
+        few = opened.filter(F.col("n_odd") <= odd)
+        pairs = _odd_pairs(few, few.filter("root <> main"), seen, label)
+        seen = seen.union(pairs)
+        found = _verified(docs, id_column, pairs, classes, f"{label}_odd")
+        if not found.isEmpty():
+            links = links.union(found)
+            roots = components(links)
+        many = opened.filter(F.col("n_odd") > odd)
+        waiting = materialize(many.select("class_id").distinct(), f"{label}_waiting")
         if waiting.isEmpty():
             break
-        again = classes.select("class_id", "member").join(waiting, "class_id", "left_semi")
-        deeper = with_sketches(_chosen_texts(docs, id_column, again), "id", Sketcher(*shape)).dropDuplicates(["class_id"])
-        deeper = materialize(deeper, f"sketches_{number}")
-        members = _members(deeper, f"tier_{number}")
-        pairs = _pairs(members, deeper, bucket, f"tier_{number}")
-        links = links.union(_verified(docs, id_column, pairs, classes, f"tier_{number}"))
-        roots = components(links)
     else:
-        links, roots = _settle(docs, id_column, members, classes, links, roots, bucket)
+        links, roots = _settle(docs, id_column, members, sketches, classes, links, roots, seen, bucket, odd)
     low = roots.join(classes, roots.node == classes.class_id).groupBy("root").agg(F.min("low_id").alias("component_id"))
     placed = materialize(
         roots.join(materialize(low, "component_ids"), "root").select(F.col("node").alias("class_id"), "root", "component_id"),
@@ -379,30 +420,24 @@ def _chosen_texts(docs: DataFrame, id_column: str, classes: DataFrame) -> DataFr
     return texts.join(wanted, texts.id.eqNullSafe(F.col("w_id")) & (texts.text_key == F.col("w_key")), "left_semi")
 
 
-def _settle(docs, id_column, members, classes, links, roots, bucket):
-    """The exact way for buckets that stay open: blocks of leaders until none is left."""
-    bands = classes.select("class_id", "n_shingles", "bits_0", "bits_1")
+def _settle(docs, id_column, members, sketches, classes, links, roots, seen, bucket, odd):
+    """The exact way for buckets that stay open: odd classes in blocks, until none is left."""
     done, number = None, 0
     while True:
-        still = _open_buckets(members, roots, bucket)
-        still = materialize(still, f"settle_{number}")
-        if still.isEmpty():
-            return links, roots
-        block = _next_leaders(still, done, number)
+        label = f"settle_{number}"
+        opened = _open_buckets(members, sketches, roots, bucket, label)
+        waiting = opened.filter("root <> main")
+        if done is not None:
+            waiting = waiting.join(done, ["bucket", "class_id"], "left_anti")
+        # Up to ``odd`` of each bucket: the smallest class of each residue.
+        block = waiting.groupBy("bucket", F.pmod("class_id", F.lit(odd))).agg(F.min("class_id").alias("class_id"))
+        block = materialize(block.select("bucket", "class_id"), f"{label}_block")
         if block.isEmpty():
             return links, roots
-        done = block if done is None else materialize(done.union(block), f"led_{number}")
-        rows = still.drop("leader").join(block, "bucket").filter("class_id <> leader")
-        pairs = materialize(_with_leader(rows, bands).distinct(), f"settle_pairs_{number}")
-        links = links.union(_verified(docs, id_column, pairs, classes, f"settle_{number}"))
+        # A block's classes meet a bucket mate in every bucket they share, so none may be left out here.
+        pairs = _odd_pairs(opened, opened.join(block.select("class_id").distinct(), "class_id", "left_semi"), seen, label)
+        seen = seen.union(pairs)
+        links = links.union(_verified(docs, id_column, pairs, classes, label))
         roots = components(links)
+        done = block if done is None else materialize(done.union(block), f"{label}_done")
         number += 1
-
-
-def _next_leaders(still: DataFrame, done: DataFrame | None, number: int) -> DataFrame:
-    """Up to LEADERS members of each open bucket that have not led it: the smallest of each residue."""
-    rows = still.select("bucket", F.col("class_id").alias("leader"))
-    if done is not None:
-        rows = rows.join(done, ["bucket", "leader"], "left_anti")
-    chosen = rows.groupBy("bucket", F.pmod("leader", F.lit(LEADERS))).agg(F.min("leader").alias("leader"))
-    return materialize(chosen.select("bucket", "leader"), f"leaders_{number}")
