@@ -44,6 +44,7 @@ PERCENT = 75
 TIERS = ((32, 4), (128, 8))
 BUCKET = 32
 ODD = 64
+SMALL_GRAPH = 1_000_000
 _BIT_WORDS = 2
 _ROUND_SHIFT = np.uint64(53)
 
@@ -249,35 +250,56 @@ def _verified(docs: DataFrame, id_column: str, pairs: DataFrame, classes: DataFr
     )
 
 
-def components(links: DataFrame, label: str = "components") -> DataFrame:
+def components(links: DataFrame, label: str = "components", small: int = SMALL_GRAPH) -> DataFrame:
     """(node, root) for each node of ``links`` (a, b); the root is its component's smallest node.
 
     Alternating star contractions: every node hands its larger neighbours, then its smaller ones, to
-    the smallest node it knows, until the edges stay the same.
+    the smallest node it knows, until all edges point at a root. A graph of up to ``small`` edges, two
+    longs each, is joined up by one task instead; counting them comes first.
     """
     edges = materialize(links.select("a", "b").filter("a <> b").distinct(), f"{label}_0")
-    if edges.isEmpty():
-        return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
-    step = 0
-    while True:
+    step, count = 0, edges.count()
+    while count > small:
         both = edges.union(edges.select(F.col("b"), F.col("a")))
         least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{label}_large")
         large = both.join(least, "a").filter("b > a and b <> m").select(F.col("m").alias("a"), "b").distinct()
         large = materialize(large, f"{label}_larged")
         least = materialize(large.groupBy("b").agg(F.min("a").alias("m")), f"{label}_small")
-        small = large.join(least, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
+        tied = large.join(least, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
         step += 1
-        edges = materialize(small.union(least.select(F.col("m").alias("a"), "b")).distinct(), f"{label}_{step}")
+        edges = materialize(tied.union(least.select(F.col("m").alias("a"), "b")).distinct(), f"{label}_{step}")
         # Done when the edges are stars: each node below one other, which is below none.
         uppers, lowers = edges.select("a"), edges.groupBy(F.col("b").alias("a")).count()
         if lowers.filter("count > 1").isEmpty() and uppers.join(lowers, "a", "left_semi").isEmpty():
             break
+    else:
+        return materialize(edges.coalesce(1).mapInArrow(_joined_up, "node bigint, root bigint"), f"{label}_roots")
     roots = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return materialize(
         roots.union(edges.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct(), f"{label}_roots"
     )
 
 
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of all edges of one task: each node takes its neighbours' smallest root until none is smaller."""
+    read = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    if not read:
+        return
+    ends = [np.concatenate(c) for c in zip(*read)]
+    nodes, number = np.unique(np.concatenate(ends), return_inverse=True)
+    a, b = np.split(number, 2)
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[a], root[b])
+        before = root.copy()
+        for side in (root[a], root[b], a, b):
+            np.minimum.at(root, side, low)
+        root = root[root]
+        if (root == before).all():
+            break
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["node", "root"])
+
+
 def _open_buckets(members: DataFrame, sketches: DataFrame, roots: DataFrame, bucket: int, label: str) -> DataFrame:
     """Members of large buckets that lie in several components, with ``root``, ``keys`` and ``main``.
 
@@ -285,7 +307,7 @@ def _open_buckets(members: DataFrame, sketches: DataFrame, roots: DataFrame, buc
     """
     large = members.filter(F.col("size") > bucket).drop("leader")
     placed = large.join(roots, large.class_id == roots.node, "left").withColumn("root", F.coalesce("root", "class_id"))
-    placed = materialize(placed.drop("node"), f"{label}_large")
+    placed = placed.drop("node")
     shares = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     mains = shares.groupBy("bucket").agg(
         F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("parts")
@@ -357,6 +379,8 @@ def _decide(docs: DataFrame, id_column: str, tiers, bucket: int, odd: int) -> Da
         found = _verified(docs, id_column, pairs, classes, label)
         links = found if links is None else links.union(found)
         roots = components(links)
+        if members.filter(F.col("size") > bucket).isEmpty():
+            break
         opened = _open_buckets(members, sketches, roots, bucket, label)
         few = opened.filter(F.col("n_odd") <= odd)
         pairs = _odd_pairs(few, few.filter("root <> main"), seen, label)

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..workspace import materialize
 
 ROWS_PER_RANGE = 20_000
+KEY_BITS = 60
 
 
 def running_totals(rows: DataFrame, group: str, key: str, value: str, ties: list[str], out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of the same group that stand earlier.
 
-    Rows of a group are ordered by ``key``, a hash (long, evenly spread, not null), then by ``ties``;
+    Rows of a group are ordered by ``key``, a hash (see ``stable_key``), then by ``ties``;
     rows equal in all of these change places freely. The key space is cut into equal ranges, so many
     that a range of one group holds about ``ROWS_PER_RANGE`` rows at most. Totals of ranges are summed
     up first; each row is then shuffled once, to its group's range, and sorted there. A hot group is
@@ -21,7 +22,7 @@ def running_totals(rows: DataFrame, group: str, key: str, value: str, ties: list
     """
     total = rows.count()
     ranges = max(1, -(-total // ROWS_PER_RANGE))
-    place = F.floor((F.shiftrightunsigned(F.col(key), 11) / F.lit(float(1 << 53))) * ranges)
+    place = F.floor(F.col(key) / F.lit(float(1 << KEY_BITS)) * ranges)
     rows = rows.withColumn("_range", F.least(place, F.lit(ranges - 1))).withColumn(
         "_group", F.struct(F.col(group).alias("g"))  # a struct is never null, so null groups join
     )
@@ -41,5 +42,10 @@ def running_totals(rows: DataFrame, group: str, key: str, value: str, ties: list
 
 
 def stable_key(*columns: Column | str) -> Column:
-    """An evenly spread long of the columns' values, the same in every run; nulls are skipped."""
-    return F.xxhash64(*columns)
+    """A key from 0 to 2 ** KEY_BITS - 1, evenly spread, that depends on the columns' values alone.
+
+    The first bits of their MD5 as text, joined by colons; a null counts as an empty text.
+    """
+    texts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns]
+    digits = F.substring(F.md5(F.concat_ws(":", *texts).cast("binary")), 1, KEY_BITS // 4)
+    return F.conv(digits, 16, 10).cast("long")

@@ -27,7 +27,7 @@ def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
     )
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat_tree.read_back(*chat_tree.prefix_tree(turns))
+    return chat_tree.read_back(*chat_tree.prefix_tree(turns)).drop("n_tokens")
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +107,95 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
+_FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANK = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_TAGS = "p|div|li|ul|ol|nav|article|h[1-6]|br|tr|td|table|title|head|body|html|section|header|footer"
+
+# op2, op5, op6 and op7 have no SQL: a trained model, CRC-32 and quantile sketches; tests hold them
+# against plain versions. So is the pipeline.
+ORACLES = {
+    "op1_chat_tree": r"""WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (SELECT *, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS body,
+             regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\1\\|', 'g') AS head FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(head) + length(body) + 24) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op3_site_lines": rf"""WITH p AS (
+  SELECT page_id, {_FOLD.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
+         regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+           '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'),
+           '(?i)</?({_TAGS})\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS body FROM pages),
+l AS (SELECT page_id, host,
+             list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(x, {_BLANK})), lambda x: x <> '') AS lines FROM p),
+n AS (SELECT host, count(*) AS total FROM l GROUP BY host),
+u AS (SELECT host, unnest(list_distinct(lines)) AS line FROM l),
+c AS (SELECT host, line FROM u JOIN n USING (host) GROUP BY host, line, total
+      HAVING count(*) >= 3 AND count(*) > 0.2 * total),
+b AS (SELECT host, list(line) AS gone FROM c GROUP BY host),
+k AS (SELECT page_id, host, lines,
+             CASE WHEN gone IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(gone, x)) END AS kept
+      FROM l LEFT JOIN b USING (host))
+SELECT page_id, host, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(kept) AS BIGINT) AS n_dropped,
+       coalesce(array_to_string(kept, chr(10)), '') AS kept_text FROM k""",
+    "op4_mixing": rf"""WITH d AS (
+  SELECT doc_id, source, CAST(len({_WORDS.format("text")}) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS mix_key
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight, 3 * source_size AS cap FROM s),
+o AS (SELECT *, coalesce(sum(cap) OVER before, 0) AS capped,
+             sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+      FROM w WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+x AS (SELECT *, CAST((SELECT sum(source_size) FROM s) - capped AS DOUBLE) / CAST(open_weight AS DOUBLE) AS level FROM o),
+v AS (SELECT level FROM x WHERE level * weight <= cap ORDER BY cap / weight, source NULLS LAST LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN cap < weight * level THEN CAST(cap AS DOUBLE) ELSE weight * level END AS target
+      FROM w, v),
+r AS (SELECT d.*, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS budget,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY mix_key, doc_id, size
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+f AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS whole FROM r)
+SELECT doc_id, size, source_size, target,
+       CAST(whole * size + least(greatest(budget - whole * source_size - earlier, 0), size) AS BIGINT) AS taken FROM f""",
+    "op8_warc": r"""WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS hex,
+             max(page_id) OVER (PARTITION BY body) AS winner FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+         1 + ((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = winner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> winner THEN winner END AS refers_to FROM h""",
+    "op9_minhash": rf"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_FOLD.format("text"))} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+u AS (SELECT doc_id, unnest(s) AS x FROM s),
+h AS (SELECT doc_id, n, hash(x) AS x FROM u JOIN n USING (doc_id)),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS n, count(*) AS c
+      FROM h a JOIN h b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 75 * b.n AND 100 * b.n >= 75 * a.n GROUP BY ALL),
+l AS (SELECT a, b FROM c WHERE 100 * c >= 75 * (n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m ON doc_id = a""",
+    "op10_decontaminate": rf"""WITH t AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(coalesce({_FOLD.format("text")}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM t),
+b AS (SELECT id, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i, w FROM w WHERE kind = 'b' AND len(w) > 0),
+k AS (SELECT DISTINCT id AS item, size, array_to_string(w[i:i + size - 1], ' ') AS x FROM b),
+z AS (SELECT DISTINCT size FROM k),
+d AS (SELECT id, size, unnest(range(1, len(w) - size + 2)) AS i, w FROM w, z WHERE kind = 'd' AND len(w) >= size),
+f AS (SELECT d.id, d.i, d.size, k.item FROM d JOIN k ON k.size = d.size AND array_to_string(d.w[d.i:d.i + d.size - 1], ' ') = k.x),
+g AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + size)) AS p FROM f) GROUP BY id),
+q AS (SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT CAST(item AS VARCHAR), ',' ORDER BY CAST(item AS VARCHAR)) AS items FROM f GROUP BY id)
+SELECT w.id AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN g ON g.id = w.id LEFT JOIN q ON q.id = w.id WHERE kind = 'd'""",
+}

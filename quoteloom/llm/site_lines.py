@@ -33,7 +33,7 @@ def url_host(url: Column) -> Column:
 
 def html_lines(html: Column) -> Column:
     """The text lines of a page: comments, scripts and styles go, block tags end a line, others vanish."""
-    text = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
+    text = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
     text = F.regexp_replace(text, r"(?i)</?(p|div|li|ul|ol|nav|article|h[1-6]|br|tr|td|table|title|head|body|html|section|header|footer)\b[^>]*>", "\n")
     return plain_lines(F.regexp_replace(text, r"<[^>]*>", ""))
 
