@@ -1,23 +1,29 @@
 """Drift checks: schema (column names), null ratios and column types.
 
-Checks return frames of ``schemas.DRIFT`` columns. Only column names reach the driver.
+Checks return frames of ``schemas.DRIFT`` columns. Only column names reach the driver, at most
+``MANY_KEYS`` of them from JSON keys.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import closest_name
+from ..functions import closest_name, feasible_lengths
 from ..schemas import DRIFT
+from ..workspace import materialize
+from .ids import with_dense_ids
 
 NULL_THRESHOLD = 0.1
 NAME_CUTOFF = 0.8
+MANY_KEYS = 1000
+# Severities, and below the message texts and detail keys of each kind of drift.
 INFO, WARNING, CRITICAL = "info", "warning", "critical"
 
 
@@ -90,10 +96,11 @@ def null_counts(df: DataFrame) -> DataFrame:
 def json_null_counts(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """The same per top-level key of JSON objects; a key that an object lacks counts as null there.
 
-    One aggregate per key: no key's rows gather anywhere.
+    One aggregate per key: no key's rows gather anywhere. A parsed ``item`` is used where there is one.
     """
     spark = payloads.sparkSession
-    rows = payloads.select(F.try_parse_json(column).alias("item"))
+    item = F.col("item") if "item" in payloads.columns else F.try_parse_json(column)
+    rows = payloads.select(item.alias("item"))
     keys = rows.lateralJoin(spark.tvf.variant_explode(F.col("item").outer())).select(
         F.col("key").alias("column"), F.is_variant_null("value").alias("is_null")
     )
@@ -151,13 +158,54 @@ def detect(
 def detect_json(
     payloads: DataFrame, expected: Sequence[str], run_ts: datetime | None = None, threshold: float = NULL_THRESHOLD
 ) -> DataFrame:
-    """The same checks for JSON objects, whose columns are their top-level keys."""
+    """The same checks for JSON objects, whose columns are their top-level keys.
+
+    The statistics of the keys stay distributed. Up to ``MANY_KEYS`` names are checked on the driver;
+    beyond that (ids used as keys) only the expected names and the closest key to each missing one get
+    there, and the new names come in several rows of up to ``MANY_KEYS`` each.
+    """
     spark = payloads.sparkSession
-    counted = json_null_counts(payloads).collect()  # one row per feed column
-    counts = spark.createDataFrame(counted, "column string, row_count long, null_count long")
-    nulls = null_drift(counts, F.lit(run_ts).cast("timestamp"), threshold)
-    schema = check_schema(spark, expected, [row["column"] for row in counted], run_ts)
-    return schema.unionByName(nulls.select(*DRIFT.fieldNames()))
+    counts = materialize(json_null_counts(payloads), "key_counts")
+    nulls = null_drift(counts, F.lit(run_ts).cast("timestamp"), threshold).select(*DRIFT.fieldNames())
+    names = [row["column"] for row in counts.select("column").limit(MANY_KEYS + 1).collect()]
+    if len(names) <= MANY_KEYS:
+        return check_schema(spark, expected, names, run_ts).unionByName(nulls)
+    present = [row["column"] for row in counts.where(F.col("column").isin(list(expected))).collect()]
+    missing = sorted(set(expected) - set(present))
+    near = [row["other"] for row in _closest_keys(counts, missing).collect()]  # one per missing name at most
+    schema = check_schema(spark, expected, [*present, *near], run_ts).where("drift_type <> 'schema_extra'")
+    return schema.unionByName(_extra_keys(counts, expected, run_ts)).unionByName(nulls)
+
+
+def _closest_keys(counts: DataFrame, missing: Sequence[str], cutoff: float = NAME_CUTOFF) -> DataFrame:
+    """(name, other, ratio): the key closest to each missing name, where one reaches the cutoff."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            best = [(name, *found) for name in missing if (found := closest_name(name, frame["column"], cutoff))]
+            yield pd.DataFrame(best, columns=["name", "other", "ratio"])
+
+    feasible = feasible_lengths(missing, cutoff) if missing else []
+    keys = counts.where(F.length("column").isin(feasible)).select("column")
+    found = keys.mapInPandas(run, "name string, other string, ratio double")
+    return found.groupBy("name").agg(F.max(F.struct("ratio", "other")).alias("best")).select("name", "best.other", "best.ratio")
+
+
+def _extra_keys(counts: DataFrame, expected: Sequence[str], run_ts: datetime | None) -> DataFrame:
+    """Keys beyond the expected ones in order of their names, so many to a row."""
+    extra = counts.where(~F.col("column").isin(list(expected))).select("column")
+    placed = with_dense_ids(extra, ["column"], "_place", -1)
+    chunks = placed.groupBy(F.floor(F.col("_place") / MANY_KEYS).alias("_chunk")).agg(
+        F.array_sort(F.collect_list("column")).alias("extra_columns")
+    )
+    return chunks.select(
+        F.lit("schema_extra").alias("drift_type"),
+        F.lit(INFO).alias("severity"),
+        F.lit(1.0).alias("confidence"),
+        F.concat(F.lit("New columns detected: "), F.array_join("extra_columns", ", ")).alias("message"),
+        F.to_json(F.struct("extra_columns")).alias("details"),
+        F.lit(run_ts).cast("timestamp").alias("timestamp"),
+    )
 
 
 def has_critical(drift: DataFrame) -> bool:

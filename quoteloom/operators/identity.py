@@ -75,11 +75,15 @@ class Resolution:
         return records.join(self.keys, ["source", "symbol"], "left")
 
 
-def _join_coin(rows: DataFrame, lookup: Column, coins: DataFrame, out: str) -> DataFrame:
+def _join_coin(rows: DataFrame, lookup: Column, coins: DataFrame, out: str, few: bool = False) -> DataFrame:
     """Add the id of the coin whose symbol equals ``lookup``.
 
-    A row that finds a symbol which several coins share is an error.
+    A row that finds a symbol which several coins share is an error. When the rows are ``few`` beside
+    the coins, only coins with their symbols are grouped and written.
     """
+    if few:
+        wanted = rows.select(lookup.alias("_wanted")).distinct()
+        coins = coins.join(wanted, F.col("symbol") == F.col("_wanted"), "left_semi")
     by_symbol = coins.groupBy(F.col("symbol").alias("_symbol")).agg(
         F.min("coin_id").alias("_id"), F.count("*").alias("_n")
     )
@@ -135,17 +139,18 @@ def resolve_entities(
         "source", F.col("source_id").alias("sid"), F.col("coin_id").alias("mapped_id")
     )
     looked_up = firsts.select("source", "sid", "_row.*").join(mapped, ["source", "sid"], "left")
-    # Only unmapped rows look up their symbol, so that a shared symbol fails only where it is used.
-    lookup = F.when(F.col("mapped_id").isNull(), F.col("symbol"))
-    known = materialize(_join_coin(looked_up, lookup, coins, "symbol_id"), "entity_lookup")
-
-    # In the steady state nothing is new, and the steps below are left out.
-    unmapped = F.col("mapped_id").isNull()
-    news = known.agg(
-        F.coalesce(F.bool_or(unmapped), F.lit(False)).alias("links"),
-        F.coalesce(F.bool_or(unmapped & F.col("symbol_id").isNull()), F.lit(False)).alias("creates"),
-    ).first()
-    links, creates = news["links"], news["creates"]
+    first_rows = materialize(looked_up, "entity_first_rows")
+    # Only unmapped rows look up their symbol, so that a shared symbol fails only where it is used, and
+    # the mapped ones, all rows in the steady state, take no part in the join with the coins.
+    old = first_rows.where("mapped_id IS NOT NULL").withColumn("symbol_id", F.lit(None).cast("long"))
+    new = first_rows.where("mapped_id IS NULL")
+    links, creates = not new.isEmpty(), False
+    if links:
+        new = materialize(_join_coin(new, F.col("symbol"), coins, "symbol_id", few=True), "entity_lookup")
+        creates = not new.where("symbol_id IS NULL").isEmpty()
+    else:
+        new = new.withColumn("symbol_id", F.lit(None).cast("long"))
+    known = old.unionByName(new)
     missing = known.where("mapped_id IS NULL AND symbol_id IS NULL")
     creators = missing.groupBy("symbol").agg(
         F.min_by(F.struct("source", "sid", "name", "arrival"), "arrival").alias("_row")

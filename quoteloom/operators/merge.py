@@ -44,10 +44,10 @@ def merge_rows(
     """Upsert as a full outer join of two frames with unique keys.
 
     A match takes the batch's ``updates`` (nulls too) and keeps every other target column; a new key
-    is inserted whole. Both sides have at most one row per key, so no partition is skewed.
+    is inserted whole. Null key values match each other. Both sides have at most one row per key, so no partition is skewed.
     """
     t, b = target.alias("t"), batch.withColumn("_hit", F.lit(True)).alias("b")
-    joined = t.join(b, [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys], "full_outer")
+    joined = t.join(b, [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "full_outer")
     hit = F.col("b._hit")
 
     def column(name: str):

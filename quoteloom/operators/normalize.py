@@ -15,7 +15,7 @@ from ..functions import (
     parse_timestamp,
     to_decimal,
 )
-from ..schemas import AMOUNT, MAX_SYMBOL_LENGTH, PRICE
+from ..schemas import AMOUNT, MAX_SYMBOL_LENGTH, OVERFLOW, PRICE
 
 # CSV header names and the internal names they map to.
 CSV_COLUMNS = {
@@ -177,17 +177,18 @@ def normalize_csv(raw: DataFrame, source: str | Column = "csv", run_ts: datetime
     A missing symbol column means "UNKNOWN", a missing time column means now; an empty or unreadable
     time rejects the row, an unreadable number becomes null.
     """
-    kept = [c for c in ("feed_source", "raw") if c in raw.columns]
+    kept = [c for c in ("feed_source", "raw", OVERFLOW) if c in raw.columns]
     chosen = renamed_columns([c for c in raw.columns if c not in ("arrival", *kept)])
 
     def text(name: str) -> Column:
         return F.col(f"`{chosen[name]}`") if name in chosen else F.lit(None).cast("string")
 
     raw_symbol = F.coalesce(text("symbol"), F.lit("")) if "symbol" in chosen else F.lit("UNKNOWN")
-    payload = F.to_json(
-        F.struct(*[F.col(f"`{feed}`").alias(name) for name, feed in chosen.items()]),
-        {"ignoreNullFields": "false"},
-    )
+    cells = [F.col(f"`{feed}`").alias(name) for name, feed in chosen.items()]
+    payload = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
+    if OVERFLOW in raw.columns:  # cells beyond the header show in the payload of their rows only
+        longer = F.to_json(F.struct(*cells, F.col(OVERFLOW)), {"ignoreNullFields": "false"})
+        payload = F.when(F.col(OVERFLOW).isNotNull(), longer).otherwise(payload)
     columns = {
         "source_id": first_filled(text("id"), raw_symbol),
         "name": first_filled(text("name"), raw_symbol),

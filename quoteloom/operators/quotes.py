@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ids import with_dense_ids
+
 DEFAULT_PAGE, MAX_PAGE = 50, 500
 DIRECT_ROWS = 5_000
 
@@ -44,7 +46,8 @@ def page(quotes: DataFrame, tie_break: list[str], limit: int = DEFAULT_PAGE, off
     """Newest first. Planned as a top-k, so each task keeps at most offset + limit rows.
 
     A deep offset is first narrowed to the time range that holds the page, by counting rows per day,
-    hour, minute and second, so that the top-k stays small however deep the page lies.
+    hour, minute and second, so that the top-k stays small however deep the page lies. Where that many
+    rows share a second, those of the second are sorted in ranges and numbered instead.
     """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
@@ -54,10 +57,20 @@ def page(quotes: DataFrame, tie_break: list[str], limit: int = DEFAULT_PAGE, off
         if offset + limit <= DIRECT_ROWS:
             break
         quotes, offset = _narrow(quotes, unit, offset, limit)
+    if offset + limit > DIRECT_ROWS:
+        return _placed(quotes, tie_break, limit, offset)
     ordered = quotes.orderBy(F.col("timestamp").desc_nulls_first(), *tie_break)
     return ordered.offset(offset).limit(limit) if offset else ordered.limit(limit)
 
 
+def _placed(quotes: DataFrame, tie_break: list[str], limit: int, offset: int) -> DataFrame:
+    """A page deep among rows of one second: they are sorted over all tasks and numbered."""
+    newest_first = quotes.withColumn("_newest", -F.unix_micros(F.col("timestamp").cast("timestamp")))
+    placed = with_dense_ids(newest_first, ["_newest", *tie_break], "_place", -1)
+    page_rows = placed.where(F.col("_place").between(offset, offset + limit - 1))
+    return page_rows.orderBy("_place").drop("_place", "_newest")
+
+
 def _narrow(quotes: DataFrame, unit: str, offset: int, limit: int) -> tuple[DataFrame, int]:
     """The rows of the time units that hold the page, and the offset within them.
 

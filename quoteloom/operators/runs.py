@@ -152,6 +152,7 @@ def failure_rates(runs: DataFrame, by: list[str] | None = None, threshold: float
         .where(F.col("value") > threshold)
         .withColumn("type", F.lit("high_failure_rate"))
         .withColumn("threshold", F.lit(threshold))
+        .withColumn("message", F.format_string("%.1f%% of recent jobs failed", F.col("value") * 100))  # fixed text
     )
 
 
@@ -183,7 +184,10 @@ def run_report(
 
 
 def compare_runs(runs: DataFrame, run_id_1: int, run_id_2: int) -> DataFrame:
-    """Second run minus first: records, and seconds when both are completed. Empty if one is missing."""
+    """Second run minus first: records, and seconds when both are completed.
+
+    Two different runs must exist; else the query fails.
+    """
     picked = runs.where(F.col("id").isin(run_id_1, run_id_2))
 
     def of(run_id: int, value: Column) -> Column:
@@ -196,9 +200,10 @@ def compare_runs(runs: DataFrame, run_id_1: int, run_id_2: int) -> DataFrame:
             (of(run_id_2, records) - of(run_id_1, records)).alias("records_processed_diff"),
             (of(run_id_2, duration()) - of(run_id_1, duration())).alias("duration_delta"),
         )
-        .where(F.col("_found") == 2)
         .select(
-            F.lit(run_id_1).cast("long").alias("run_id_1"),
+            F.when(F.col("_found") == 2, F.lit(run_id_1).cast("long"))
+            .otherwise(F.raise_error("One or both runs not found").cast("long"))
+            .alias("run_id_1"),
             F.lit(run_id_2).cast("long").alias("run_id_2"),
             "records_processed_diff",
             "duration_delta",

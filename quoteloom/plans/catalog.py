@@ -1,6 +1,6 @@
 """All named queries; importing the modules registers them."""
 
-from . import cleaning, drift_side, entities, feeds, read_side, run_side, state  # noqa: F401
+from . import cleaning, drift_side, entities, feeds, jobs, read_side, run_side, state  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from ..operators import normalize
+from ..schemas import OVERFLOW
 from ..sources import Store, get_source, read_csv_feed, read_markets_json, read_tickers_json
 from ..streaming import stream_table
 from ..workspace import scratch_path
@@ -34,7 +35,7 @@ def csv_feed(spark, sf_dir):
     ).write.option("header", "true").option("sep", ";").option("emptyValue", "").option(
         "ignoreLeadingWhiteSpace", "false"
     ).option("ignoreTrailingWhiteSpace", "false").csv(path)
-    rows = read_csv_feed(spark, path).drop("arrival")
+    rows = read_csv_feed(spark, path).drop("arrival", OVERFLOW)
     return rows.withColumn("event_id", F.col("event_id").cast("long"))
 
 
@@ -52,9 +53,9 @@ def _write_pages(rows, path):
 _RUN_TS = datetime(2024, 6, 1, tzinfo=timezone.utc)
 
 
-def _market_pages(spark, sf_dir):
+def market_pages(spark, sf_dir, where="true"):
     """Flat objects. An error's price is the text "N/A", which rejects the row; signups have no time."""
-    events = b.table(spark, sf_dir, "events")
+    events = b.table(spark, sf_dir, "events").where(where)
     item = F.struct(
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("id"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("symbol"),
@@ -81,7 +82,7 @@ def _market_pages(spark, sf_dir):
        CASE WHEN event_type = 'error' THEN 'bad_number' END AS reject_reason FROM events""",
 )
 def markets_feed(spark, sf_dir):
-    pages = read_markets_json(spark, _market_pages(spark, sf_dir), pages="lines")
+    pages = read_markets_json(spark, market_pages(spark, sf_dir), pages="lines")
     rows = normalize.normalize_markets(pages, run_ts=_RUN_TS)
     return rows.select(
         F.col("name").cast("long").alias("event_id"),
@@ -108,7 +109,7 @@ def ingest_feed(spark, sf_dir):
     depends on the files' times, so those rows show no price."""
     store = Store(spark, scratch_path(spark, "ingest_feed"))
     spec = replace(get_source("coingecko"), read=partial(read_markets_json, pages="lines"))
-    run_source(store, "coingecko", _market_pages(spark, sf_dir), run_ts=_RUN_TS, spec=spec)
+    run_source(store, "coingecko", market_pages(spark, sf_dir), run_ts=_RUN_TS, spec=spec)
     coins = store.read("coins").select("coin_id", F.col("symbol").alias("coin"))
     price = F.when(F.col("timestamp") != F.lit(_RUN_TS).cast("timestamp"), F.col("price_usd").cast("double"))
     return store.read("quotes").join(coins, "coin_id").select(
@@ -143,7 +144,8 @@ def tickers_feed(spark, sf_dir):
     )
     path = scratch_path(spark, "tickers")
     _write_pages(events.select("event_id", item.alias("item")), path)
-    rows = normalize.normalize_tickers(read_tickers_json(spark, path, pages="lines"))
+    # Several pages in one file, read whole: every line is an array of its own.
+    rows = normalize.normalize_tickers(read_tickers_json(spark, path, pages="files"))
     money = [F.col(c).cast("double").alias(c) for c in ("price_usd", "volume_24h")]
     return rows.select("source_id", "symbol", *money, "reject_reason")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import truncate_error
 from ..operators import drift, identity, merge, normalize, quality, runs
-from ..schemas import FAILURE, LEDGER, QUOTE_KEY, RUNNING, SUCCESS
+from ..schemas import FAILURE, LEDGER, OVERFLOW, QUOTE_KEY, RUNNING, SUCCESS
 from ..session import tune
 from ..sources.registry import FeedSpec, get_source
 from ..sources.store import Store, with_event_date
@@ -25,6 +25,10 @@ class RunFailed(RuntimeError):
     """A run that ended in failure; the ledger holds the (shortened) message."""
 
 
+class PublicationPending(RunFailed):
+    """A run that is committed but not yet wholly in the tables; ``recover`` (or the next run) completes it."""
+
+
 @dataclass(frozen=True)
 class RunResult:
     job_id: int
@@ -41,26 +45,27 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _ledger_row(store: Store, **fields) -> None:
+def _ledger_row(store: Store, **fields) -> DataFrame:
     message = fields.pop("error_message", None)
     row = store.spark.createDataFrame([tuple(fields.get(n) for n in LEDGER.fieldNames())], LEDGER)
     if message is not None:
         row = row.withColumn("error_message", truncate_error(F.lit(message)))
-    store.append("ledger", row)
+    return row
 
 
 def start_job(store: Store, source: str, run_ts: datetime, batch_id: int | None = None) -> int:
     """Open a run and return its id. Runs of one store are opened one at a time."""
     last = store.read("ledger").agg(F.max("id")).first()[0]
     job_id = (last or 0) + 1
-    _ledger_row(
+    row = _ledger_row(
         store, id=job_id, source=source, status=RUNNING, records_processed=0, started_at=run_ts,
         batch_id=batch_id, revision=0,
     )
+    store.append("ledger", row)
     return job_id
 
 
-def finish_job(
+def _closed(
     store: Store,
     job_id: int,
     source: str,
@@ -71,14 +76,34 @@ def finish_job(
     checkpoint: datetime | None = None,
     error: str | None = None,
     batch_id: int | None = None,
-) -> None:
-    _ledger_row(
+) -> DataFrame:
+    """The ledger row that closes a run."""
+    return _ledger_row(
         store, id=job_id, source=source, status=status, last_processed_timestamp=checkpoint,
         records_processed=records, started_at=started_at, completed_at=completed_at,
         error_message=error, batch_id=batch_id, revision=1,
     )
 
 
+def finish_job(store: Store, *args, **fields) -> None:
+    """Close a run that leaves nothing to publish; takes the arguments of ``_closed``."""
+    store.append("ledger", _closed(store, *args, **fields))
+
+
+def recover(store: Store) -> list[str]:
+    """Complete committed runs that were interrupted, and close the others as failures.
+
+    Runs of one store are serial, so a run that is still open when another begins has died.
+    """
+    published = store.recover()
+    for row in store.runs().where(F.col("status") == RUNNING).collect():  # the one run that died, as a rule
+        finish_job(
+            store, row["id"], row["source"], FAILURE, row["started_at"], row["started_at"],
+            error="interrupted before its commit", batch_id=row["batch_id"],
+        )
+    return published
+
+
 def checkpoint_of(store: Store, source: str, literal: bool = False) -> datetime | None:
     """Checkpoint for the next run; ``literal`` also honours successful runs that found nothing."""
     picked = runs.latest_checkpoint if literal else runs.carried_checkpoint
@@ -100,15 +125,28 @@ def load_batch(
     job_id: int,
     run_ts: datetime,
     use_record_source_id: bool = False,
+    completed_at: datetime | None = None,
+    batch_id: int | None = None,
 ) -> RunResult:
-    """Normalize, check, resolve and upsert one batch of raw feed rows.
+    """Normalize, check, resolve and upsert one batch of raw feed rows, and close its run.
 
     The rows are parsed once, into the run's part of the audit table, of which all later steps read
-    only the columns they need. New coins and mappings come before the quotes that use them, the quotes before the
-    ledger row that commits the run.
+    only the columns they need. New coins, new mappings and the merged days are staged; the run's
+    ledger row, staged last, commits them; then all are moved into the tables. An error before the
+    commit leaves the tables as they were, one after it raises ``PublicationPending``.
     """
     with scratch_scope(store.spark, f"run-{job_id}"):
-        return _load(store, source, raw, spec, job_id, run_ts, use_record_source_id)
+        result = _load(store, source, raw, spec, job_id, run_ts, use_record_source_id)
+    closing = _closed(
+        store, job_id, source, SUCCESS, run_ts, completed_at or _now(), result.records_processed, result.checkpoint,
+        batch_id=batch_id,
+    )
+    store.commit_run(job_id, closing)
+    try:
+        store.publish_run(job_id)
+    except Exception as problem:
+        raise PublicationPending(f"{source}: run {job_id} is committed, its publication failed: {problem}") from problem
+    return result
 
 
 def _load(
@@ -116,7 +154,7 @@ def _load(
 ) -> RunResult:
     now: Column = F.lit(run_ts).cast("timestamp")
     if spec.columnar:  # the drift check needs the feed's own columns
-        raw = raw.withColumn("raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != "arrival"]))
+        raw = raw.withColumn("raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns if c not in ("arrival", OVERFLOW)]))
     # The audit rows, written once with their parsed columns; they count when the run succeeds.
     audit_path = store.run_path("raw", source, job_id)
     parsed = spec.normalize(raw, source, now).drop("source").withColumn("created_at", now)
@@ -144,9 +182,9 @@ def _load(
     )
     if resolution.creates:
         quality.assert_insertable(resolution.new_coins, coins, ["slug"], "coin slug")
-        store.append("coins", resolution.new_coins)
+        store.stage_rows(job_id, "coins", resolution.new_coins)
     if resolution.links:
-        store.append("mappings", resolution.new_mappings)
+        store.stage_rows(job_id, "mappings", resolution.new_mappings)
 
     quotes = resolution.attach(good).select(
         *QUOTE_KEY, "symbol", "price_usd", "market_cap", "volume_24h", "arrival"
@@ -155,8 +193,8 @@ def _load(
     batch = materialize(with_event_date(batch), "batch")
     per_day = batch.groupBy("event_date").count().collect()  # one row per day
     affected = sum(row["count"] for row in per_day)
-    staged = store.stage_quotes(batch, job_id, [row["event_date"] for row in per_day])
-    store.publish_quotes(staged)
+    days = [row["event_date"] for row in per_day]
+    store.stage_quotes(batch, job_id, days, f"{store.run_stage(job_id)}/quotes")
     checkpoint = totals["checkpoint"].replace(tzinfo=timezone.utc)
     return RunResult(
         job_id, source, SUCCESS, affected, totals["read"], totals["read"] - totals["good"],
@@ -173,26 +211,35 @@ def run_source(
     use_record_source_id: bool = False,
     spec: FeedSpec | None = None,
 ) -> RunResult:
-    """Run one source. Raises RunFailed after the failure is in the ledger; quotes are then untouched.
+    """Run one source. Raises RunFailed after the failure is in the ledger; all tables are then as before.
 
-    ``spec`` may replace the registered one, for example to read another page layout.
+    A run whose commit is written but not its publication raises PublicationPending: it is a success
+    that the next run, or ``recover``, completes. ``spec`` may replace the registered one, for example
+    to read another page layout.
     """
     spec = spec or get_source(source)
     tune(store.spark)
-    store.recover()
+    recover(store)
     started = run_ts or _now()
     job_id = start_job(store, source, started)
     try:
         checkpoint = None if force_full else checkpoint_of(store, source)
         raw = spec.newer(spec.read(store.spark, path), checkpoint)
-        result = load_batch(store, source, raw, spec, job_id, started, use_record_source_id)
+        return load_batch(store, source, raw, spec, job_id, started, use_record_source_id, run_ts)
     except Exception as problem:
-        finish_job(store, job_id, source, FAILURE, started, _finished(run_ts), error=str(problem))
-        raise RunFailed(f"ETL failed for {source}: {problem}") from problem
-    finish_job(
-        store, job_id, source, SUCCESS, started, _finished(run_ts), result.records_processed, result.checkpoint
-    )
-    return result
+        raise fail_run(store, job_id, source, started, _finished(run_ts), problem) from problem
+
+
+def fail_run(
+    store: Store, job_id: int, source: str, started: datetime, completed: datetime, problem: Exception,
+    batch_id: int | None = None,
+) -> RunFailed:
+    """Close a run after an error, unless it is committed; returns what to raise."""
+    if store.is_committed(job_id):
+        return problem if isinstance(problem, PublicationPending) else PublicationPending(str(problem))
+    store.drop_stage(job_id)
+    finish_job(store, job_id, source, FAILURE, started, completed, error=str(problem), batch_id=batch_id)
+    return RunFailed(f"ETL failed for {source}: {problem}")
 
 
 def _finished(run_ts: datetime | None) -> datetime:

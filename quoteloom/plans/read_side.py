@@ -61,6 +61,27 @@ def list_quotes(spark, sf_dir):
     return _listed(q.page(rows, ["event_id"], limit=50, offset=20))
 
 
+@query(
+    "list_quotes_symbol",
+    f"""WITH {b.QUOTES_SQL}
+SELECT {_LIST} FROM quotes WHERE symbol = 'U7' ORDER BY "timestamp" DESC, event_id LIMIT 500""",
+)
+def list_quotes_symbol(spark, sf_dir):
+    rows = q.filter_quotes(b.quotes(spark, sf_dir), symbol="u7")
+    return _listed(q.page(rows, ["event_id"], limit=500))
+
+
+@query(
+    "list_quotes_tied",
+    f"""WITH {b.QUOTES_SQL}, days AS (SELECT * REPLACE (date_trunc('month', "timestamp") AS "timestamp") FROM quotes)
+SELECT {_LIST} FROM days ORDER BY "timestamp" DESC, event_id LIMIT 500 OFFSET 8000""",
+)
+def list_quotes_tied(spark, sf_dir):
+    """A deep page among rows that share their time."""
+    rows = b.quotes(spark, sf_dir).withColumn("timestamp", F.date_trunc("month", "timestamp"))
+    return _listed(q.page(rows, ["event_id"], limit=500, offset=8000))
+
+
 @query(
     "list_quotes_deep",
     f"""WITH {b.QUOTES_SQL}

@@ -149,7 +149,8 @@ def record_outliers(spark, sf_dir):
     f"""WITH {b.LEDGER_SQL},
 rates AS (SELECT source, CAST(count(*) FILTER (status = 'failure') AS DOUBLE)
                  / count(*) FILTER (status <> 'running') AS rate FROM runs GROUP BY source)
-SELECT source, round(rate, 6) AS value, 'high_failure_rate' AS type, CAST(0.3 AS DOUBLE) AS threshold
+SELECT source, round(rate, 6) AS value, 'high_failure_rate' AS type, CAST(0.3 AS DOUBLE) AS threshold,
+       printf('%.1f%% of recent jobs failed', rate * 100) AS message
 FROM rates WHERE rate > 0.3""",
 )
 def failure_rate(spark, sf_dir):

@@ -9,6 +9,9 @@ AMOUNT = T.DecimalType(30, 2)
 SOURCES = ("coinpaprika", "coingecko", "csv")
 SUCCESS, FAILURE, RUNNING = "success", "failure", "running"
 
+# Column of CSV rows: the text of a row that has more filled cells than its header has names, else null.
+OVERFLOW = "_overflow"
+
 MAX_SYMBOL_LENGTH = 20
 MAX_ERROR_LENGTH = 990
 

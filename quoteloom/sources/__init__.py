@@ -2,7 +2,7 @@
 
 from .csv_feed import FeedError, read_csv_feed
 from .json_feeds import read_markets_json, read_tickers_json
-from .registry import FeedSpec, get_source, list_sources, register_source, registered_names
+from .registry import FeedSpec, get_source, list_sources, register_source, registered_names, remove_source
 from .store import Store
 
 __all__ = [
@@ -16,4 +16,5 @@ __all__ = [
     "read_tickers_json",
     "register_source",
     "registered_names",
+    "remove_source",
 ]

@@ -1,25 +1,30 @@
 """CSV feed reader.
 
-Only headers pass through the driver. The files are read by Spark, split at line ends, unless a
-quoted field holds a line break; that is looked for first because such a file cannot be split.
+Only headers pass through the driver. The files are read by Spark, split at line ends, but for those in
+which a quoted field holds a line break; they are looked for first because they cannot be split.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import OVERFLOW
 from ..workspace import list_files, read_head
 
 SNIFF_BYTES = 1024
+MAX_HEADER_BYTES = 1 << 26
 DELIMITERS = ",;\t"
+_CORRUPT = "_corrupt"
 
 
 class FeedError(ValueError):
@@ -49,7 +54,9 @@ def _header(spark: SparkSession, path: str, sep: str) -> tuple[str, str, tuple[s
         except csv.Error as problem:
             raise FeedError(f"Failed to read CSV file: {path}: {problem}") from problem
         sep, quote = dialect.delimiter, dialect.quotechar or '"'
-    while "\n" not in head and len(head) >= size // 4 and size < 1 << 20:
+    while "\n" not in head and len(head) >= size // 4:
+        if size >= MAX_HEADER_BYTES:
+            raise FeedError(f"CSV header is longer than {MAX_HEADER_BYTES} bytes: {path}")
         size *= 4
         longer = read_head(spark, path, size).decode("utf-8", errors="ignore")
         if longer == head:
@@ -66,15 +73,21 @@ def _unique(names: tuple[str, ...]) -> tuple[list[str], list[str]]:
     return physical, [last[name] for name in dict.fromkeys(names)]
 
 
-def _breaks_in_quotes(spark: SparkSession, paths: list[str], quote: str) -> bool:
-    """True when some line holds an odd number of quotes, so a field runs over the line end."""
+def _plain(path: str) -> str:
+    """One spelling for a file, whether listed or from the metadata column."""
+    return unquote(re.sub(r"^file:/+", "/", path))
+
+
+def _with_breaks(spark: SparkSession, paths: list[str], quote: str) -> set[str]:
+    """Files in which some line holds an odd number of quotes, so a field runs over the line end."""
     lines = spark.read.text(paths)
     quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
-    return not lines.where(quotes % 2 == 1).limit(1).isEmpty()
+    found = lines.where(quotes % 2 == 1).select("_metadata.file_path").distinct().collect()  # one row a file at most
+    return {_plain(row[0]) for row in found}
 
 
 def read_csv_feed(spark: SparkSession, path: str, sep: str = "auto", multiline: bool | str = "auto") -> DataFrame:
-    """All-string columns with trimmed, lower-cased names, plus ``arrival`` (row order).
+    """All-string columns with trimmed, lower-cased names, plus ``arrival`` (row order) and OVERFLOW.
 
     ``path`` is a file, a directory or a glob. Each file may have its own separator and columns.
     ``multiline`` may be fixed when the caller knows whether quoted fields span lines.
@@ -82,33 +95,54 @@ def read_csv_feed(spark: SparkSession, path: str, sep: str = "auto", multiline:
     files = list_files(spark, path)
     if not files:
         raise FeedError(f"CSV file not found: {path}")
+    rows = read_csv_files(spark, files, sep, multiline)
+    if rows is None:
+        raise FeedError(f"CSV file is empty: {path}")
+    return rows
+
+
+def read_csv_files(
+    spark: SparkSession, files: list[str], sep: str = "auto", multiline: bool | str = "auto"
+) -> DataFrame | None:
+    """The rows of the given files, each read by its own header; None when all of them are empty."""
     groups: dict[tuple, list[str]] = defaultdict(list)
     with ThreadPoolExecutor(16) as pool:
         for name, header in zip(files, pool.map(lambda f: _header(spark, f, sep), files)):
             if header is not None:
                 groups[header].append(name)
-    if not groups:
-        raise FeedError(f"CSV file is empty: {path}")
-
     parts = []
     for (delimiter, quote, names), members in groups.items():
-        spans = _breaks_in_quotes(spark, members, quote) if multiline == "auto" else multiline
-        physical, kept = _unique(names)
-        rows = (
-            spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in physical]))
-            .option("header", "true")
-            .option("enforceSchema", "true")
-            .option("sep", delimiter)
-            .option("quote", quote)
-            .option("escape", quote)
-            .option("multiLine", str(bool(spans)).lower())
-            .csv(members)
-        )
-        in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        parts.append(
-            rows.select(
-                *[F.col(c).alias(name) for c, name in zip(kept, dict.fromkeys(names))],
-                arrival_column(in_partition, F.col("_metadata.file_block_start")).alias("arrival"),
-            )
-        )
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if multiline == "auto":
+            broken = _with_breaks(spark, members, quote)
+            spans = [(True, [f for f in members if _plain(f) in broken]), (False, [f for f in members if _plain(f) not in broken])]
+        else:
+            spans = [(bool(multiline), members)]
+        parts += [_read_group(spark, own, names, delimiter, quote, whole) for whole, own in spans if own]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
+def _read_group(
+    spark: SparkSession, files: list[str], names: tuple[str, ...], sep: str, quote: str, multiline: bool
+) -> DataFrame:
+    """Files with one header. ``multiline`` files are read whole, one task each."""
+    physical, kept = _unique(names)
+    options = {"sep": sep, "quote": quote, "escape": quote}
+    rows = (
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in [*physical, _CORRUPT]]))
+        .options(**options)
+        .option("header", "true")
+        .option("enforceSchema", "true")
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("multiLine", str(multiline).lower())
+        .csv(files)
+    )
+    # Rows with fewer or more cells than names come with their text; one more cell is enough to tell.
+    wider = ", ".join(f"{c} string" for c in [*physical, "extra"])
+    beyond = F.from_csv(F.col(_CORRUPT), wider, options)
+    overflow = F.when(F.col(_CORRUPT).isNotNull() & beyond.getField("extra").isNotNull(), F.col(_CORRUPT))
+    in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.select(
+        *[F.col(c).alias(name) for c, name in zip(kept, dict.fromkeys(names))],
+        arrival_column(in_partition, F.col("_metadata.file_block_start")).alias("arrival"),
+        overflow.alias(OVERFLOW),
+    )

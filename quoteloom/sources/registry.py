@@ -40,6 +40,11 @@ def register_source(name: str, spec: FeedSpec) -> None:
     _REGISTRY[name] = spec
 
 
+def remove_source(name: str) -> None:
+    """Forget a registered source."""
+    _REGISTRY.pop(name, None)
+
+
 def get_source(name: str) -> FeedSpec:
     try:
         return _REGISTRY[name]

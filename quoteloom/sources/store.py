@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import merge, runs
-from ..workspace import list_children, materialize, move_path, path_exists, remove_path
+from ..workspace import list_children, materialize, move_files, move_path, path_exists, remove_path
 
 SCHEMAS = {
     "coins": schemas.COINS,
@@ -34,7 +34,7 @@ def raw_rows(df: DataFrame, created_at: Column | None = None) -> DataFrame:
     if "payload" in df.columns:
         payload = F.col("payload")
     else:
-        packed = [F.col(f"`{c}`") for c in df.columns if c not in ("source", "arrival")]
+        packed = [F.col(f"`{c}`") for c in df.columns if c not in ("source", "arrival", schemas.OVERFLOW)]
         payload = F.to_json(F.struct(*packed), {"ignoreNullFields": "false"})
     created = created_at if created_at is not None else F.lit(None).cast("timestamp")
     return df.select("source", payload.alias("payload"), created.alias("created_at"))
@@ -90,17 +90,20 @@ class Store:
 
     # Quotes
 
-    def stage_quotes(self, batch: DataFrame, job_id: int, days: list | None = None) -> str:
+    def stage_quotes(self, batch: DataFrame, job_id: int, days: list | None = None, staged: str | None = None) -> str:
         """Write what the touched days will hold after the upsert; the quote table stays as it is.
 
         ``batch`` has unique keys and an event_date. Only the ``days`` it touches (looked up when not
-        given) are read and joined.
+        given) are read and joined; rows without a time have a day of their own.
         """
         if days is None:
             days = [row[0] for row in batch.select("event_date").distinct().collect()]  # one per day
-        target = self.read("quotes").where(F.col("event_date").isin(days)) if days else self.read("quotes").limit(0)
+        touched = F.col("event_date").isin([day for day in days if day is not None])
+        if None in days:
+            touched = touched | F.col("event_date").isNull()
+        target = self.read("quotes").where(touched) if days else self.read("quotes").limit(0)
         merged = merge.merge_rows(target, batch.select(*target.columns))
-        staged = f"{self.path(STAGED)}/quotes-{job_id}"
+        staged = staged or f"{self.path(STAGED)}/quotes-{job_id}"
         _by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             "event_date"
         ).parquet(staged)
@@ -117,33 +120,75 @@ class Store:
                 move_path(self.spark, f"{staged}/{day}", f"{self.path('quotes')}/{day}")
         remove_path(self.spark, staged)
 
+    # One run's tables: staged together, committed by its ledger row, then published
+
+    def run_stage(self, job_id: int) -> str:
+        return f"{self.path(STAGED)}/run-{job_id}"
+
+    def stage_rows(self, job_id: int, table: str, rows: DataFrame) -> None:
+        """Write rows that the run will append to an unpartitioned table."""
+        schema = SCHEMAS[table]
+        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        typed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{self.run_stage(job_id)}/{table}"
+        )
+
+    def commit_run(self, job_id: int, ledger_row: DataFrame) -> None:
+        """The run's final ledger row makes its stage complete: from here on it is only rolled forward."""
+        self.stage_rows(job_id, "ledger", ledger_row)
+
+    def publish_run(self, job_id: int) -> None:
+        """Move a committed run's rows into the tables, its ledger row last; can be repeated."""
+        staged = self.run_stage(job_id)
+        for table in ("coins", "mappings"):
+            move_files(self.spark, f"{staged}/{table}", self.path(table))
+        self.publish_quotes(f"{staged}/quotes")
+        move_files(self.spark, f"{staged}/ledger", self.path("ledger"))
+        remove_path(self.spark, staged)
+
+    def drop_stage(self, job_id: int) -> None:
+        remove_path(self.spark, self.run_stage(job_id))
+
+    def is_committed(self, job_id: int) -> bool:
+        return path_exists(self.spark, f"{self.run_stage(job_id)}/ledger/_SUCCESS")
+
     def recover(self) -> list[str]:
-        """Publish completely staged days that an interrupted run left, and drop incomplete ones.
+        """Roll forward what an interrupted run or compaction had completed, drop the rest.
 
-        A stage is complete once its _SUCCESS file exists. Its run may have replaced some days
-        already, so publishing again is the only way to a whole table.
+        A run's stage is complete once its ledger row is written, other stages once their _SUCCESS
+        file exists. Some of it may be in the tables already; publishing again completes them.
         """
         published = []
         for name in list_children(self.spark, self.path(STAGED)):
             staged = f"{self.path(STAGED)}/{name}"
-            if path_exists(self.spark, f"{staged}/_SUCCESS"):
-                self.publish_quotes(staged)
-                published.append(name)
-            else:
+            kind, _, what = name.partition("-")
+            if kind == "run" and self.is_committed(int(what)):
+                self.publish_run(int(what))
+            elif kind == "run" or not path_exists(self.spark, f"{staged}/_SUCCESS"):
                 remove_path(self.spark, staged)
+                continue
+            elif kind == "compact":
+                move_path(self.spark, staged, self.path(what))
+            else:
+                self.publish_quotes(staged)
+            published.append(name)
         return published
 
     def clear_drift_log(self) -> None:
         remove_path(self.spark, self.path("drift_log"))
 
     def compact(self, table: str) -> None:
-        """Rewrite an append-only, unpartitioned table (one small file per run) into few files."""
+        """Rewrite an append-only, unpartitioned table (one small file per run) into few files.
+
+        The copy is complete before it takes the table's place; ``recover`` finishes an interrupted move.
+        """
         if table in PARTITIONS:
             raise ValueError(f"{table} is partitioned")
-        copy = materialize(self.read(table), table)
-        copy.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            self.path(table)
+        staged = f"{self.path(STAGED)}/compact-{table}"
+        self.read(table).hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            staged
         )
+        move_path(self.spark, staged, self.path(table))
 
 
 def _by_day(quotes: DataFrame) -> DataFrame:

@@ -8,16 +8,15 @@ One query per store: each batch may add coins.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import merge
-from ..plans.ingest import checkpoint_of, finish_job, load_batch, start_job
-from ..schemas import FAILURE, QUOTE_KEY, SUCCESS
-from ..sources.csv_feed import arrival_column
+from ..plans.ingest import checkpoint_of, fail_run, load_batch, recover, start_job
+from ..schemas import QUOTE_KEY
+from ..sources.csv_feed import read_csv_files
 from ..sources.json_feeds import json_items, page_options
 from ..sources.registry import get_source
 from ..sources.store import Store, with_event_date
@@ -33,18 +32,14 @@ def _load(store: Store, source: str, drop_late: bool, run_ts: datetime | None):
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         started = run_ts or datetime.now(timezone.utc)
-        store.recover()
+        recover(store)
         job_id = start_job(store, source, started, batch_id)
         try:
             raw = spec.newer(rows, checkpoint_of(store, source)) if drop_late else rows
-            done = load_batch(store, source, raw, spec, job_id, started)
+            load_batch(store, source, raw, spec, job_id, started, completed_at=run_ts, batch_id=batch_id)
         except Exception as problem:
-            finish_job(store, job_id, source, FAILURE, started, started, error=str(problem), batch_id=batch_id)
+            fail_run(store, job_id, source, started, started, problem, batch_id)
             raise
-        finish_job(
-            store, job_id, source, SUCCESS, started, run_ts or datetime.now(timezone.utc),
-            done.records_processed, done.checkpoint, batch_id=batch_id,
-        )
 
     return batch
 
@@ -79,39 +74,30 @@ def stream_csv(
     source: str,
     landing: str,
     checkpoint: str,
-    columns: list[str],
-    sep: str = ",",
-    multiline: bool = True,
+    sep: str = "auto",
+    multiline: bool | str = "auto",
     interval: str | None = None,
     drop_late: bool = False,
     files_per_batch: int | None = None,
     run_ts: datetime | None = None,
 ) -> StreamingQuery:
-    """CSV files with a known header (``columns``, in file order).
+    """CSV files of one source, each read by its own header, as in batch.
 
-    Files without line breaks inside quotes can be split when ``multiline`` is off.
+    The stream finds the new files; a batch hands their paths (as many as it has files) to the reader.
     """
-    schema = T.StructType([T.StructField(name.strip().lower(), T.StringType()) for name in columns])
-    reader = (
-        store.spark.readStream.schema(schema)
-        .option("header", "true")
-        .option("enforceSchema", "true")
-        .option("sep", sep)
-        .option("escape", '"')
-        .option("multiLine", str(multiline).lower())
-        .format("csv")
-    )
+    reader = store.spark.readStream.format("text").option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.load(landing).select("*", "_metadata")
+    found = reader.load(landing).select("_metadata.file_path")
     load = _load(store, source, drop_late, run_ts)
 
     def batch(part: DataFrame, batch_id: int) -> None:
-        position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        arrival = arrival_column(position, F.col("_metadata.file_block_start"))
-        load(part.withColumn("arrival", arrival).drop("_metadata"), batch_id)
+        files = sorted(unquote(row[0]) for row in part.distinct().collect())
+        rows = read_csv_files(store.spark, files, sep, multiline) if files else None
+        if rows is not None:
+            load(rows, batch_id)
 
-    writer = rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    writer = found.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
 
 

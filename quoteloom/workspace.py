@@ -93,6 +93,22 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the data files of ``source`` into the folder ``target``, beside what is there.
+
+    Spark gives every data file a name of its own, so a move that was interrupted can be repeated.
+    """
+    jvm, start, fs = _file_system(spark, source)
+    if not fs.exists(start):
+        return
+    end = jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(end)
+    for status in fs.listStatus(start):
+        name = status.getPath().getName()
+        if name.startswith("part-") and not fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(end, name)):
+            raise OSError(f"cannot move {source}/{name} to {target}")
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Every data file under ``path`` (a file, a directory or a glob), sorted; hidden files are left out."""
     jvm, target, fs = _file_system(spark, path)

@@ -247,3 +247,46 @@ def test_large_csv_is_split_and_keeps_file_order(spark, folder):
         }
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("pages", ["files", "lines"])
+def test_every_array_of_a_json_file_is_read(spark, folder, pages):
+    path = folder()
+    write(path + "/a.json", '[{"id":"a"},{"id":"b","x":"]["}]\n\n[{"id":"c"}]\r\n[]\n')
+    got = [json.loads(r.payload)["id"] for r in read_markets_json(spark, path, pages).collect()]
+    assert sorted(got) == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("pages", ["files", "lines"])
+@pytest.mark.parametrize("text", ['[{"id":"a"}][{"id":"b"}]', '[{"id":"a"}] tail', '[{"id":"a"}]]', '[{"id":"a"}],[1]', '[{"id":"a"}]\n{}'])
+def test_text_after_a_json_array_fails(spark, folder, pages, text):
+    path = folder()
+    write(path + "/named.json", text)
+    with pytest.raises(Exception, match="named.json"):
+        read_tickers_json(spark, path, pages).collect()
+
+
+def test_cells_beyond_the_csv_header_are_kept(spark, folder):
+    path = folder()
+    write(path + "/a.csv", 'ticker,price\nBTC,1,extra,"more, still"\nETH,2\nXRP\nADA,3,\n')
+    found = normalize.normalize_csv(read_csv_feed(spark, path), run_ts=datetime(2024, 1, 1, tzinfo=timezone.utc)).collect()
+    payloads = {r.symbol: json.loads(r.payload) for r in found}
+    assert payloads["BTC"]["_overflow"] == 'BTC,1,extra,"more, still"' and payloads["BTC"]["price_usd"] == "1"
+    assert all("_overflow" not in payloads[s] for s in ("ETH", "XRP", "ADA"))
+
+
+def test_only_files_with_line_breaks_in_quotes_are_read_whole(spark, folder):
+    path = folder()
+    write(path + "/a b.csv", 'ticker,price\n"B\nTC",1\n')
+    write(path + "/c.csv", "ticker,price\nETH,2\n")
+    found = read_csv_feed(spark, path)
+    assert sorted((r.ticker, r.price) for r in found.collect()) == [("B\nTC", "1"), ("ETH", "2")]
+    plan = found._jdf.queryExecution().toString()
+    assert "Union" in plan
+
+
+def test_long_csv_header(spark, folder):
+    path = folder()
+    names = ["ticker", "price", *(f"column_{i:05d}_{'x' * 300}" for i in range(4000))]
+    write(path + "/a.csv", ",".join(names) + "\nBTC,1," + ",".join(["0"] * 4000) + "\n")
+    assert read_csv_feed(spark, path).columns[:-2] == names

@@ -159,10 +159,11 @@ def test_long_error_messages_are_cut(store):
 
 def test_failed_attempt_is_not_committed_and_a_retry_repairs_it(store, folder, monkeypatch):
     path = put(folder(), "a.json", [market("btc", 1.0)])
-    monkeypatch.setattr(Store, "publish_quotes", lambda self, staged: (_ for _ in ()).throw(IOError("disk")))
+    monkeypatch.setattr(Store, "commit_run", lambda self, job, row: (_ for _ in ()).throw(IOError("disk")))
     with pytest.raises(ingest.RunFailed, match="disk"):
         ingest.run_source(store, "coingecko", path, run_ts=T1)
     assert store.read("quotes").count() == 0 and store.committed("raw").count() == 0
+    assert store.read("coins").count() == 0 and store.read("mappings").count() == 0
     assert ingest.checkpoint_of(store, "coingecko") is None
     monkeypatch.undo()
     ingest.run_source(store, "coingecko", path, run_ts=T2)
@@ -230,11 +231,91 @@ def test_interrupted_publication_is_completed(store, folder, monkeypatch):
 
     monkeypatch.setattr(store_module, "move_path", move_once)
     put(path, "a.json", [market("btc", 2.0, f"2024-01-{d}T00:00:00Z") for d in (10, 11, 12)])
-    with pytest.raises(ingest.RunFailed, match="lost"):
+    with pytest.raises(ingest.PublicationPending, match="lost"):
         ingest.run_source(store, "coingecko", path, force_full=True, run_ts=T2)
     monkeypatch.undo()
-    assert store.recover() == ["quotes-2"]
+    assert store.runs().where("id = 2").first()["status"] == "running"
+    assert ingest.recover(store) == ["run-2"]
     assert [f[3] for f in facts(store)] == [2.0] * 3
+    last = store.runs().where("id = 2").first()
+    assert (last["status"], last["records_processed"]) == ("success", 3) and store.committed("raw").count() == 6
+
+
+STEPS = [
+    ("store", "stage_rows", 1), ("store", "stage_rows", 2), ("store", "stage_quotes", 1), ("store", "commit_run", 1),
+    ("module", "move_files", 1), ("module", "move_files", 3), ("module", "move_path", 1), ("module", "move_path", 2),
+    ("module", "remove_path", 2),
+]
+
+
+class Killed(BaseException):
+    """Ends a run as a lost driver would: nothing after it runs."""
+
+
+@pytest.mark.parametrize("kind,after", [(OSError, False), (Killed, True)])
+@pytest.mark.parametrize("where,name,number", STEPS)
+def test_a_run_is_whole_or_absent_wherever_it_breaks(store, folder, monkeypatch, where, name, number, kind, after):
+    from quoteloom.sources import store as store_module
+
+    path = put(folder(), "a.json", [market("btc", 1.0)])
+    ingest.run_source(store, "coingecko", path, run_ts=T1)
+    owner = Store if where == "store" else store_module
+    real, calls = getattr(owner, name), []
+
+    def breaking(*args, **kwargs):
+        calls.append(1)
+        if len(calls) != number:
+            return real(*args, **kwargs)
+        if after:
+            real(*args, **kwargs)
+        raise kind("broken")
+
+    more = [market("btc", 2.0), market("eth", 3.0), market("sol", 4.0, "2024-01-17T00:00:00Z")]
+    put(path, "a.json", more)
+    monkeypatch.setattr(owner, name, breaking)
+    try:
+        ingest.run_source(store, "coingecko", path, force_full=True, run_ts=T2)
+    except (ingest.RunFailed, Killed):
+        pass
+    monkeypatch.undo()
+    ingest.recover(store)
+    last = store.runs().where("id = 2").first()
+    got = [(f[0], f[3]) for f in facts(store)]
+    masters = store.read("coins").count(), store.read("mappings").count()
+    loaded = (last["status"], last["records_processed"], got, masters, store.committed("raw").count())
+    checkpoint = ingest.checkpoint_of(store, "coingecko")
+    if last["status"] == "success":
+        assert loaded[1:] == (3, [("BTC", 2.0), ("ETH", 3.0), ("SOL", 4.0)], (3, 3), 4)
+        assert checkpoint == datetime(2024, 1, 17, tzinfo=timezone.utc)
+    else:
+        assert loaded == ("failure", 0, [("BTC", 1.0)], (1, 1), 1)
+        assert checkpoint == NOON.replace(tzinfo=timezone.utc)
+    assert ingest.recover(store) == []
+
+
+def test_rows_without_a_time_are_upserted(spark, store):
+    schema = store.read("quotes").schema
+    for price, coin in ((1, 1), (2, 2), (3, 1)):
+        row = [(coin, "A", price, None, None, "s", None, None, None)]
+        batch = spark.createDataFrame(row, "coin_id long, symbol string, price_usd int, market_cap int, volume_24h int, source string, ingested_at timestamp, timestamp timestamp, event_date date")
+        batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        store.publish_quotes(store.stage_quotes(batch, price))
+    assert sorted((r.coin_id, float(r.price_usd)) for r in store.read("quotes").collect()) == [(1, 3.0), (2, 2.0)]
+
+
+def test_interrupted_compaction_is_completed(store, monkeypatch):
+    from quoteloom.sources import store as store_module
+
+    for _ in range(3):
+        ingest.start_job(store, "csv", T1)
+    before = rows(store.read("ledger"))
+    real = store_module.move_path
+    monkeypatch.setattr(store_module, "move_path", lambda *a: (store_module.remove_path(a[0], a[2]), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        store.compact("ledger")
+    monkeypatch.setattr(store_module, "move_path", real)
+    assert store.recover() == ["compact-ledger"]
+    assert rows(store.read("ledger")) == before
 
 
 def test_compaction_keeps_the_rows(store):
@@ -283,5 +364,12 @@ def test_stream_resumes_redelivers_and_handles_late_rows(store, folder):
 
 def test_csv_stream(store, folder):
     landing = put(folder("landing"), "a.csv", 'ticker,price,vol,date\nBTC,1,2,2024-01-15\nBTC,"3",2,2024-01-15\n')
-    stream_csv(store, "csv", landing, folder("ckpt"), ["Ticker ", "price", "vol", "date"], run_ts=T1).awaitTermination()
+    stream_csv(store, "csv", landing, folder("ckpt"), run_ts=T1).awaitTermination()
     assert facts(store) == [("BTC", "csv", datetime(2024, 1, 15), 3.0)]
+
+
+def test_csv_stream_reads_each_file_by_its_own_header(store, folder):
+    landing = put(folder("landing"), "a.csv", "ticker,vol,price,date\nBTC,7,100,2024-01-15\n")
+    put(landing, "b c.csv", 'Date;TICKER;Price\n2024-01-16;"E\nTH";5\n')
+    stream_csv(store, "csv", landing, folder("ckpt"), run_ts=T1).awaitTermination()
+    assert [(s, p) for s, _, _, p in facts(store)] == [("BTC", 100.0), ("E\nTH", 5.0)]

@@ -57,8 +57,9 @@ def test_compare(spark):
     assert rows(runs.compare_runs(frame, 1, 2)) == [(1, 2, 50, 60.0)]
     assert rows(runs.compare_runs(frame, 2, 1)) == [(2, 1, -50, -60.0)]
     assert rows(runs.compare_runs(frame, 1, 3)) == [(1, 3, -100, None)]
-    assert rows(runs.compare_runs(frame, 1, 99)) == []
-    assert rows(runs.compare_runs(frame, 1, 1)) == []
+    for first, second in ((1, 99), (1, 1), (98, 99)):
+        with pytest.raises(Exception, match="One or both runs not found"):
+            runs.compare_runs(frame, first, second).collect()
 
 
 def test_statistics(spark):
@@ -240,3 +241,23 @@ def test_types_and_summary(spark):
         ("severity", "critical", 1), ("severity", "info", 1), ("total", "all", 2), ("type", "schema_extra", 1),
         ("type", "schema_missing", 1),
     ]
+
+
+def test_many_json_keys_stay_distributed(spark):
+    rows_in = [('{"id_%05d":1,"pricee":2,"symbol":3}' % i,) for i in range(2500)]
+    payloads = spark.createDataFrame(rows_in, "payload string")
+    found = drift.detect_json(payloads, ["symbol", "price", "volume_total"]).collect()
+    kinds = [(r["drift_type"], r["severity"]) for r in found if r["drift_type"] != "quality_nulls"]
+    assert sorted(kinds) == [("schema_extra", "info")] * 3 + [("schema_missing", "critical"), ("schema_rename", "warning")]
+    names = [n for r in found if r["drift_type"] == "schema_extra" for n in json.loads(r["details"])["extra_columns"]]
+    assert sorted(names) == sorted([f"id_{i:05d}" for i in range(2500)] + ["pricee"])
+    assert max(len(json.loads(r["details"]).get("extra_columns", [])) for r in found) <= 1000
+    assert sum(r["drift_type"] == "quality_nulls" for r in found) == 2500
+
+
+def test_deep_page_among_tied_times(spark):
+    rows_in = spark.range(20_000).select(F.col("id"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"))
+    page = quotes.page(rows_in.repartition(7), ["id"], limit=5, offset=12_345)
+    assert [r["id"] for r in page.collect()] == list(range(12_345, 12_350))
+    assert "TakeOrderedAndProject(limit=1" not in page._jdf.queryExecution().toString()
+    assert quotes.page(rows_in, ["id"], limit=5, offset=30_000).collect() == []
