@@ -261,7 +261,7 @@ def drop_contaminated(
     """The rows of ``docs`` in which no window occurs, with all their columns."""
     found = decontaminate(docs, benchmark, id_column, item_column).filter("n_hit > 0")
     hit = materialize(found.select(F.col("id").alias("_h_id"), F.col("text_key").alias("_h_key")).distinct(), "hit_rows")
-    same = docs[id_column].eqNullSafe(F.col("_h_id")) & (F.xxhash64(docs["text"]) == F.col("_h_key"))
+    same = docs[id_column].eqNullSafe(hit["_h_id"]) & (F.xxhash64(docs["text"]) == hit["_h_key"])
     return docs.join(hit, same, "left_anti")
 
 

@@ -424,18 +424,17 @@ def one_per_group(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     repeated = materialize(repeated, "repeated_rows")
     if repeated.isEmpty():
         return left
-    keyed = left.withColumn("_key", F.xxhash64("text"))
-    renamed = repeated.withColumnsRenamed({"id": "_r_id", "text_key": "_r_key"})
-    same = keyed[id_column].eqNullSafe(F.col("_r_id")) & (F.col("_key") == F.col("_r_key"))
-    again = keyed.join(renamed, same, "left_semi")
-    return _without(left, id_column, repeated).unionByName(again.dropDuplicates([id_column, "_key"]).drop("_key"))
+    again = left.join(repeated, _same_row(left, id_column, repeated), "left_semi")
+    return _without(left, id_column, repeated).unionByName(again.dropDuplicates([id_column, "text"]))
+
+
+def _same_row(docs: DataFrame, id_column: str, rows: DataFrame) -> Column:
+    return docs[id_column].eqNullSafe(rows["id"]) & (F.xxhash64(docs["text"]) == rows["text_key"])
 
 
 def _without(docs: DataFrame, id_column: str, rows: DataFrame) -> DataFrame:
     """``docs`` but for the rows (id, text_key)."""
-    rows = rows.withColumnsRenamed({"id": "_r_id", "text_key": "_r_key"})
-    same = docs[id_column].eqNullSafe(F.col("_r_id")) & (F.xxhash64(docs["text"]) == F.col("_r_key"))
-    return docs.join(rows, same, "left_anti")
+    return docs.join(rows, _same_row(docs, id_column, rows), "left_anti")
 
 
 def _chosen_texts(docs: DataFrame, id_column: str, classes: DataFrame) -> DataFrame:

@@ -107,17 +107,26 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     The document at which a source's budget ends is cut after its last word taken (``n_chars``, where
     there is one, follows). Documents without words are taken as often as their source's whole epochs.
     """
-    columns = docs.columns
-    rows = docs.withColumn("size", word_count()).withColumn("mix_key", stable_key("doc_id", "text"))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),  # out of the way of the names below
+        "doc_id",
+        "source",
+        word_count().alias("size"),
+        stable_key("doc_id", "text").alias("mix_key"),
+    )
     taken = with_taken(rows)
     copies = F.col("_whole") + (F.col("_cut") > 0).cast("long")
     copied = taken.filter(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     partial = (F.col("_copy") > F.col("_whole")) & (F.col("_cut") < F.col("size"))
-    start = F.array_join(F.slice(F.split("text", _WORD_END), 1, F.col("_cut").cast("int")), "")
-    copied = copied.withColumn("_partial", partial).withColumn("text", F.when(F.col("_partial"), start).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        copied = copied.withColumn(
-            "n_chars",
-            F.when(F.col("_partial"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType),
-        )
-    return copied.select(*columns)
+    pieces = F.split(F.col("_doc.text"), _WORD_END)
+    start = F.when(partial, F.array_join(F.slice(pieces, 1, F.col("_cut").cast("int")), ""))
+    copied = copied.withColumn("_start", start)
+    cut = {"text": F.col("_start"), "n_chars": F.length("_start")}
+    return copied.select(
+        *[
+            F.when(F.col("_start").isNotNull(), cut[f.name].cast(f.dataType)).otherwise(F.col("_doc")[f.name]).alias(f.name)
+            if f.name in cut
+            else F.col("_doc")[f.name].alias(f.name)
+            for f in docs.schema.fields
+        ]
+    )

@@ -37,13 +37,17 @@ def shard(docs: DataFrame, weights: list[float], key: str = "doc_id", grown_weig
     table gives an empty result. Other columns are kept; those of the names above are replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = (
-        docs.withColumn("size", F.octet_length(text).cast("long") + 1)
-        .withColumn("text_crc32", F.crc32(text.cast("binary")))
-        .withColumn("law", F.lit("key"))
-        .withColumn("shard", rendezvous(F.col(key), weights))
-        .withColumn("grown_shard", rendezvous(F.col(key), [*weights, grown_weight]))
-        .withColumn("_order", stable_key(key, F.lit("slot"), "text"))
-        .withColumn("_one", F.lit(1).cast("long"))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),  # out of the way of the names below
+        F.col(key).alias("_key"),
+        (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        rendezvous(F.col(key), weights).alias("shard"),
+        rendezvous(F.col(key), [*weights, grown_weight]).alias("grown_shard"),
+        stable_key(key, "text").alias("_order"),
+        F.lit(1).cast("long").alias("_one"),
     )
-    return running_totals(rows, "shard", "_order", "_one", [key, "text_crc32", "size"], "slot").drop("_order", "_one")
+    placed = running_totals(rows, "shard", "_order", "_one", ["_key", "text_crc32", "size"], "slot")
+    new = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    return placed.select(*[F.col("_doc")[c].alias(c) for c in docs.columns if c not in new], *new)

@@ -69,17 +69,20 @@ def drop_site_boilerplate(
     boilerplate = materialize(boilerplate, "site_boilerplate")
     none = F.array().cast("array<bigint>")
     whole = (
-        pages.withColumn("site", site)
-        .withColumn("_site", F.struct(F.col("site").alias("g")))
+        pages.select(
+            F.struct(*[pages[c] for c in pages.columns]).alias("_page"),  # out of the way of the names below
+            F.struct(site.alias("g")).alias("_site"),
+            lines.alias("_all"),
+        )
         .join(boilerplate, "_site", "left")
-        .withColumn("_all", lines)
         .withColumn("_drop", F.coalesce("_drop", none))
     )
     clean = F.filter("_all", lambda x: ~F.array_contains(F.col("_drop"), F.xxhash64(x)))
-    return (
-        whole.withColumn("_kept", clean)
-        .withColumn("n_lines", F.size("_all").cast("long"))
-        .withColumn("n_dropped", (F.size("_all") - F.size("_kept")).cast("long"))
-        .withColumn("kept_text", F.array_join("_kept", "\n"))
-        .drop("_site", "_all", "_drop", "_kept")
+    new = ["site", "n_lines", "n_dropped", "kept_text"]
+    return whole.withColumn("_kept", clean).select(
+        *[F.col("_page")[c].alias(c) for c in pages.columns if c not in new],
+        F.col("_site.g").alias("site"),
+        F.size("_all").cast("long").alias("n_lines"),
+        (F.size("_all") - F.size("_kept")).cast("long").alias("n_dropped"),
+        F.array_join("_kept", "\n").alias("kept_text"),
     )

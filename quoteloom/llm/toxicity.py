@@ -30,10 +30,11 @@ _CODES = np.random.default_rng(771).integers(1, 1 << 63, (max(NGRAMS), 256), dty
 
 @dataclass(frozen=True)
 class TrainSpec:
-    """The sample holds at most ``rows`` documents of each label, of up to ``longest`` characters."""
+    """The sample holds at most ``rows`` documents of each label, of up to ``longest`` characters: 16 million
+    characters. Training takes some 200 MB of the driver's memory then."""
 
-    rows: int = 1500
-    longest: int = 20_000
+    rows: int = 1000
+    longest: int = 8_000
     buckets: int = 1 << 17
     dim: int = 8
     warm_epochs: int = 300
@@ -140,20 +141,23 @@ class _Bags:
     """Subword bags of a list of words, as one sorted list of buckets."""
 
     def __init__(self, words: list[bytes], size: int):
-        lengths = np.array([len(w) for w in words], np.int64)
-        letters = np.frombuffer(b"".join(words), np.uint8).copy()
-        owner, bucket = subwords(letters, np.cumsum(lengths) - lengths, lengths, size)
-        order = np.argsort(owner, kind="stable")
-        self.bucket = bucket[order]
-        self.count = np.bincount(owner, minlength=len(words))
+        buckets, counts = [], []
+        for first in range(0, len(words), 20_000):
+            part = words[first : first + 20_000]
+            lengths = np.array([len(w) for w in part], np.int64)
+            letters = np.frombuffer(b"".join(part), np.uint8)
+            owner, bucket = subwords(letters, np.cumsum(lengths) - lengths, lengths, size)
+            buckets.append(bucket[np.argsort(owner, kind="stable")].astype(np.int32))
+            counts.append(np.bincount(owner, minlength=len(part)))
+        self.bucket, self.count = np.concatenate(buckets), np.concatenate(counts)
         self.begin = np.cumsum(self.count) - self.count
 
     def gather(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position in ``words``, bucket) of each subword of the given words."""
         count = self.count[words]
-        owner = np.repeat(np.arange(len(words)), count)
-        step = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        return owner, self.bucket[self.begin[words][owner] + step]
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), count)
+        shift = (self.begin[words] - (np.cumsum(count) - count)).astype(np.int32)
+        return owner, self.bucket[np.arange(len(owner), dtype=np.int32) + shift[owner]]
 
 
 def train(texts: list[str], labels: list[int], spec: TrainSpec = TrainSpec()) -> Model:
@@ -175,8 +179,8 @@ def train(texts: list[str], labels: list[int], spec: TrainSpec = TrainSpec()) ->
         known = np.array(
             [vocabulary.setdefault(raw[chunk.starts[i] : chunk.ends[i]][:64], len(vocabulary)) for i in first], np.int64
         )
-        numbers.append(known[number] if len(first) else np.zeros(0, np.int64))
-        rows.append(chunk.row + chunk.first)
+        numbers.append((known[number] if len(first) else np.zeros(0, np.int64)).astype(np.int32))
+        rows.append((chunk.row + chunk.first).astype(np.int32))
     number, row = np.concatenate(numbers), np.concatenate(rows)
     if not len(number):
         return Model(np.zeros(spec.buckets, np.float32), 0.0, -30.0)
@@ -192,8 +196,8 @@ def train(texts: list[str], labels: list[int], spec: TrainSpec = TrainSpec()) ->
 
     def word_scores() -> np.ndarray:
         each = embedded @ softmax
-        owner, bucket = bags.gather(np.arange(len(plain)))
-        return np.bincount(owner, weights=each[bucket], minlength=len(plain)) / bags.count[: len(plain)]
+        own = each.astype(np.float32)[bags.bucket[: bags.begin[len(plain)]]]
+        return np.add.reduceat(own, bags.begin[: len(plain)]) / bags.count[: len(plain)]
 
     def step(starts: np.ndarray, owner_row: np.ndarray, robust: bool) -> None:
         nonlocal bias, softmax
@@ -340,4 +344,7 @@ def detect(docs: DataFrame, labels: DataFrame, spec: TrainSpec = TrainSpec()) ->
 def drop_toxic(docs: DataFrame, labels: DataFrame, spec: TrainSpec = TrainSpec()) -> DataFrame:
     """The rows of ``docs`` below the threshold, with all their columns, in one pass."""
     model = train(*labelled_sample(docs, labels, spec), spec)
-    return score(docs, model, docs.columns, "_toxicity").filter(F.col("_toxicity") < THRESHOLD).drop("_toxicity")
+    name = "toxicity"
+    while name in docs.columns:
+        name = f"_{name}"
+    return score(docs, model, docs.columns, name).filter(F.col(name) < THRESHOLD).drop(name)

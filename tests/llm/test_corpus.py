@@ -221,8 +221,10 @@ def test_mixing_meets_its_targets(spark):
     again = mixing.with_taken(plan.repartition(3)).collect()
     assert sorted(map(str, again)) == sorted(map(str, found))
 
+    docs = docs.withColumn("size", F.lit("clash")).withColumn("_doc", F.lit("clash"))
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns
+    assert mixed.select("size", "_doc", "taken", "weight").distinct().collect() == [("clash",) * 4]
     words_out = Counter()
     whole = {t for _, t, _ in rows}
     for r in mixed.collect():
@@ -251,6 +253,8 @@ def test_shards(spark):
     heavy = Counter(r.shard for r in sharding.shard(docs, [3.0, 1.0]).collect())
     assert 0.65 < heavy[0] / len(found) < 0.85
     assert sharding.shard(docs.limit(0), [1.0]).collect() == []
+    odd = docs.withColumn("_order", F.lit("clash")).withColumn("_key", F.lit("clash"))
+    assert sharding.shard(odd, [1.0]).select("_order", "_key").distinct().collect() == [("clash", "clash")]
     with pytest.raises(ValueError):
         sharding.rendezvous(F.col("doc_id"), [1.0, 0.0])
 
