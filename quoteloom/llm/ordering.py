@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..workspace import materialize
 
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 2_000
 KEY_BITS = 60
 
 
