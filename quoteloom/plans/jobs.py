@@ -56,7 +56,7 @@ def _states(store):
                   WHERE event_type NOT IN ('error', 'signup'))),
 c AS (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, ts FROM events))
 SELECT * FROM (
-  SELECT 1 AS id, 'coinpaprika' AS source, 'failure' AS status, 0 AS records_processed
+  SELECT CAST(1 AS BIGINT) AS id, 'coinpaprika' AS source, 'failure' AS status, 0 AS records_processed
   UNION ALL SELECT 2, 'coingecko', 'success', n FROM m
   UNION ALL SELECT 3, 'csv', 'success', n FROM c
   UNION ALL SELECT 4, 'coingecko', 'success', 0
@@ -84,7 +84,7 @@ def run_all_states(spark, sf_dir):
 
 @query(
     "run_after_crash",
-    """SELECT 1 AS id, 'csv' AS source, 'failure' AS status, 0 AS records_processed
+    """SELECT CAST(1 AS BIGINT) AS id, 'csv' AS source, 'failure' AS status, 0 AS records_processed
 UNION ALL SELECT 2, 'csv', 'success', count(*) FROM (SELECT DISTINCT user_id, ts FROM events)""",
 )
 def run_after_crash(spark, sf_dir):
