@@ -155,7 +155,7 @@ def fences(counted: DataFrame, spec: QualitySpec = QualitySpec()) -> DataFrame:
     joined = joined.join(lang, joined.lang.eqNullSafe(F.col("w_lang")), "left")
 
     def fence(metric: str) -> Column:
-        whole = F.lit(bytes(every[f"all_{metric}"])) if every and every[f"all_{metric}"] else F.lit(None).cast("binary")
+        whole = F.lit(bytes(every[f"all_{metric}"])) if every["all_n"] else F.lit(None).cast("binary")
         chosen = (
             F.when(F.col("n") >= spec.least_group, F.col(metric))
             .when(F.col("wide_n") >= spec.least_group, F.col(f"wide_{metric}"))
@@ -174,7 +174,7 @@ def judge(docs: DataFrame, spec: QualitySpec = QualitySpec()) -> DataFrame:
     """doc_id, lang, source, the counts, base_failed and kept of each row of ``docs``.
 
     Null texts have no words and fail the base rules; null languages and sources are groups; where no
-    document passes the base rules there are no fences and nothing is kept. Repeated rows are judged
+    document passes the base rules there are no fences, and nothing is kept. Repeated rows are judged
     alike; an empty table gives an empty result; other columns are not read.
     """
     counted = materialize(count_texts(docs, spec), "text_counts")
