@@ -43,7 +43,7 @@ PERCENT = 75
 #: (bands, coordinates in a band) of each tier.
 TIERS = ((32, 4), (128, 8))
 BUCKET = 32
-ODD = 64
+ODD = 1024
 SMALL_GRAPH = 1_000_000
 _BIT_WORDS = 2
 _ROUND_SHIFT = np.uint64(53)
