@@ -58,11 +58,18 @@ def test_near_duplicates_equal_all_pairs(spark):
     check_groups(minhash.near_duplicates(frame(spark, texts)).collect(), texts)
 
 
-def test_large_buckets_go_through_every_tier(spark):
-    texts = near_texts(5)
-    found = minhash.near_duplicates(frame(spark, texts), bucket=3).collect()
-    check_groups(found, texts)
-    found = minhash.near_duplicates(frame(spark, texts), tiers=((32, 4),), bucket=2).collect()
+@pytest.mark.parametrize("tiers,odd", [(minhash.TIERS, 2), (((32, 4),), 6)])
+def test_large_buckets_go_through_every_tier(spark, tiers, odd):
+    """Copies of one text around the limit: buckets stay open, deeper tiers and blocks settle them."""
+    rng = random.Random(5)
+    base = prose(rng, 60, 10**9)
+    texts = []
+    for k in range(24):
+        copy = list(base)
+        for at in rng.sample(range(len(base)), rng.choice([1, 2])):
+            copy[at] = f"x{k}-{at}"
+        texts.append((k, " ".join(copy)))
+    found = minhash.near_duplicates(frame(spark, texts), tiers=tiers, bucket=3, odd=odd).collect()
     check_groups(found, texts)
 
 
