@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import importlib
+import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -168,6 +170,56 @@ def test_viterbi_equals_all_splits():
         assert cost(segmenter.split(text)) == pytest.approx(min(map(cost, splits(text))))
 
 
+def plain_scores(urls, spec):
+    """Words and score of each (host, path), with all counts in dictionaries."""
+    counts = Counter()
+    for host in {h for h, _ in urls}:
+        for label in host.rpartition(".")[0].split("."):
+            if "-" in label:
+                counts.update(re.split("[^a-z]+", label))
+    for _, path in urls:
+        counts.update(re.split("[^a-z]+", path.lower()))
+    counts = Counter({w: n for w, n in counts.items() if 2 <= len(w) <= spec.longest_word})
+    floor = max(1, counts.total() // 10_000)
+    for word in (*url_filter.COMMON, *spec.seeds):
+        counts[word] += floor
+    segmenter = url_filter.Segmenter(counts, spec.longest_word)
+    tables = {True: Counter(spec.seeds), False: Counter()}
+    rows = []
+    for host, path in urls:
+        own = segmenter.words(host)
+        tokens = [*own, *url_filter.path_tokens(path)]
+        tables[not set(spec.seeds).isdisjoint(own)].update(tokens)
+        rows.append((" ".join(own), tokens))
+    size = len({*tables[True], *tables[False]})
+    totals = {b: tables[b].total() + spec.smoothing * size for b in tables}
+
+    def ratio(token):
+        block, allow = ((tables[b][token] + spec.smoothing) / totals[b] for b in (True, False))
+        return math.log(block) - math.log(allow)
+
+    prior = math.log(spec.prior / (1 - spec.prior))
+    return [(own, prior + sum(map(ratio, tokens))) for own, tokens in rows]
+
+
+def test_url_counts_are_whole(spark):
+    # More words than 50,000 and more (block, token) rows than 100,000; rare ones stand last in any order.
+    def word(i):
+        return "".join("abcdefghij"[int(d)] for d in str(i))
+
+    urls = [(f"site{i % 7}.example.org", "/" + "/".join(word(k) for k in range(i, i + 200)) * 2) for i in range(200_000, 320_000, 200)]
+    urls += [(f"poker-zzyzx-{word(i)}.org", "/") for i in range(3)] + [("zzyzxpoker.org", "/yyx/yyw"), ("yyxyyw.org", "/" + "yyw/" * 3)]
+    urls += [("zzyzx.org", "/zzyzx"), ("", ""), ("a.b", "")]
+    table = spark.createDataFrame([(i, f"http://{h}{p}" if h else None) for i, (h, p) in enumerate(urls)], "page_id long, url string")
+    found = {r.page_id: (r.words, r.score, r.verdict) for r in url_filter.judge_urls(table, []).collect()}
+    assert len(found) == len(urls)
+    for i, (own, score) in enumerate(plain_scores(urls, url_filter.UrlSpec())):
+        assert found[i] == (own, pytest.approx(score), "block" if score > 0 else "allow")
+    last = {h: found[i][0] for i, (h, _) in enumerate(urls)}
+    assert last["zzyzxpoker.org"] == "zzyzx poker" and last["yyxyyw.org"] == "yyx yyw"
+    assert found[urls.index(("zzyzx.org", "/zzyzx"))][2] == "block"
+
+
 # Mixing and sharding
 
 
