@@ -5,7 +5,8 @@ buckets; its vector is their mean, so an unseen misspelling shares most of its n
 it stands for. The vectors of eight words in a row are averaged into a linear softmax, and a text is
 as toxic as its worst stretch, so that a few words in a long text are not averaged away. Embeddings and
 softmax are trained together with numpy, on the driver, over a bounded sample of labelled rows
-(``TrainSpec.rows`` of each class, by hash order); every whole text is scored on the executors.
+(``TrainSpec.rows`` of each class, by hash order, and hash-chosen pieces of long texts); calibration sees
+the sample's texts whole; every whole text is scored on the executors.
 """
 
 from __future__ import annotations
@@ -30,11 +31,13 @@ _CODES = np.random.default_rng(771).integers(1, 1 << 63, (max(NGRAMS), 256), dty
 
 @dataclass(frozen=True)
 class TrainSpec:
-    """The sample holds at most ``rows`` documents of each label, of up to ``longest`` characters: 16 million
-    characters. Training takes some 200 MB of the driver's memory then."""
+    """The sample holds at most ``rows`` documents of each label, of any length. Training sees up to ``longest``
+    characters of each, in all 16 million: a longer text's pieces of ``piece`` characters, one at a hash-chosen
+    place in each equal part of it. Training takes some 200 MB of the driver's memory then."""
 
     rows: int = 1000
     longest: int = 8_000
+    piece: int = 500
     buckets: int = 1 << 17
     dim: int = 8
     warm_epochs: int = 300
@@ -161,7 +164,9 @@ class _Bags:
 
 
 def train(texts: list[str], labels: list[int], spec: TrainSpec = TrainSpec()) -> Model:
-    """Embeddings and softmax fitted together; without both labels every text scores 0.
+    """Embeddings and softmax fitted together, not calibrated; without both labels every text scores 0.
+
+    Words over 64 bytes are learnt in overlapping pieces, so that no n-gram of theirs is left out.
 
     Warm-up epochs take random stretches with their text's label. Then a text's worst stretch carries
     its label, and a few random ones of clean texts; a loss that is flat where the model strongly
@@ -176,11 +181,14 @@ def train(texts: list[str], labels: list[int], spec: TrainSpec = TrainSpec()) ->
     for chunk in chunks(pa.array(texts, pa.string()), SPACED):
         first, number = _distinct_words(chunk)
         raw = chunk.folded.tobytes()
-        known = np.array(
-            [vocabulary.setdefault(raw[chunk.starts[i] : chunk.ends[i]][:64], len(vocabulary)) for i in first], np.int64
-        )
-        numbers.append((known[number] if len(first) else np.zeros(0, np.int64)).astype(np.int32))
-        rows.append((chunk.row + chunk.first).astype(np.int32))
+        whole = [raw[chunk.starts[i] : chunk.ends[i]] for i in first]
+        cut = [[w[k : k + 64] for k in range(0, max(1, len(w) - max(NGRAMS) + 1), 65 - max(NGRAMS))] for w in whole]
+        known = np.array([vocabulary.setdefault(w, len(vocabulary)) for own in cut for w in own], np.int64)
+        pieces = np.array([len(own) for own in cut], np.int64)
+        each = pieces[number]
+        begin = (np.cumsum(pieces) - pieces)[number] - (np.cumsum(each) - each)
+        numbers.append(known[np.arange(each.sum()) + np.repeat(begin, each)].astype(np.int32))
+        rows.append(np.repeat(chunk.row + chunk.first, each).astype(np.int32))
     number, row = np.concatenate(numbers), np.concatenate(rows)
     if not len(number):
         return Model(np.zeros(spec.buckets, np.float32), 0.0, -30.0)
@@ -191,7 +199,7 @@ def train(texts: list[str], labels: list[int], spec: TrainSpec = TrainSpec()) ->
     bias = 0.0
     grown_e, grown_s = np.full((spec.buckets, 1), 1e-8), np.full(spec.dim, 1e-8)
     share = np.where(target == 1, 0.5 / max(target.mean(), 1e-9), 0.5 / max(1 - target.mean(), 1e-9))
-    held = rng.random(len(target)) < 0.2  # for the calibration only
+    held = rng.random(len(target)) < 0.2  # for the calibration only, see ``fit``
     spans = np.flatnonzero(np.append(True, np.diff(row) != 0))
 
     def word_scores() -> np.ndarray:
@@ -243,11 +251,7 @@ def train(texts: list[str], labels: list[int], spec: TrainSpec = TrainSpec()) ->
         clean = np.repeat(np.flatnonzero(learn & (target[present] == 0)), 2)
         extra = spans[clean] + (rng.random(len(clean)) * np.maximum(counts[clean] - STRETCH + 1, 1)).astype(np.int64)
         step(np.concatenate((worst[keep], extra)), np.concatenate((own[keep], present[clean])), True)
-    buckets = (embedded @ softmax).astype(np.float32)
-    rows_at, starts, means = _stretch_means(word_scores()[number], row)
-    own, _, largest = _largest(rows_at, starts, means)
-    scale, shift = _calibrate(largest, target[own], share[own])
-    return Model(buckets, scale, shift)
+    return Model((embedded @ softmax).astype(np.float32), 1.0, 0.0)
 
 
 def _calibrate(values: np.ndarray, goal: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -268,37 +272,58 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, spec: TrainSpec = TrainSpec()) -> tuple[list[str], list[int]]:
-    """At most ``spec.rows`` texts of each label, by hash order, none of them held out."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, spec: TrainSpec = TrainSpec()) -> DataFrame:
+    """(doc_id, text, toxic): at most ``spec.rows`` whole texts of each label, by hash order, none held out."""
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    order = F.xxhash64("doc_id", F.lit("toxic"))
-    texts, marks = [], []
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    found = []
     for mark in (0, 1):
-        ids = (
-            usable.filter(F.col("toxic") == mark)
-            .select(F.col("doc_id").alias("l_id"))
-            .withColumn("_order", F.xxhash64("l_id", F.lit("toxic")))
-            .orderBy("_order")
-            .limit(2 * spec.rows)
-            .distinct()
-        )
-        # At most twice the sample's rows.
+        ids = usable.filter(F.col("toxic") == mark).select(F.col("doc_id").alias("l_id")).distinct()
+        # Ids without a text go before the limit, so that they take no text's place.
+        ids = ids.join(texts.select("doc_id"), F.col("doc_id") == F.col("l_id"), "left_semi")
+        ids = ids.withColumn("_order", F.xxhash64("l_id", F.lit("toxic"))).orderBy("_order").limit(spec.rows)
         ids = F.broadcast(materialize(ids.select("l_id"), "label_sample"))
-        found = (
-            docs.select("doc_id", "text")
-            .filter(F.col("text").isNotNull() & (F.length("text") <= spec.longest))
-            .join(ids, F.col("doc_id") == F.col("l_id"), "left_semi")
-            .orderBy(order, "text")
-            .limit(spec.rows)
-            .collect()
-        )
-        texts += [r["text"] for r in found]
-        marks += [mark] * len(found)
-    return texts, marks
-
-
-def score(docs: DataFrame, model: Model, carry: list[str], out: str = "score") -> DataFrame:
-    """The columns ``carry`` of each row and ``out``, its score; a text without words scores 0."""
+        own = texts.join(ids, F.col("doc_id") == F.col("l_id"), "left_semi")
+        own = own.orderBy(F.xxhash64("doc_id", F.lit("toxic")), "text").limit(spec.rows)
+        found.append(own.withColumn("toxic", F.lit(mark)))
+    return materialize(found[0].union(found[1]), "labelled_texts")
+
+
+def text_pieces(doc_id: Column, text: Column, spec: TrainSpec) -> Column:
+    """The text, or of one longer than ``spec.longest`` its hash-chosen pieces, joined by line breaks."""
+    count = max(1, spec.longest // (spec.piece + 1))
+    part = F.floor(F.length(text) / count)
+    places = [
+        (part * k + F.pmod(F.xxhash64(doc_id, F.lit(k)), F.greatest(part - spec.piece + 1, F.lit(1))) + 1).cast("int")
+        for k in range(count)
+    ]
+    pieces = F.concat_ws("\n", *[F.substring(text, place, F.lit(spec.piece)) for place in places])
+    return F.when(F.length(text) <= spec.longest, text).otherwise(pieces)
+
+
+def fit(docs: DataFrame, labels: DataFrame, spec: TrainSpec = TrainSpec()) -> Model:
+    """A model trained on the sample's pieces and calibrated on its whole texts, which executors score."""
+    sample = labelled_sample(docs, labels, spec)
+    order = F.xxhash64("doc_id", F.lit("toxic"))
+    rows = (
+        sample.select("toxic", order.alias("_order"), text_pieces(F.col("doc_id"), F.col("text"), spec).alias("_pieces"))
+        .orderBy("toxic", "_order", "_pieces")
+        .collect()
+    )
+    model = train([r["_pieces"] for r in rows], [r["toxic"] for r in rows], spec)
+    if not model.scale:
+        return model
+    found = score(sample, model, ["toxic"], "mean", raw=True).filter(~F.isnan("mean")).orderBy("toxic", "mean").collect()
+    means, goal = np.array([r["mean"] for r in found]), np.array([r["toxic"] for r in found], np.float64)
+    share = np.where(goal == 1, 0.5 / max(goal.mean(), 1e-9), 0.5 / max(1 - goal.mean(), 1e-9))
+    return Model(model.buckets, *_calibrate(means, goal, share))
+
+
+def score(docs: DataFrame, model: Model, carry: list[str], out: str = "score", raw: bool = False) -> DataFrame:
+    """The columns ``carry`` of each row and ``out``, its score; a text without words scores 0.
+
+    ``raw`` gives the largest mean of a stretch instead, NaN for a text without words.
+    """
     # Plain values: a broadcast is read by name, and executors need not have this package.
     shared = docs.sparkSession.sparkContext.broadcast((model.buckets, model.scale, model.shift))
 
@@ -306,7 +331,7 @@ def score(docs: DataFrame, model: Model, carry: list[str], out: str = "score") -
         model = Model(*shared.value)
         for batch in batches:
             for chunk in chunks(batch.column(0), SPACED):
-                result = np.zeros(chunk.rows)
+                result = np.full(chunk.rows, np.nan) if raw else np.zeros(chunk.rows)
                 if len(chunk.starts):
                     first, number = _distinct_words(chunk)
                     lengths = (chunk.ends - chunk.starts)[first]
@@ -317,7 +342,7 @@ def score(docs: DataFrame, model: Model, carry: list[str], out: str = "score") -
                     worst = np.full(chunk.rows, -np.inf)
                     np.maximum.at(worst, rows, means)
                     seen = chunk.counts > 0
-                    result[seen] = model.probability(worst[seen])
+                    result[seen] = worst[seen] if raw else model.probability(worst[seen])
                 own = [c.slice(chunk.first, chunk.rows) for c in batch.columns[1:]]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(result)], [*carry, out])
 
@@ -333,7 +358,7 @@ def detect(docs: DataFrame, labels: DataFrame, spec: TrainSpec = TrainSpec()) ->
     an empty table gives an empty result. Only doc_id and text of ``docs`` and doc_id and toxic of
     ``labels`` are read.
     """
-    model = train(*labelled_sample(docs, labels, spec), spec)
+    model = fit(docs, labels, spec)
     return (
         score(docs, model, ["doc_id"])
         .withColumn("held_out", held_out(F.col("doc_id")))
@@ -343,7 +368,7 @@ def detect(docs: DataFrame, labels: DataFrame, spec: TrainSpec = TrainSpec()) ->
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, spec: TrainSpec = TrainSpec()) -> DataFrame:
     """The rows of ``docs`` below the threshold, with all their columns, in one pass."""
-    model = train(*labelled_sample(docs, labels, spec), spec)
+    model = fit(docs, labels, spec)
     name = "toxicity"
     while name in docs.columns:
         name = f"_{name}"

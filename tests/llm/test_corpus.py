@@ -352,6 +352,33 @@ def test_toxicity_learns_words_and_misspellings(spark):
     assert {r.predicted for r in none} == {0}
 
 
+def test_toxicity_learns_from_long_texts(spark):
+    # One label's texts are all longer than what training sees of a text.
+    spec = toxicity.TrainSpec(warm_epochs=120, epochs=20, longest=300, piece=60)
+    rows = [(i, " ".join([t] * 4) if y else t[:250], y) for i, t, y in labelled(random.Random(5), 400)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, spec)
+    cut = sample.select("toxic", toxicity.text_pieces(F.col("doc_id"), F.col("text"), spec).alias("p")).collect()
+    assert {r.toxic for r in cut} == {0, 1} and max(len(r.p) for r in cut) <= 300
+    whole = {t for _, t, _ in rows}
+    assert all(any(p in t for t in whole) for r in cut[:20] + cut[-20:] for p in r.p.split("\n"))
+    found = toxicity.detect(docs, labels, spec).filter("held_out").collect()
+    truth = {i: y for i, _, y in rows}
+    assert sum(r.predicted == truth[r.doc_id] for r in found) / len(found) > 0.9
+
+    # Text without spaces: the n-grams that tell stand 150 letters into the only word.
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        own = ["".join(rng.choice("klmrtsaeiou") for _ in range(10)) for _ in range(20)]
+        rows.append((i, "".join([*own[:15], *(["zqxwvj"] * 10 if i % 2 else own[:6]), *own[15:]]), i % 2))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    found = toxicity.detect(docs, labels, toxicity.TrainSpec(warm_epochs=120, epochs=20)).filter("held_out").collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in found) / len(found) > 0.9
+
+
 def test_subwords_are_the_words_ngrams():
     letters = np.frombuffer(b"abcdefab", np.uint8)
     owner, bucket = toxicity.subwords(letters, np.array([0, 6]), np.array([6, 2]), 1 << 30)
