@@ -1,7 +1,8 @@
 """URL verdicts from host rules, else from the words of host and path.
 
-Host labels are split into words by a unigram Viterbi search: the words are pieces that hyphens and
-dots separate in other hosts, path words and the seed terms, counted over the whole table. Multinomial
+Host labels are split into words by a unigram Viterbi search: the words are pieces of labels with hyphens,
+path words and the seed terms, counted over the whole table. A label without a hyphen is what is to be
+split; counted as a word, it would always be cheaper whole. Multinomial
 naive Bayes then scores host words and path tokens. It is trained on the table itself: a host with a
 seed term among its words teaches "block", the others "allow", so that words which keep company with
 the seeds count as well. Both tables of counts are whole and stay distributed: words meet the substrings
@@ -82,8 +83,10 @@ def path_tokens(path: str) -> list[str]:
 
 
 def host_parts(host: str) -> list[str]:
-    """Runs of digits and of other characters in all labels but the last, the top-level domain."""
-    labels = [x for x in re.split(r"[^a-z0-9\x80-\U0010ffff]+", host.rpartition(".")[0]) if x]
+    """Runs of digits and of other characters in all labels but the last, the top-level domain; a host
+    without dots is one label."""
+    named = host.rpartition(".")[0] if "." in host else host
+    labels = [x for x in re.split(r"[^a-z0-9\x80-\U0010ffff]+", named) if x]
     return [part for x in labels for part in re.findall(r"\d+|\D+", x)]
 
 
@@ -104,17 +107,22 @@ class Segmenter:
         return math.log(self.total) + 2.3 * size + 2.0
 
     def _split(self, label: str) -> tuple[str, ...]:
-        """The cheapest words; a run of letters that no words cover is one word. Long labels stay whole."""
-        if len(label) > 63:
-            return (label,)
-        best = [(0.0, 0, False)] + [(math.inf, 0, False)] * len(label)
+        """The cheapest words; a run of letters that no words cover is one word.
+
+        An unknown word's cost grows evenly with its size, so the best place for one to begin is the same
+        for all ends behind it, and only known words are searched for.
+        """
+        best = [(0.0, 0)]
+        open_cost, opened = math.inf, 0
         for end in range(1, len(label) + 1):
-            for begin in range(end):
-                word = label[begin:end]
-                known = self.costs.get(word) if end - begin <= self.longest else None
-                cost = best[begin][0] + (self._unknown(end - begin) if known is None else known)
-                if cost < best[end][0]:
-                    best[end] = (cost, begin, known is not None)
+            if (own := best[end - 1][0] - self._unknown(end - 1)) < open_cost:
+                open_cost, opened = own, end - 1
+            found = (best[opened][0] + self._unknown(end - opened), opened)
+            for begin in range(max(0, end - self.longest), end):
+                known = self.costs.get(label[begin:end])
+                if known is not None and best[begin][0] + known < found[0]:
+                    found = (best[begin][0] + known, begin)
+            best.append(found)
         words, end = [], len(label)
         while end:
             begin = best[end][1]

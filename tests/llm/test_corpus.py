@@ -220,6 +220,17 @@ def test_url_counts_are_whole(spark):
     assert found[urls.index(("zzyzx.org", "/zzyzx"))][2] == "block"
 
 
+def test_labels_of_any_length_and_hosts_without_dots(spark):
+    segmenter = url_filter.Segmenter({"cheap": 5, "pills": 4, "ills": 1})
+    assert segmenter.words("q" * 70 + "cheappills" + "z" * 3000 + ".org") == ["q" * 70, "cheap", "pills", "z" * 3000]
+    assert segmenter.words("cheappills") == ["cheap", "pills"]
+    assert segmenter.words("") == segmenter.words(".org") == segmenter.words("org.")[1:] == []
+    urls = ["http://cheappills/x", "http://" + "free" * 20 + "casino.example.org/x", *(f"http://fine{i}.org/x" for i in range(20))]
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: r.words for r in url_filter.judge_urls(table, []).collect()}
+    assert found[0] == "cheap pills" and found[1] == "free " * 20 + "casino example"
+
+
 # Mixing and sharding
 
 
