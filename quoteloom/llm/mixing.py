@@ -114,7 +114,7 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
         word_count().alias("size"),
         stable_key("doc_id", "text").alias("mix_key"),
     )
-    taken = with_taken(rows)
+    taken = with_taken(rows, spec)
     copies = F.col("_whole") + (F.col("_cut") > 0).cast("long")
     copied = taken.filter(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     partial = (F.col("_copy") > F.col("_whole")) & (F.col("_cut") < F.col("size"))

@@ -298,6 +298,20 @@ def test_mixing_meets_its_targets(spark):
     assert mixing.mix(docs.limit(0)).collect() == []
 
 
+def test_mix_follows_its_spec(spark):
+    rows = [(i, " ".join([f"w{i}"] * 10), "ab"[i % 2]) for i in range(20)]
+    docs = spark.createDataFrame(sized(rows), DOCS)
+    for spec, want in (
+        (mixing.MixSpec((3, 1), 1, 0.5), {"a": 75, "b": 25}),
+        (mixing.MixSpec((3, 1), 2, 2.0), {"a": 200, "b": 200}),
+        (mixing.MixSpec((1, 4), 3, 1.0), {"a": 40, "b": 160}),
+    ):
+        out = Counter()
+        for r in mixing.mix(docs, spec).collect():
+            out[r.source] += len(SPACED.findall(r.text))
+        assert out == want
+
+
 def test_shards(spark):
     rows = mixed_rows() + [(i, "same", "s") for i in range(1000, 1400)]
     docs = spark.createDataFrame(sized(rows), DOCS).withColumn("slot", F.lit("clash"))
