@@ -1,8 +1,8 @@
 """WARC archives whose records are compressed one by one with a shared Zstandard dictionary.
 
-Each task writes archives of a bounded size: a dictionary built from its first records (in hash order
-of their payloads, so a fair sample) goes into a leading skippable frame, then every record is a frame
-of its own. Files are written under a temporary name and renamed, so a repeated task leaves the same
+Each task writes archives of a bounded size: a dictionary built from its first records, in the
+order in which they reach the task (that of the table, where the join moves no rows), goes into a leading
+skippable frame, then every record is a frame of its own. Files are written under a temporary name and renamed, so a repeated task leaves the same
 archives. Equal payloads are stored once: the record with the largest page id is the response, the
 others are revisits of it.
 """
