@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_tree, decontaminate, minhash, mixing, ordering, quality, sharding, site_lines, toxicity, url_filter, warc
+from . import (
+    chat_tree,
+    decontaminate,
+    filter_audit,
+    minhash,
+    mixing,
+    ordering,
+    quality,
+    sharding,
+    site_lines,
+    token_counts,
+    toxicity,
+    url_filter,
+    vector_codes,
+    warc,
+)
 
 URL_RULES = [
     url_filter.Rule("com/", True),
@@ -99,11 +114,27 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = token_counts.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), model)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_tree, op2_url_filter, op3_site_lines, op4_mixing, op5_sharding, op6_toxicity, op7_quality, op8_warc,
-        op9_minhash, op10_decontaminate,
+        op9_minhash, op10_decontaminate, op11_filter_audit, op12_vector_codes, op13_token_counts,
     )
 }
 
@@ -112,8 +143,39 @@ _FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _BLANK = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _TAGS = "p|div|li|ul|ol|nav|article|h[1-6]|br|tr|td|table|title|head|body|html|section|header|footer"
 
-# op2, op5, op6 and op7 have no SQL: a trained model, CRC-32 and quantile sketches; tests hold them
-# against plain versions. So is the pipeline.
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """The rounds one after the other: assign every part, then average what each entry got."""
+
+    def assigned(k: int) -> str:
+        return f"""a{k} AS (SELECT q.vec_id, q.label, q.p, q.v, arg_min(k, (e, k)) AS k, min(e) AS e FROM (
+  SELECT v.*, b.k, CAST(list_sum(list_transform(range(1, len(v.v) + 1), lambda i: (v.v[i] - b.v[i]) * (v.v[i] - b.v[i]))) AS BIGINT) AS e
+  FROM v JOIN b{k} b ON v.p = b.p) q GROUP BY q.vec_id, q.label, q.p, q.v)"""
+
+    steps = []
+    for k in range(rounds):
+        steps += [
+            assigned(k),
+            f"""m{k} AS (SELECT p, k, i, CAST(floor(sum(v[i]) / count(*)) AS BIGINT) AS x FROM a{k}, range(1, 9) r(i) GROUP BY p, k, i)""",
+            f"""b{k + 1} AS (SELECT b.p, b.k, coalesce(n.v, b.v) AS v FROM b{k} b
+  LEFT JOIN (SELECT p, k, list(x ORDER BY i) AS v FROM m{k} GROUP BY p, k) n ON n.p = b.p AND n.k = b.k)""",
+        ]
+    steps.append(assigned(rounds))
+    return f"""WITH g AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS z FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT vec_id, label, p, z[1 + 8 * p : 8 + 8 * p] AS v FROM g, range(0, 8) r(p)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM g QUALIFY k < 16),
+b0 AS (SELECT p, k, v FROM v JOIN f USING (vec_id)),
+{", ".join(steps)},
+r AS (SELECT vec_id, label, string_agg(format('{{:02x}}', k), '' ORDER BY p) AS code, CAST(sum(e) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY vec_id, label),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM r, h"""
+
+
+# op2, op5, op6, op7 and op13 have no SQL: a trained model, CRC-32, quantile sketches and a tokenizer; tests
+# hold them against plain versions. So is the pipeline.
 ORACLES = {
     "op1_chat_tree": r"""WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -198,4 +260,30 @@ q AS (SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT CAST(item
 SELECT w.id AS doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN g ON g.id = w.id LEFT JOIN q ON q.id = w.id WHERE kind = 'd'""",
+    "op11_filter_audit": rf"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, {_WORDS.format("text")} AS w, min(doc_id) OVER (PARTITION BY text) AS low FROM d),
+m AS (SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+             regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > low, false)] AS f FROM w),
+l AS (SELECT doc_id, max(quality = 1) AS q, max(toxic = 1) AS t FROM labels GROUP BY doc_id),
+c AS (SELECT part, f, count(*) AS n, count(*) FILTER (q) AS good, count(*) FILTER (t) AS toxic
+      FROM m LEFT JOIN l USING (doc_id) GROUP BY part, f),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (SELECT filter_order, step, ascii(filter_order[step]) - 64 AS own,
+             list_transform(range(1, step), lambda i: ascii(filter_order[i]) - 64) AS earlier
+      FROM o, range(1, 6) r(step)),
+y AS (SELECT part, filter_order, step, own, n, good, toxic, f[own] AS fails,
+             len(list_filter(earlier, lambda i: f[i])) > 0 AS gone, len(list_filter(f, lambda i: i)) AS failures FROM c, s),
+z AS (SELECT part, filter_order, step, own, sum(n) FILTER (NOT fails AND NOT gone) AS kept,
+             sum(n) FILTER (fails AND NOT gone) AS removed, sum(n) FILTER (fails AND gone) AS redundant,
+             sum(n) FILTER (fails AND failures = 1) AS unique_fails, sum(good) FILTER (fails AND NOT gone) AS good_lost,
+             sum(toxic) FILTER (fails AND NOT gone) AS toxic_lost FROM y GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley FROM z""",
+    "op12_vector_codes": _codes_sql(),
 }
