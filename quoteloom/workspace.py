@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +70,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+@dataclass(frozen=True)
+class ContentSize:
+    is_folder: bool
+    files: int
+    length: int
+
+
+def content_size(spark: SparkSession, path: str) -> ContentSize:
+    """Whether ``path`` is a folder, and how many files and bytes lie at or below it."""
+    _, target, fs = _file_system(spark, path)
+    summary = fs.getContentSummary(target)
+    return ContentSize(fs.getFileStatus(target).isDirectory(), summary.getFileCount(), summary.getLength())
+
+
 def list_children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``, sorted; empty when the path does not exist."""
     _, target, fs = _file_system(spark, path)
