@@ -1,20 +1,36 @@
-"""Name similarity by matching blocks (``difflib``), for column names and alias tokens."""
+"""Name similarity by matching blocks (``difflib``), for column names and alias tokens.
+
+Its functions travel to the executors by value: their Python need not have the package.
+"""
 
 from __future__ import annotations
 
 import difflib
+import sys
 from collections.abc import Iterable, Mapping
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def closest_name(name: str, candidates: Iterable[str], cutoff: float = 0.8) -> tuple[str, float] | None:
-    """Closest candidate and its ratio. For schema metadata on the driver, never for data."""
+
+def best_match(name: str, candidates: Iterable[str], cutoff: float = 0.8) -> tuple[float, str, float] | None:
+    """Rank, candidate and ratio of the closest one. Of several sets, the match of highest rank, then of the
+    largest name, is the closest of all."""
     found = difflib.get_close_matches(name, sorted(candidates), n=1, cutoff=cutoff)
     if not found:
         return None
-    return found[0], difflib.SequenceMatcher(None, name, found[0]).ratio()
+    # The ratio depends on the order of the two; matches are ranked by the other one.
+    rank = difflib.SequenceMatcher(None, found[0], name).ratio()
+    return rank, found[0], difflib.SequenceMatcher(None, name, found[0]).ratio()
+
+
+def closest_name(name: str, candidates: Iterable[str], cutoff: float = 0.8) -> tuple[str, float] | None:
+    """Closest candidate and its ratio, for schema metadata on the driver."""
+    found = best_match(name, candidates, cutoff)
+    return found[1:] if found else None
 
 
 def feasible_lengths(names: Iterable[str], cutoff: float) -> list[int]:

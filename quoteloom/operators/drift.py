@@ -1,7 +1,7 @@
 """Drift checks: schema (column names), null ratios and column types.
 
-Checks return frames of ``schemas.DRIFT`` columns. Only column names reach the driver, at most
-``MANY_KEYS`` of them from JSON keys.
+Checks return frames of ``schemas.DRIFT`` columns. Of the names that data may hold in any number, the
+keys of JSON objects, only the expected ones and one match for each missing one reach the driver.
 """
 
 from __future__ import annotations
@@ -15,24 +15,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import closest_name, feasible_lengths
+from ..functions import best_match, closest_name, feasible_lengths
 from ..schemas import DRIFT
 from ..workspace import materialize
-from .ids import with_dense_ids
 
 NULL_THRESHOLD = 0.1
 NAME_CUTOFF = 0.8
-MANY_KEYS = 1000
 # Severities, and below the message texts and detail keys of each kind of drift.
 INFO, WARNING, CRITICAL = "info", "warning", "critical"
 
 
 def _rows(spark: SparkSession, rows: list[tuple], run_ts: datetime | None) -> DataFrame:
-    stamped = [(kind, severity, confidence, text, json.dumps(details, sort_keys=True), run_ts)
+    # As to_json writes them.
+    layout = {"sort_keys": True, "ensure_ascii": False, "separators": (",", ":")}
+    stamped = [(kind, severity, confidence, text, json.dumps(details, **layout), run_ts)
                for kind, severity, confidence, text, details in rows]
     return spark.createDataFrame(stamped, DRIFT)
 
 
+def _renamed(name: str, other: str, ratio: float) -> tuple:
+    details = {"expected_column": name, "matched_column": other, "similarity_score": round(ratio, 3)}
+    return "schema_rename", WARNING, float(ratio), f"Column '{name}' may have been renamed to '{other}'", details
+
+
 def check_schema(
     spark: SparkSession,
     expected: Sequence[str],
@@ -46,10 +51,7 @@ def check_schema(
     for name in sorted(set(expected) - set(present)):
         match = closest_name(name, present, cutoff)
         if match:
-            other, ratio = match
-            details = {"expected_column": name, "matched_column": other, "similarity_score": round(ratio, 3)}
-            text = f"Column '{name}' may have been renamed to '{other}'"
-            rows.append(("schema_rename", WARNING, float(ratio), text, details))
+            rows.append(_renamed(name, *match))
         else:
             details = {"missing_column": name, "available_columns": present}
             rows.append(("schema_missing", CRITICAL, 1.0, f"Required column '{name}' is missing", details))
@@ -160,51 +162,64 @@ def detect_json(
 ) -> DataFrame:
     """The same checks for JSON objects, whose columns are their top-level keys.
 
-    The statistics of the keys stay distributed. Up to ``MANY_KEYS`` names are checked on the driver;
-    beyond that (ids used as keys) only the expected names and the closest key to each missing one get
-    there, and the new names come in several rows of up to ``MANY_KEYS`` each.
+    However many keys there are (ids may be used as keys), their statistics stay distributed and the
+    tasks look for the match of a missing name among theirs. Lists of all keys are made on the
+    executors, one for each row that the report has them in.
     """
     spark = payloads.sparkSession
     counts = materialize(json_null_counts(payloads), "key_counts")
     nulls = null_drift(counts, F.lit(run_ts).cast("timestamp"), threshold).select(*DRIFT.fieldNames())
-    names = [row["column"] for row in counts.select("column").limit(MANY_KEYS + 1).collect()]
-    if len(names) <= MANY_KEYS:
-        return check_schema(spark, expected, names, run_ts).unionByName(nulls)
-    present = [row["column"] for row in counts.where(F.col("column").isin(list(expected))).collect()]
-    missing = sorted(set(expected) - set(present))
-    near = [row["other"] for row in _closest_keys(counts, missing).collect()]  # one per missing name at most
-    schema = check_schema(spark, expected, [*present, *near], run_ts).where("drift_type <> 'schema_extra'")
-    return schema.unionByName(_extra_keys(counts, expected, run_ts)).unionByName(nulls)
+    present = {row["column"] for row in counts.where(F.col("column").isin(list(expected))).collect()}
+    missing = sorted(set(expected) - present)
+    near = {row["name"]: row["best"] for row in _closest_keys(counts, missing).collect()} if missing else {}
+    renamed = [_renamed(name, near[name]["other"], near[name]["ratio"]) for name in missing if name in near]
+    lost = [name for name in missing if name not in near]
+    report = _rows(spark, renamed, run_ts)
+    if lost:
+        report = report.unionByName(_missing_keys(counts, lost, run_ts))
+    return report.unionByName(_extra_keys(counts, expected, run_ts)).unionByName(nulls)
 
 
 def _closest_keys(counts: DataFrame, missing: Sequence[str], cutoff: float = NAME_CUTOFF) -> DataFrame:
-    """(name, other, ratio): the key closest to each missing name, where one reaches the cutoff."""
+    """(name, best): the key closest to each missing name, where one reaches the cutoff."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            best = [(name, *found) for name in missing if (found := closest_name(name, frame["column"], cutoff))]
-            yield pd.DataFrame(best, columns=["name", "other", "ratio"])
+            best = [(name, *found) for name in missing if (found := best_match(name, frame["column"], cutoff))]
+            yield pd.DataFrame(best, columns=["name", "rank", "other", "ratio"])
+
+    keys = counts.where(F.length("column").isin(feasible_lengths(missing, cutoff))).select("column")
+    found = keys.mapInPandas(run, "name string, rank double, other string, ratio double")
+    return found.groupBy("name").agg(F.max(F.struct("rank", "other", "ratio")).alias("best"))
 
-    feasible = feasible_lengths(missing, cutoff) if missing else []
-    keys = counts.where(F.length("column").isin(feasible)).select("column")
-    found = keys.mapInPandas(run, "name string, other string, ratio double")
-    return found.groupBy("name").agg(F.max(F.struct("ratio", "other")).alias("best")).select("name", "best.other", "best.ratio")
+
+def _schema_row(kind: str, severity: str, message: Column, details: Column, run_ts: datetime | None) -> list[Column]:
+    return [
+        F.lit(kind).alias("drift_type"),
+        F.lit(severity).alias("severity"),
+        F.lit(1.0).alias("confidence"),
+        message.alias("message"),
+        F.to_json(details).alias("details"),
+        F.lit(run_ts).cast("timestamp").alias("timestamp"),
+    ]
+
+
+def _missing_keys(counts: DataFrame, lost: list[str], run_ts: datetime | None) -> DataFrame:
+    """A row for each name that no key resembles, with all keys."""
+    names = counts.agg(F.array_sort(F.collect_list("column")).alias("available_columns"))
+    rows = names.withColumn("missing_column", F.explode(F.lit(lost)))
+    message = F.concat(F.lit("Required column '"), F.col("missing_column"), F.lit("' is missing"))
+    return rows.select(*_schema_row("schema_missing", CRITICAL, message, F.struct("available_columns", "missing_column"), run_ts))
 
 
 def _extra_keys(counts: DataFrame, expected: Sequence[str], run_ts: datetime | None) -> DataFrame:
-    """Keys beyond the expected ones in order of their names, so many to a row."""
-    extra = counts.where(~F.col("column").isin(list(expected))).select("column")
-    placed = with_dense_ids(extra, ["column"], "_place", -1)
-    chunks = placed.groupBy(F.floor(F.col("_place") / MANY_KEYS).alias("_chunk")).agg(
+    """One row with all keys beyond the expected ones, if there are any."""
+    extra = counts.where(~F.col("column").isin(list(expected))).agg(
         F.array_sort(F.collect_list("column")).alias("extra_columns")
     )
-    return chunks.select(
-        F.lit("schema_extra").alias("drift_type"),
-        F.lit(INFO).alias("severity"),
-        F.lit(1.0).alias("confidence"),
-        F.concat(F.lit("New columns detected: "), F.array_join("extra_columns", ", ")).alias("message"),
-        F.to_json(F.struct("extra_columns")).alias("details"),
-        F.lit(run_ts).cast("timestamp").alias("timestamp"),
+    message = F.concat(F.lit("New columns detected: "), F.array_join("extra_columns", ", "))
+    return extra.where(F.size("extra_columns") > 0).select(
+        *_schema_row("schema_extra", INFO, message, F.struct("extra_columns"), run_ts)
     )
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import coin_slug, first_filled
@@ -75,23 +75,15 @@ class Resolution:
         return records.join(self.keys, ["source", "symbol"], "left")
 
 
-def _join_coin(rows: DataFrame, lookup: Column, coins: DataFrame, out: str, few: bool = False) -> DataFrame:
-    """Add the id of the coin whose symbol equals ``lookup``.
+def _coins_by_symbol(coins: DataFrame) -> DataFrame:
+    """_symbol, the smallest id of its coins and their number."""
+    return coins.groupBy(F.col("symbol").alias("_symbol")).agg(F.min("coin_id").alias("_id"), F.count("*").alias("_n"))
 
-    A row that finds a symbol which several coins share is an error. When the rows are ``few`` beside
-    the coins, only coins with their symbols are grouped and written.
-    """
-    if few:
-        wanted = rows.select(lookup.alias("_wanted")).distinct()
-        coins = coins.join(wanted, F.col("symbol") == F.col("_wanted"), "left_semi")
-    by_symbol = coins.groupBy(F.col("symbol").alias("_symbol")).agg(
-        F.min("coin_id").alias("_id"), F.count("*").alias("_n")
-    )
-    by_symbol = materialize(by_symbol, "coins_by_symbol")
+
+def _only_id() -> Column:
+    """The id of the coin that was found by its symbol; several coins are an error."""
     ambiguous = F.raise_error(F.concat(F.lit("several coins have the symbol "), F.col("_symbol")))
-    joined = rows.withColumn("_lookup", lookup).join(by_symbol, F.col("_lookup") == F.col("_symbol"), "left")
-    found = F.when(F.col("_lookup").isNotNull() & (F.col("_n") > 1), ambiguous.cast("long"))
-    return joined.withColumn(out, found.otherwise(F.col("_id"))).drop("_lookup", "_symbol", "_id", "_n")
+    return F.when(F.col("_n") > 1, ambiguous.cast("long")).otherwise(F.col("_id"))
 
 
 def _max_id(coins: DataFrame) -> int:
@@ -131,26 +123,33 @@ def resolve_entities(
         keys.select("source", "symbol", "sid", "_first.name", "_first.arrival"), "entity_keys"
     )
 
-    # First row per source id, with its mapped coin or the existing coin of its symbol.
+    # One pass: the first row per source id, with its mapped coin, or else the existing coin of its symbol.
     firsts = keys.groupBy("source", "sid").agg(
         F.min_by(F.struct("symbol", "name", "arrival"), "arrival").alias("_row")
     )
     mapped = mappings.select(
         "source", F.col("source_id").alias("sid"), F.col("coin_id").alias("mapped_id")
     )
-    looked_up = firsts.select("source", "sid", "_row.*").join(mapped, ["source", "sid"], "left")
-    first_rows = materialize(looked_up, "entity_first_rows")
-    # Only unmapped rows look up their symbol, so that a shared symbol fails only where it is used, and
-    # the mapped ones, all rows in the steady state, take no part in the join with the coins.
-    old = first_rows.where("mapped_id IS NOT NULL").withColumn("symbol_id", F.lit(None).cast("long"))
-    new = first_rows.where("mapped_id IS NULL")
-    links, creates = not new.isEmpty(), False
-    if links:
-        new = materialize(_join_coin(new, F.col("symbol"), coins, "symbol_id", few=True), "entity_lookup")
-        creates = not new.where("symbol_id IS NULL").isEmpty()
-    else:
-        new = new.withColumn("symbol_id", F.lit(None).cast("long"))
-    known = old.unionByName(new)
+    # Only coins with the batch's symbols are grouped.
+    wanted = keys.select(F.col("symbol").alias("_wanted")).distinct()
+    by_symbol = _coins_by_symbol(coins.join(wanted, F.col("symbol") == F.col("_wanted"), "left_semi"))
+    looked_up = (
+        firsts.select("source", "sid", "_row.*")
+        .join(mapped, ["source", "sid"], "left")
+        .join(by_symbol, F.col("symbol") == F.col("_symbol"), "left")
+    )
+    # A shared symbol fails only where it is used, in a row without a mapping.
+    symbol_id = F.when(F.col("mapped_id").isNull(), _only_id()).alias("symbol_id")
+    looked_up = looked_up.select("source", "sid", "symbol", "name", "arrival", "mapped_id", symbol_id)
+    found = Observation("entities")
+    unmapped = F.col("mapped_id").isNull()
+    looked_up = looked_up.observe(
+        found,
+        F.count_if(unmapped).alias("unmapped"),
+        F.count_if(unmapped & F.col("symbol_id").isNull()).alias("unknown"),
+    )
+    known = materialize(looked_up, "entity_first_rows")
+    links, creates = found.get["unmapped"] > 0, found.get["unknown"] > 0
     missing = known.where("mapped_id IS NULL AND symbol_id IS NULL")
     creators = missing.groupBy("symbol").agg(
         F.min_by(F.struct("source", "sid", "name", "arrival"), "arrival").alias("_row")
@@ -229,4 +228,7 @@ def resolve_by_symbol(
 
 def lookup_coin_ids(records: DataFrame, coins: DataFrame) -> DataFrame:
     """coin_id per record by upper-cased symbol, null when unknown; creates nothing."""
-    return _join_coin(records, F.upper(F.col("symbol")), coins, "coin_id")
+    # Written out, so that its size decides how it is joined with the records.
+    by_symbol = materialize(_coins_by_symbol(coins), "coins_by_symbol")
+    joined = records.withColumn("_lookup", F.upper(F.col("symbol"))).join(by_symbol, F.col("_lookup") == F.col("_symbol"), "left")
+    return joined.withColumn("coin_id", _only_id()).drop("_lookup", "_symbol", "_id", "_n")

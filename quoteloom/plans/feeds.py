@@ -10,7 +10,7 @@ from ..operators import normalize
 from ..schemas import OVERFLOW
 from ..sources import Store, get_source, read_csv_feed, read_markets_json, read_tickers_json
 from ..streaming import stream_table
-from ..workspace import scratch_path
+from ..workspace import scratch_path, set_file_times
 from . import bindings as b
 from .ingest import run_source
 from .registry import query
@@ -40,17 +40,20 @@ def csv_feed(spark, sf_dir):
 
 
 _PAGE_ROWS = 250
+_RUN_TS = datetime(2024, 6, 1, tzinfo=timezone.utc)
 
 
 def _write_pages(rows, path):
-    """API pages of 250 objects, one JSON array per line."""
+    """API pages of 250 objects, one JSON array per line, in the order of the events.
+
+    All files get one time: rows then arrive in the order of the files' names, which is that of the pages.
+    """
+    item = F.array_sort(F.collect_list(F.struct("event_id", "item")))
     pages = rows.groupBy(F.expr(f"event_id DIV {_PAGE_ROWS}").alias("page")).agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list("item"), ","), F.lit("]")).alias("value")
+        F.concat(F.lit("["), F.array_join(F.transform(item, lambda x: x["item"]), ","), F.lit("]")).alias("value")
     )
-    pages.select("value").write.text(path)
-
-
-_RUN_TS = datetime(2024, 6, 1, tzinfo=timezone.utc)
+    pages.repartitionByRange("page").sortWithinPartitions("page").select("value").write.text(path)
+    set_file_times(rows.sparkSession, path, _RUN_TS)
 
 
 def market_pages(spark, sf_dir, where="true"):
@@ -97,23 +100,23 @@ def markets_feed(spark, sf_dir):
 @query(
     "ingest_feed",
     """WITH feed AS (
-  SELECT user_id, CASE WHEN event_type = 'signup' THEN TIMESTAMP '2024-06-01 00:00:00' ELSE ts END AS t,
-         CASE WHEN event_type <> 'signup' THEN value END AS price
+  SELECT user_id, event_id, value, CASE WHEN event_type = 'signup' THEN TIMESTAMP '2024-06-01 00:00:00' ELSE ts END AS t
   FROM events WHERE event_type <> 'error')
 SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, 'coingecko' AS source, t AS "timestamp",
-       max(price) AS price_usd
+       arg_max(value, event_id) AS price_usd
 FROM feed GROUP BY user_id, t""",
 )
 def ingest_feed(spark, sf_dir):
-    """The whole job on market pages: one quote per coin and time. Which signup is the last of its user
-    depends on the files' times, so those rows show no price."""
+    """The whole job on market pages: one quote per coin and time, the last that arrives.
+
+    Signups have no time of their own and stand at the time of the run.
+    """
     store = Store(spark, scratch_path(spark, "ingest_feed"))
     spec = replace(get_source("coingecko"), read=partial(read_markets_json, pages="lines"))
     run_source(store, "coingecko", market_pages(spark, sf_dir), run_ts=_RUN_TS, spec=spec)
     coins = store.read("coins").select("coin_id", F.col("symbol").alias("coin"))
-    price = F.when(F.col("timestamp") != F.lit(_RUN_TS).cast("timestamp"), F.col("price_usd").cast("double"))
     return store.read("quotes").join(coins, "coin_id").select(
-        F.col("coin").alias("symbol"), "source", "timestamp", price.alias("price_usd")
+        F.col("coin").alias("symbol"), "source", "timestamp", F.col("price_usd").cast("double").alias("price_usd")
     )
 
 

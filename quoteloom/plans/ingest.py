@@ -5,32 +5,32 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions import truncate_error
 from ..operators import drift, identity, merge, normalize, quality, runs
-from ..schemas import FAILURE, LEDGER, OVERFLOW, QUOTE_KEY, RUNNING, SUCCESS
+from ..schemas import FAILURE, LATE, LEDGER, MAX_ERROR_LENGTH, OVERFLOW, QUOTE_KEY, RUNNING, SUCCESS
 from ..session import tune
+from ..sources.commits import Batch, Head
+from ..sources.landing import list_feed
 from ..sources.registry import FeedSpec, get_source
-from ..sources.store import Store, with_event_date
+from ..sources.store import Stage, Store, with_event_date
 from ..workspace import materialize, remove_path, scratch_scope
 
 log = logging.getLogger(__name__)
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 class RunFailed(RuntimeError):
     """A run that ended in failure; the ledger holds the (shortened) message."""
 
 
-class PublicationPending(RunFailed):
-    """A run that is committed but not yet wholly in the tables; ``recover`` (or the next run) completes it."""
-
-
 @dataclass(frozen=True)
 class RunResult:
+    """``newest`` is the newest time that a row brought with it, ``checkpoint`` that of any row."""
+
     job_id: int
     source: str
     status: str
@@ -39,34 +39,38 @@ class RunResult:
     rows_rejected: int
     duplicates_dropped: int
     checkpoint: datetime | None
+    newest: datetime | None = None
 
 
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _ledger_row(store: Store, **fields) -> DataFrame:
-    message = fields.pop("error_message", None)
-    row = store.spark.createDataFrame([tuple(fields.get(n) for n in LEDGER.fieldNames())], LEDGER)
-    if message is not None:
-        row = row.withColumn("error_message", truncate_error(F.lit(message)))
-    return row
+def _ledger_row(**fields) -> dict:
+    unknown = set(fields) - set(LEDGER.fieldNames())
+    if unknown:
+        raise TypeError(f"no columns of the ledger: {sorted(unknown)}")
+    message = fields.get("error_message")
+    if message is not None and len(message) > MAX_ERROR_LENGTH:
+        fields["error_message"] = message[:MAX_ERROR_LENGTH] + "..."
+    return fields
 
 
-def start_job(store: Store, source: str, run_ts: datetime, batch_id: int | None = None) -> int:
+def start_job(
+    store: Store, source: str, run_ts: datetime, batch_id: int | None = None, stream_id: str | None = None
+) -> int:
     """Open a run and return its id. Runs of one store are opened one at a time."""
-    last = store.read("ledger").agg(F.max("id")).first()[0]
-    job_id = (last or 0) + 1
+    head = store.log.head()
+    job_id = head.last_job + 1
     row = _ledger_row(
-        store, id=job_id, source=source, status=RUNNING, records_processed=0, started_at=run_ts,
-        batch_id=batch_id, revision=0,
+        id=job_id, source=source, status=RUNNING, records_processed=0, started_at=run_ts,
+        batch_id=batch_id, stream_id=stream_id, revision=0,
     )
-    store.append("ledger", row)
+    store.log.commit(head, row, last_job=job_id, open_job=job_id)
     return job_id
 
 
 def _closed(
-    store: Store,
     job_id: int,
     source: str,
     status: str,
@@ -76,32 +80,37 @@ def _closed(
     checkpoint: datetime | None = None,
     error: str | None = None,
     batch_id: int | None = None,
-) -> DataFrame:
+    stream_id: str | None = None,
+) -> dict:
     """The ledger row that closes a run."""
     return _ledger_row(
-        store, id=job_id, source=source, status=status, last_processed_timestamp=checkpoint,
+        id=job_id, source=source, status=status, last_processed_timestamp=checkpoint,
         records_processed=records, started_at=started_at, completed_at=completed_at,
-        error_message=error, batch_id=batch_id, revision=1,
+        error_message=error, batch_id=batch_id, stream_id=stream_id, revision=1,
     )
 
 
 def finish_job(store: Store, *args, **fields) -> None:
     """Close a run that leaves nothing to publish; takes the arguments of ``_closed``."""
-    store.append("ledger", _closed(store, *args, **fields))
+    store.log.commit(store.log.head(), _closed(*args, **fields), open_job=None)
 
 
-def recover(store: Store) -> list[str]:
-    """Complete committed runs that were interrupted, and close the others as failures.
+def recover(store: Store) -> list[int]:
+    """Close a run that died as a failure, and return its id.
 
-    Runs of one store are serial, so a run that is still open when another begins has died.
+    Runs of one store are serial, so a run that is still open when another begins has died. Its commit
+    does not exist, so no reader has seen anything of it; ``Store.vacuum`` deletes what it wrote.
     """
-    published = store.recover()
-    for row in store.runs().where(F.col("status") == RUNNING).collect():  # the one run that died, as a rule
-        finish_job(
-            store, row["id"], row["source"], FAILURE, row["started_at"], row["started_at"],
-            error="interrupted before its commit", batch_id=row["batch_id"],
-        )
-    return published
+    head = store.log.head()
+    if head.open_job is None:
+        return []
+    row = store.runs().where(F.col("id") == head.open_job).first()
+    closing = _closed(
+        row["id"], row["source"], FAILURE, row["started_at"], row["started_at"],
+        error="interrupted before its commit", batch_id=row["batch_id"], stream_id=row["stream_id"],
+    )
+    store.log.commit(head, closing, open_job=None)
+    return [head.open_job]
 
 
 def checkpoint_of(store: Store, source: str, literal: bool = False) -> datetime | None:
@@ -120,51 +129,92 @@ def _drift_rows(spec: FeedSpec, rows: DataFrame, run_ts: datetime) -> DataFrame:
 def load_batch(
     store: Store,
     source: str,
-    raw: DataFrame,
+    raw: DataFrame | None,
     spec: FeedSpec,
     job_id: int,
     run_ts: datetime,
     use_record_source_id: bool = False,
     completed_at: datetime | None = None,
-    batch_id: int | None = None,
+    files: DataFrame | None = None,
+    part: StreamPart | None = None,
 ) -> RunResult:
     """Normalize, check, resolve and upsert one batch of raw feed rows, and close its run.
 
     The rows are parsed once, into the run's part of the audit table, of which all later steps read
-    only the columns they need. New coins, new mappings and the merged days are staged; the run's
-    ledger row, staged last, commits them; then all are moved into the tables. An error before the
-    commit leaves the tables as they were, one after it raises ``PublicationPending``.
+    only the columns they need. New coins, new mappings, the touched buckets of quotes and the log of the
+    ``files`` that were read are written where no reader looks; one commit with the run's ledger row publishes them.
+    An error before it leaves the tables as they were. ``raw`` is None where there is nothing to read;
+    ``part`` says which batch of which stream it is.
     """
+    stage = store.stage(f"run-{job_id}")
+    part = part or StreamPart()
     with scratch_scope(store.spark, f"run-{job_id}"):
-        result = _load(store, source, raw, spec, job_id, run_ts, use_record_source_id)
+        if raw is None:
+            result = RunResult(job_id, source, SUCCESS, 0, 0, 0, 0, None)
+        else:
+            result = _load(stage, source, raw, spec, job_id, run_ts, use_record_source_id, part.late_before)
+        if files is not None:
+            stage.add_rows("loaded_files", files)
     closing = _closed(
-        store, job_id, source, SUCCESS, run_ts, completed_at or _now(), result.records_processed, result.checkpoint,
-        batch_id=batch_id,
+        job_id, source, SUCCESS, run_ts, completed_at or _now(), result.records_processed, result.checkpoint,
+        batch_id=part.batch_id, stream_id=part.stream_id,
     )
-    store.commit_run(job_id, closing)
-    try:
-        store.publish_run(job_id)
-    except Exception as problem:
-        raise PublicationPending(f"{source}: run {job_id} is committed, its publication failed: {problem}") from problem
+    stage.commit(closing, open_job=None, **part.done(stage.head, result.newest))
     return result
 
 
+@dataclass(frozen=True)
+class StreamPart:
+    """One batch of a stream: rows before ``late_before`` are too late for it."""
+
+    stream_id: str | None = None
+    batch_id: int | None = None
+    late_before: datetime | None = None
+
+    def done(self, head: Head, newest: datetime | None) -> dict:
+        """What the commit remembers, so that the batch is loaded once and the next knows what is late."""
+        if self.stream_id is None:
+            return {}
+        before = head.streams.get(self.stream_id)
+        times = [t for t in (before.newest if before else None, to_micros(newest)) if t is not None]
+        return {"streams": {**head.streams, self.stream_id: Batch(self.batch_id, max(times, default=None))}}
+
+
+def to_micros(time: datetime | None) -> int | None:
+    return None if time is None else round((time - _EPOCH) / timedelta(microseconds=1))
+
+
+def from_micros(micros: int | None) -> datetime | None:
+    return None if micros is None else _EPOCH + timedelta(microseconds=micros)
+
+
 def _load(
-    store: Store, source: str, raw: DataFrame, spec: FeedSpec, job_id: int, run_ts: datetime, use_record_source_id: bool
-) -> RunResult:
+    stage: Stage, source: str, raw: DataFrame, spec: FeedSpec, job_id: int, run_ts: datetime,
+    use_record_source_id: bool, late_before: datetime | None,
+) -> RunResult:
+    store = stage.store
     now: Column = F.lit(run_ts).cast("timestamp")
     if spec.columnar:  # the drift check needs the feed's own columns
         raw = raw.withColumn("raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns if c not in ("arrival", OVERFLOW)]))
     # The audit rows, written once with their parsed columns; they count when the run succeeds.
     audit_path = store.run_path("raw", source, job_id)
     parsed = spec.normalize(raw, source, now).drop("source").withColumn("created_at", now)
+    if late_before is not None:
+        late = F.col("reject_reason").isNull() & (F.col("timestamp") < F.lit(late_before).cast("timestamp"))
+        parsed = parsed.withColumn("reject_reason", F.when(late, LATE).otherwise(F.col("reject_reason")))
+    passed = F.col("reject_reason").isNull()
+    seen = Observation("rows")
+    parsed = parsed.observe(
+        seen,
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(passed).alias("good"),
+        F.max(F.when(passed, F.unix_micros("timestamp"))).alias("newest"),
+        # Rows without a time of their own stand at the time of the run.
+        F.max(F.when(passed & (F.col("timestamp") != now), F.unix_micros("timestamp"))).alias("newest_dated"),
+    )
     rows = materialize(parsed, "rows", audit_path).withColumn("source", F.lit(source))
+    totals = seen.get
     good = normalize.accepted(rows)
-    totals = rows.agg(
-        F.count("*").alias("read"),
-        F.count_if(F.col("reject_reason").isNull()).alias("good"),
-        F.max(F.when(F.col("reject_reason").isNull(), F.col("timestamp"))).alias("checkpoint"),
-    ).first()
     if totals["good"] == 0:
         if totals["read"] == 0:
             remove_path(store.spark, audit_path)
@@ -182,26 +232,42 @@ def _load(
     )
     if resolution.creates:
         quality.assert_insertable(resolution.new_coins, coins, ["slug"], "coin slug")
-        store.stage_rows(job_id, "coins", resolution.new_coins)
+        stage.add_rows("coins", resolution.new_coins)
     if resolution.links:
-        store.stage_rows(job_id, "mappings", resolution.new_mappings)
+        stage.add_rows("mappings", resolution.new_mappings)
 
     quotes = resolution.attach(good).select(
         *QUOTE_KEY, "symbol", "price_usd", "market_cap", "volume_24h", "arrival"
     )
     batch = merge.last_per_key(quotes, QUOTE_KEY).drop("arrival").withColumn("ingested_at", now)
-    batch = materialize(with_event_date(batch), "batch")
-    per_day = batch.groupBy("event_date").count().collect()  # one row per day
-    affected = sum(row["count"] for row in per_day)
-    days = [row["event_date"] for row in per_day]
-    store.stage_quotes(batch, job_id, days, f"{store.run_stage(job_id)}/quotes")
-    checkpoint = totals["checkpoint"].replace(tzinfo=timezone.utc)
+    affected = stage.upsert_quotes(materialize(with_event_date(batch), "batch"))
+    checkpoint = from_micros(totals["newest"])
     return RunResult(
         job_id, source, SUCCESS, affected, totals["read"], totals["read"] - totals["good"],
-        totals["good"] - affected, checkpoint,
+        totals["good"] - affected, checkpoint, from_micros(totals["newest_dated"]),
     )
 
 
+def _new_files(store: Store, source: str, spec: FeedSpec, path: str, everything: bool):
+    """What a run has to read: the path (None: nothing new), and the files to note as loaded.
+
+    Files that an earlier successful run of the source has read, with the same time and length, are left
+    out by a join of two listings; only the names of new ones get to the driver. A first or full run
+    reads the path as a whole.
+    """
+    if not spec.reads_files:
+        return path, None
+    found = list_feed(store.spark, path, source)
+    if found is None:
+        return path, None  # nothing there: the reader says what is wrong
+    loaded = store.read("loaded_files").where(F.col("source") == source)
+    if everything or loaded.isEmpty():
+        return path, found
+    new = materialize(found.join(loaded, ["source", "path", "modified", "length"], "left_anti"), "new_files")
+    names = sorted(row[0] for row in new.select("path").collect())  # as many as there are new files
+    return (names, new) if names else (None, None)
+
+
 def run_source(
     store: Store,
     source: str,
@@ -213,9 +279,8 @@ def run_source(
 ) -> RunResult:
     """Run one source. Raises RunFailed after the failure is in the ledger; all tables are then as before.
 
-    A run whose commit is written but not its publication raises PublicationPending: it is a success
-    that the next run, or ``recover``, completes. ``spec`` may replace the registered one, for example
-    to read another page layout.
+    Landing files that an earlier run has loaded are not read again unless ``force_full``. ``spec`` may
+    replace the registered one, for example to read another page layout.
     """
     spec = spec or get_source(source)
     tune(store.spark)
@@ -223,22 +288,29 @@ def run_source(
     started = run_ts or _now()
     job_id = start_job(store, source, started)
     try:
-        checkpoint = None if force_full else checkpoint_of(store, source)
-        raw = spec.newer(spec.read(store.spark, path), checkpoint)
-        return load_batch(store, source, raw, spec, job_id, started, use_record_source_id, run_ts)
+        with scratch_scope(store.spark, f"files-{job_id}"):
+            checkpoint = None if force_full else checkpoint_of(store, source)
+            wanted, files = _new_files(store, source, spec, path, force_full)
+            raw = None if wanted is None else spec.newer(spec.read(store.spark, wanted), checkpoint)
+            return load_batch(store, source, raw, spec, job_id, started, use_record_source_id, run_ts, files)
     except Exception as problem:
         raise fail_run(store, job_id, source, started, _finished(run_ts), problem) from problem
 
 
 def fail_run(
     store: Store, job_id: int, source: str, started: datetime, completed: datetime, problem: Exception,
-    batch_id: int | None = None,
+    part: StreamPart | None = None,
 ) -> RunFailed:
-    """Close a run after an error, unless it is committed; returns what to raise."""
-    if store.is_committed(job_id):
-        return problem if isinstance(problem, PublicationPending) else PublicationPending(str(problem))
-    store.drop_stage(job_id)
-    finish_job(store, job_id, source, FAILURE, started, completed, error=str(problem), batch_id=batch_id)
+    """Close a run after an error; returns what to raise.
+
+    A commit may have been made although it raised an error: then the run is closed, and a success.
+    """
+    if store.log.head().open_job == job_id:
+        part = part or StreamPart()
+        finish_job(
+            store, job_id, source, FAILURE, started, completed, error=str(problem),
+            batch_id=part.batch_id, stream_id=part.stream_id,
+        )
     return RunFailed(f"ETL failed for {source}: {problem}")
 
 

@@ -1,7 +1,7 @@
 """Whole runs of the job and of the streams, on feeds that Spark writes from the driver tables."""
 
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import normalize
 from ..sources import FeedSpec, Store, get_source, read_csv_feed, read_markets_json, register_source, remove_source
 from ..streaming import stream_csv, stream_json
-from ..workspace import scratch_path
+from ..workspace import remove_path, scratch_path
 from . import bindings as b
 from .feeds import market_pages
 from .ingest import recover, run_all, run_source, start_job
@@ -52,8 +52,9 @@ def _states(store):
 
 @query(
     "run_all_states",
-    """WITH m AS (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, ts FROM events
-                  WHERE event_type NOT IN ('error', 'signup'))),
+    """WITH m AS (SELECT count(*) AS n FROM (
+  SELECT DISTINCT user_id, CASE WHEN event_type = 'signup' THEN TIMESTAMP '2024-06-01 00:00:00' ELSE ts END
+  FROM events WHERE event_type <> 'error')),
 c AS (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, ts FROM events))
 SELECT * FROM (
   SELECT CAST(1 AS BIGINT) AS id, 'coinpaprika' AS source, 'failure' AS status, 0 AS records_processed
@@ -66,7 +67,7 @@ SELECT * FROM (
 def run_all_states(spark, sf_dir):
     """All sources, one of them without a feed; one again with nothing new; one in full; an empty feed."""
     store = Store(spark, scratch_path(spark, "run_all"))
-    markets = market_pages(spark, sf_dir, "event_type NOT IN ('error', 'signup')")
+    markets = market_pages(spark, sf_dir)
     paths = {"coinpaprika": markets + "-missing", "coingecko": markets, "csv": _csv_pages(spark, sf_dir)}
     registered = get_source("coingecko")
     register_source("coingecko", replace(registered, read=partial(read_markets_json, pages="lines")))
@@ -133,39 +134,64 @@ def stream_csv_feed(spark, sf_dir):
     return _facts(store)
 
 
+_LATE_AFTER = timedelta(days=10)
+
+
 @query(
     "late_rows",
-    """WITH s AS (SELECT max(ts) AS mid FROM events WHERE event_id % 2 = 0 AND event_type NOT IN ('error', 'signup')),
-e AS (SELECT user_id, ts, event_id % 2 AS part FROM events WHERE event_type NOT IN ('error', 'signup')),
-kept AS (SELECT user_id, ts FROM e WHERE part = 0 UNION SELECT user_id, ts FROM e, s WHERE part = 1 AND ts > mid)
-SELECT 'drop_late' AS mode, count(*) AS quotes FROM kept
-UNION ALL SELECT 'keep_late', count(*) FROM (SELECT DISTINCT user_id, ts FROM e)""",
+    """WITH e AS (SELECT user_id, event_id % 2 AS part, event_type = 'signup' AS undated, ts,
+                   CASE WHEN event_type = 'signup' THEN TIMESTAMP '2024-06-01 00:00:00' ELSE ts END AS t
+            FROM events WHERE event_type <> 'error'),
+s AS (SELECT max(t) AS checkpoint, max(ts) FILTER (NOT undated) - INTERVAL 10 DAY AS bound FROM e WHERE part = 0),
+m AS (SELECT 'drop_late' AS mode, user_id, t, false AS late FROM e, s WHERE part = 0 OR undated OR ts > checkpoint
+  UNION ALL SELECT 'keep_late', user_id, t, false FROM e
+  UNION ALL SELECT 'late_after', user_id, t, part = 1 AND NOT undated AND ts < bound FROM e, s)
+SELECT mode, count(DISTINCT (user_id, t)) FILTER (NOT late) AS quotes, count(*) FILTER (late) AS late FROM m GROUP BY mode""",
 )
 def late_rows(spark, sf_dir):
-    """Two deliveries of a stream; the second has rows older than the first's newest."""
+    """Two deliveries of a stream; the second has rows older than the first's newest.
+
+    They enter, are dropped, or go to the quarantine beyond a bound. Errors are rejected in any case.
+    """
     counts = []
-    for mode in ("drop_late", "keep_late"):
+    landing = {part: market_pages(spark, sf_dir, f"event_id % 2 = {part}") for part in (0, 1)}
+    modes = {"drop_late": {"drop_late": True}, "keep_late": {}, "late_after": {"late_after": _LATE_AFTER}}
+    for mode, options in modes.items():
         store = Store(spark, scratch_path(spark, mode))
         checkpoint = scratch_path(spark, "ckpt")
-        landing = scratch_path(spark, "landing")
+        folder = scratch_path(spark, "landing")
         for part in (0, 1):
-            where = f"event_type NOT IN ('error', 'signup') AND event_id % 2 = {part}"
-            pages = spark.read.text(market_pages(spark, sf_dir, where))
-            pages.write.mode("append").text(landing)
+            spark.read.text(landing[part]).write.mode("append").text(folder)
             stream_json(
-                store, "coingecko", landing, checkpoint, pages="lines", drop_late=mode == "drop_late", run_ts=_RUN_TS
+                store, "coingecko", folder, checkpoint, pages="lines", run_ts=_RUN_TS, **options
             ).awaitTermination()
-        counts.append(store.read("quotes").agg(F.lit(mode).alias("mode"), F.count("*").alias("quotes")))
-    return counts[0].union(counts[1])
+        late = store.quarantine().where("reject_reason = 'late'").agg(F.count("*").alias("late"))
+        counts.append(store.read("quotes").agg(F.count("*").alias("quotes")).select(
+            F.lit(mode).alias("mode"), "quotes", late.select("late").scalar().alias("late")
+        ))
+    return counts[0].union(counts[1]).union(counts[2])
 
 
-@query("redelivery", _QUOTES.format(source="coingecko", where="event_type = 'view'"))
+@query(
+    "redelivery",
+    """WITH q AS (
+  SELECT user_id, CASE WHEN event_type = 'signup' THEN TIMESTAMP '2024-06-01 00:00:00' ELSE ts END AS t,
+         arg_max(value, event_id) AS price FROM events WHERE event_type <> 'error' GROUP BY ALL)
+SELECT 'quote' AS kind, 'U' || CAST(user_id AS VARCHAR) AS name, t AS "timestamp", price AS value FROM q
+UNION ALL SELECT 'success', CAST(run AS VARCHAR), NULL, (SELECT CAST(count(*) AS DOUBLE) FROM q) FROM (VALUES (1), (2)) r(run)""",
+)
 def redelivery(spark, sf_dir):
-    """The same files twice, the second time from a lost stream checkpoint: same keys, same table."""
+    """A batch that Spark delivers again opens no run; a stream that lost its checkpoint overwrites the same keys.
+
+    The result has all quotes, and all runs of the ledger with their number of rows.
+    """
     store = Store(spark, scratch_path(spark, "redelivery"))
-    landing = market_pages(spark, sf_dir, "event_type = 'view'")
-    for _ in range(2):
-        stream_json(
-            store, "coingecko", landing, scratch_path(spark, "ckpt"), pages="lines", run_ts=_RUN_TS
-        ).awaitTermination()
-    return _facts(store)
+    landing = market_pages(spark, sf_dir)
+    checkpoint = scratch_path(spark, "ckpt")
+    for folder in (checkpoint, checkpoint, scratch_path(spark, "ckpt")):
+        remove_path(spark, f"{checkpoint}/commits")  # as if Spark had died before it noted the batch as done
+        stream_json(store, "coingecko", landing, folder, pages="lines", run_ts=_RUN_TS).awaitTermination()
+    quotes = _facts(store).select(F.lit("quote").alias("kind"), F.col("symbol").alias("name"), "timestamp", F.col("price_usd").alias("value"))
+    return quotes.union(store.runs().select(
+        "status", F.col("id").cast("string"), F.lit(None).cast("timestamp"), F.col("records_processed").cast("double")
+    ))

@@ -12,6 +12,9 @@ SUCCESS, FAILURE, RUNNING = "success", "failure", "running"
 # Column of CSV rows: the text of a row that has more filled cells than its header has names, else null.
 OVERFLOW = "_overflow"
 
+# Reject reason of a stream's row that is older than its newest by more than the stream allows.
+LATE = "late"
+
 MAX_SYMBOL_LENGTH = 20
 MAX_ERROR_LENGTH = 990
 
@@ -61,10 +64,19 @@ LEDGER = _struct(
     ("started_at", T.TimestampType()),
     ("completed_at", T.TimestampType()),
     ("error_message", T.StringType()),
+    ("stream_id", T.StringType()),
     ("batch_id", T.LongType()),
     ("revision", T.IntegerType()),
 )
 
+# Landing files that successful runs have read; a file that changes has another time or length.
+LOADED_FILES = _struct(
+    ("source", T.StringType()),
+    ("path", T.StringType()),
+    ("modified", T.TimestampType()),
+    ("length", T.LongType()),
+)
+
 RAW = _struct(
     ("payload", T.StringType()),
     ("reject_reason", T.StringType()),

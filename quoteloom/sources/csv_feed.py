@@ -86,13 +86,15 @@ def _with_breaks(spark: SparkSession, paths: list[str], quote: str) -> set[str]:
     return {_plain(row[0]) for row in found}
 
 
-def read_csv_feed(spark: SparkSession, path: str, sep: str = "auto", multiline: bool | str = "auto") -> DataFrame:
+def read_csv_feed(
+    spark: SparkSession, path: str | list[str], sep: str = "auto", multiline: bool | str = "auto"
+) -> DataFrame:
     """All-string columns with trimmed, lower-cased names, plus ``arrival`` (row order) and OVERFLOW.
 
-    ``path`` is a file, a directory or a glob. Each file may have its own separator and columns.
-    ``multiline`` may be fixed when the caller knows whether quoted fields span lines.
+    ``path`` is a file, a directory, a glob or a list of files. Each file may have its own separator and
+    columns. ``multiline`` may be fixed when the caller knows whether quoted fields span lines.
     """
-    files = list_files(spark, path)
+    files = list_files(spark, path) if isinstance(path, str) else path
     if not files:
         raise FeedError(f"CSV file not found: {path}")
     rows = read_csv_files(spark, files, sep, multiline)

@@ -25,8 +25,8 @@ def page_options(pages: str) -> dict[str, str]:
     return {"wholetext": str(pages == "files").lower(), "recursiveFileLookup": "true"}
 
 
-def _read_pages(spark: SparkSession, path: str, pages: str) -> DataFrame:
-    if not list_files(spark, path):
+def _read_pages(spark: SparkSession, path: str | list[str], pages: str) -> DataFrame:
+    if isinstance(path, str) and not list_files(spark, path):
         raise FeedError(f"JSON feed not found: {path}")
     return json_items(spark.read.options(**page_options(pages)).format("text").load(path))
 
@@ -68,11 +68,11 @@ def json_items(pages: DataFrame) -> DataFrame:
     )
 
 
-def read_markets_json(spark: SparkSession, path: str, pages: str = "files") -> DataFrame:
+def read_markets_json(spark: SparkSession, path: str | list[str], pages: str = "files") -> DataFrame:
     """Markets feed: flat objects (id, symbol, name, current_price, ...)."""
     return _read_pages(spark, path, pages)
 
 
-def read_tickers_json(spark: SparkSession, path: str, pages: str = "files") -> DataFrame:
+def read_tickers_json(spark: SparkSession, path: str | list[str], pages: str = "files") -> DataFrame:
     """Tickers feed: objects with a nested ``quotes`` map keyed by currency."""
     return _read_pages(spark, path, pages)

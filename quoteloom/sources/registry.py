@@ -17,7 +17,8 @@ from .json_feeds import read_markets_json, read_tickers_json
 class FeedSpec:
     """How one source is read, filtered, normalized and checked.
 
-    ``read(spark, path)`` returns raw rows with an orderable ``arrival`` column; ``newer(raw,
+    ``read(spark, path)`` returns raw rows with an orderable ``arrival`` column. With ``reads_files`` it
+    takes a list of files as well, and the job hands it those it has not loaded yet. ``newer(raw,
     checkpoint)`` drops rows already seen; ``normalize(raw, source, run_ts)`` returns the columns of
     ``operators.normalize.NORMALIZED``. ``expected_columns`` feeds the drift check; ``columnar`` says
     whether it looks at the columns of the raw rows or at the keys of their JSON ``payload``.
@@ -28,6 +29,7 @@ class FeedSpec:
     newer: Callable[..., DataFrame]
     expected_columns: tuple[str, ...]
     columnar: bool
+    reads_files: bool = False
 
 
 _REGISTRY: dict[str, FeedSpec] = {}
@@ -69,6 +71,7 @@ register_source(
         incremental.newer_json,
         ("id", "symbol", "name", "quotes"),
         columnar=False,
+        reads_files=True,
     ),
 )
 register_source(
@@ -79,6 +82,7 @@ register_source(
         incremental.newer_json,
         ("id", "symbol", "name", "current_price"),
         columnar=False,
+        reads_files=True,
     ),
 )
 register_source(
@@ -89,5 +93,6 @@ register_source(
         incremental.newer_csv,
         ("ticker", "price", "vol", "date"),
         columnar=True,
+        reads_files=True,
     ),
 )

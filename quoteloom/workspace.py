@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,6 +93,45 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Like ``list_children``, in a fixed number of calls, for folders whose names this library gave."""
+    jvm, target, fs = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(target))
+    found = jvm.scala.collection.mutable.ArraySeq.make(paths).mkString("\n")
+    return sorted(child.rsplit("/", 1)[1] for child in found.split("\n") if child)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm, target, fs = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole or not at all; FileExistsError when there is one already."""
+    jvm, target, fs = _file_system(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(draft, target, options)
+    except Exception as problem:
+        fs.delete(draft, False)
+        if fs.exists(target):
+            raise FileExistsError(path) from problem
+        raise
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that this library wrote."""
     _, target, fs = _file_system(spark, path)
@@ -140,6 +180,14 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+def set_file_times(spark: SparkSession, path: str, time: datetime) -> None:
+    """Give every file directly below ``path`` one modification time."""
+    jvm, target, fs = _file_system(spark, path)
+    for status in fs.listStatus(target):
+        if status.isFile():
+            fs.setTimes(status.getPath(), int(time.timestamp() * 1000), -1)
+
+
 def read_head(spark: SparkSession, path: str, size: int) -> bytes:
     """The first ``size`` bytes of one file."""
     jvm, target, fs = _file_system(spark, path)

@@ -1,5 +1,7 @@
 import json
 import os
+import random
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -8,7 +10,10 @@ from pyspark.sql import functions as F
 
 from quoteloom.operators import drift, runs
 from quoteloom.plans import ingest
-from quoteloom.sources import Store
+from quoteloom.sources import Store, commits, get_source
+from quoteloom.sources import store as store_module
+from quoteloom.sources.commits import CommitLog, Conflict
+from quoteloom.sources.store import Stage
 from quoteloom.streaming import stream_csv, stream_json
 
 T1 = datetime(2024, 6, 1, tzinfo=timezone.utc)
@@ -82,8 +87,7 @@ def test_running_twice_equals_running_once(store, folder):
     assert facts(store) == before
     assert (first.records_processed, again.records_processed) == (2, 2)
     assert store.read("coins").count() == 2 and store.read("mappings").count() == 2
-    files = [f for f in os.listdir(store.path("coins")) if f.endswith(".parquet")]
-    assert len(files) <= 2  # the second run appended nothing
+    assert len([e for e in store.log.entries() if e.table == "coins"]) == 1  # the second run appended nothing
 
 
 def test_incremental_empty_and_forced_runs(store, folder):
@@ -120,18 +124,11 @@ def test_only_touched_days_are_rewritten(store, folder):
     path = put(folder(), "a.json", [market("btc", 1.0, f"2024-01-{d}T00:00:00Z") for d in (10, 11, 12)])
     ingest.run_source(store, "coingecko", path, run_ts=T1)
 
-    def files():
-        found = {}
-        for day in sorted(os.listdir(store.path("quotes"))):
-            if day.startswith("event_date"):
-                found[day] = sorted(f for f in os.listdir(f"{store.path('quotes')}/{day}") if f.endswith(".parquet"))
-        return found
-
-    before = files()
+    before = {e.day: e.path for e in store.log.entries() if e.table == "quotes"}
     late = put(folder(), "a.json", [market("eth", 5.0, "2024-01-11T00:00:00Z")])
     ingest.run_source(store, "coingecko", late, force_full=True, run_ts=T2)
-    after = files()
-    assert [d for d in before if before[d] != after[d]] == ["event_date=2024-01-11"]
+    after = {e.day: e.path for e in store.log.entries() if e.table == "quotes"}
+    assert [d for d in before if before[d] != after[d]] == ["2024-01-11"]
     assert store.read("quotes").count() == 4
 
 
@@ -159,7 +156,7 @@ def test_long_error_messages_are_cut(store):
 
 def test_failed_attempt_is_not_committed_and_a_retry_repairs_it(store, folder, monkeypatch):
     path = put(folder(), "a.json", [market("btc", 1.0)])
-    monkeypatch.setattr(Store, "commit_run", lambda self, job, row: (_ for _ in ()).throw(IOError("disk")))
+    monkeypatch.setattr(Stage, "commit", lambda self, *a, **b: (_ for _ in ()).throw(IOError("disk")))
     with pytest.raises(ingest.RunFailed, match="disk"):
         ingest.run_source(store, "coingecko", path, run_ts=T1)
     assert store.read("quotes").count() == 0 and store.committed("raw").count() == 0
@@ -172,16 +169,20 @@ def test_failed_attempt_is_not_committed_and_a_retry_repairs_it(store, folder, m
     assert store.read("coins").count() == 1
 
 
-def test_recovery_publishes_complete_stages_only(spark, store, folder):
+def test_a_stage_is_seen_from_its_commit_on(store, folder):
     path = put(folder(), "a.json", [market("btc", 1.0)])
     ingest.run_source(store, "coingecko", path, run_ts=T1)
     batch = store.read("quotes").withColumn("price_usd", F.lit(7).cast("decimal(20,8)"))
-    store.stage_quotes(batch, 50)
-    broken = store.stage_quotes(batch.withColumn("price_usd", F.lit(8).cast("decimal(20,8)")), 51)
-    os.rename(f"{broken}/_SUCCESS", f"{broken}/_unfinished")
-    assert store.recover() == ["quotes-50"]
+    stage = store.stage_quotes(batch)
+    other = store.stage_quotes(batch.withColumn("price_usd", F.lit(8).cast("decimal(20,8)")))
+    assert facts(store) == [("BTC", "coingecko", NOON, 1.0)]
+    earlier = store.read("quotes")
+    store.publish_quotes(stage)
     assert facts(store) == [("BTC", "coingecko", NOON, 7.0)]
-    assert store.recover() == []
+    assert float(earlier.first()["price_usd"]) == 1.0  # a frame stays as of its commit
+    with pytest.raises(Conflict):  # made upon the same commit, it would undo the first one
+        store.publish_quotes(other)
+    assert len(store.vacuum()) == 2 and facts(store) == [("BTC", "coingecko", NOON, 7.0)] and store.vacuum() == []
 
 
 def test_drift_log(store, folder):
@@ -216,35 +217,9 @@ def test_a_run_with_only_bad_rows_succeeds_and_fills_the_quarantine(store, folde
     assert store.read("coins").count() == 0
 
 
-def test_interrupted_publication_is_completed(store, folder, monkeypatch):
-    from quoteloom.sources import store as store_module
-
-    path = put(folder(), "a.json", [market("btc", 1.0, f"2024-01-{d}T00:00:00Z") for d in (10, 11, 12)])
-    ingest.run_source(store, "coingecko", path, run_ts=T1)
-    real, moved = store_module.move_path, []
-
-    def move_once(spark, source, target):
-        if moved:
-            raise OSError("lost")
-        moved.append(target)
-        real(spark, source, target)
-
-    monkeypatch.setattr(store_module, "move_path", move_once)
-    put(path, "a.json", [market("btc", 2.0, f"2024-01-{d}T00:00:00Z") for d in (10, 11, 12)])
-    with pytest.raises(ingest.PublicationPending, match="lost"):
-        ingest.run_source(store, "coingecko", path, force_full=True, run_ts=T2)
-    monkeypatch.undo()
-    assert store.runs().where("id = 2").first()["status"] == "running"
-    assert ingest.recover(store) == ["run-2"]
-    assert [f[3] for f in facts(store)] == [2.0] * 3
-    last = store.runs().where("id = 2").first()
-    assert (last["status"], last["records_processed"]) == ("success", 3) and store.committed("raw").count() == 6
-
-
 STEPS = [
-    ("store", "stage_rows", 1), ("store", "stage_rows", 2), ("store", "stage_quotes", 1), ("store", "commit_run", 1),
-    ("module", "move_files", 1), ("module", "move_files", 3), ("module", "move_path", 1), ("module", "move_path", 2),
-    ("module", "remove_path", 2),
+    (Stage, "add_rows", 1), (Stage, "add_rows", 2), (Stage, "add_rows", 3), (Stage, "upsert_quotes", 1),
+    (CommitLog, "write_manifest", 1), (commits, "create_text", 2), (commits, "create_text", 3), (Stage, "commit", 1),
 ]
 
 
@@ -253,13 +228,10 @@ class Killed(BaseException):
 
 
 @pytest.mark.parametrize("kind,after", [(OSError, False), (Killed, True)])
-@pytest.mark.parametrize("where,name,number", STEPS)
-def test_a_run_is_whole_or_absent_wherever_it_breaks(store, folder, monkeypatch, where, name, number, kind, after):
-    from quoteloom.sources import store as store_module
-
+@pytest.mark.parametrize("owner,name,number", STEPS)
+def test_a_run_is_whole_or_absent_wherever_it_breaks(store, folder, monkeypatch, owner, name, number, kind, after):
     path = put(folder(), "a.json", [market("btc", 1.0)])
     ingest.run_source(store, "coingecko", path, run_ts=T1)
-    owner = Store if where == "store" else store_module
     real, calls = getattr(owner, name), []
 
     def breaking(*args, **kwargs):
@@ -303,27 +275,123 @@ def test_rows_without_a_time_are_upserted(spark, store):
     assert sorted((r.coin_id, float(r.price_usd)) for r in store.read("quotes").collect()) == [(1, 3.0), (2, 2.0)]
 
 
-def test_interrupted_compaction_is_completed(store, monkeypatch):
-    from quoteloom.sources import store as store_module
-
-    for _ in range(3):
-        ingest.start_job(store, "csv", T1)
-    before = rows(store.read("ledger"))
-    real = store_module.move_path
-    monkeypatch.setattr(store_module, "move_path", lambda *a: (store_module.remove_path(a[0], a[2]), 1 / 0))
-    with pytest.raises(ZeroDivisionError):
-        store.compact("ledger")
-    monkeypatch.setattr(store_module, "move_path", real)
-    assert store.recover() == ["compact-ledger"]
-    assert rows(store.read("ledger")) == before
-
-
-def test_compaction_keeps_the_rows(store):
-    for _ in range(3):
-        ingest.start_job(store, "csv", T1)
-    before = rows(store.read("ledger"))
-    store.compact("ledger")
-    assert rows(store.read("ledger")) == before
+def test_compaction_keeps_the_rows(store, folder, monkeypatch):
+    for k in range(3):
+        ingest.run_source(store, "coingecko", put(folder(), "a.json", [market(f"c{k}", 1.0)]), True, T1)
+    before = rows(store.read("coins"))
+    assert len([e for e in store.log.entries() if e.table == "coins"]) == 3
+    with monkeypatch.context() as patch:
+        patch.setattr(CommitLog, "commit", lambda *a, **b: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.compact("coins")
+    assert rows(store.read("coins")) == before
+    store.compact("coins")
+    assert rows(store.read("coins")) == before
+    assert len([e for e in store.log.entries() if e.table == "coins"]) == 1
+    with pytest.raises(ValueError, match="partitioned"):
+        store.compact("quotes")
+    monkeypatch.setattr(store_module, "MOST_PARTS", 3)
+    for k in range(3, 7):
+        ingest.run_source(store, "coingecko", put(folder(), "a.json", [market(f"c{k}", 1.0)]), True, T1)
+    assert len([e for e in store.log.entries() if e.table == "coins"]) <= 3
+    assert rows(store.read("coins").select("symbol")) == [(f"C{k}",) for k in range(7)]
+
+
+def test_the_ledger_is_a_snapshot_and_a_tail(store, monkeypatch):
+    monkeypatch.setattr(commits, "BLOCK", 4)
+    for k in range(11):
+        job = ingest.start_job(store, "csv", T1 + timedelta(hours=k))
+        ingest.finish_job(store, job, "csv", "success", T1, T2, records=k)
+    found = store.read("ledger")
+    assert found.count() == 22 and rows(store.runs().select("id", "records_processed")) == sorted(
+        [(k + 1, k) for k in range(11)], key=lambda r: str(r[0])
+    )
+    assert store.log.head().number == 22 and len([f for f in found.inputFiles() if f.endswith(".json")]) == 3
+    assert ingest.start_job(store, "csv", T2) == 12
+
+
+def test_two_writers_of_one_store(store):
+    head = store.log.head()
+    ingest.start_job(store, "csv", T1)
+    with pytest.raises(Conflict):
+        store.log.commit(head, last_job=1, open_job=1)
+
+
+def quote_rows(spark, store, data):
+    """Quotes of (coin, price) at (day, second)."""
+    fields = "coin_id long, price int, time timestamp"
+    base = datetime(2024, 1, 1)
+    given = [(coin, price, base + timedelta(days=day, seconds=second)) for coin, price, day, second in data]
+    made = spark.createDataFrame(given, fields).select(
+        "coin_id", F.lit("A").alias("symbol"), F.col("price").cast("decimal(20,8)").alias("price_usd"),
+        F.lit(None).cast("decimal(30,2)").alias("market_cap"), F.lit(None).cast("decimal(30,2)").alias("volume_24h"),
+        F.lit("s").alias("source"), F.lit(T1).cast("timestamp").alias("ingested_at"), F.col("time").alias("timestamp"),
+        F.to_date("time").alias("event_date"),
+    )
+    return made.select(*store.read("quotes").columns)
+
+
+def test_a_late_row_rewrites_one_bucket(spark, folder):
+    store = Store(spark, folder("store"), bucket_rows=20)
+    data = [(coin, 1, day, second) for coin in range(20) for day in range(2) for second in range(10)]
+    store.publish_quotes(store.stage_quotes(quote_rows(spark, store, data)))
+    before = {(e.day, e.bucket): e for e in store.log.entries()}
+    assert {e.buckets for e in before.values()} == {8} and sum(e.rows for e in before.values()) == 400
+    store.publish_quotes(store.stage_quotes(quote_rows(spark, store, [(3, 9, 1, 4), (99, 5, 1, 4)][:1])))
+    after = {(e.day, e.bucket): e for e in store.log.entries()}
+    changed = [k for k in before if before[k].path != after[k].path]
+    assert len(changed) == 1 and changed[0][0] == "2024-01-02" and before[changed[0]].rows == after[changed[0]].rows
+    assert store.read("quotes").count() == 400 and store.read("quotes").where("price_usd = 9").count() == 1
+
+
+def test_days_are_dealt_anew_as_they_grow(spark, folder):
+    rng = random.Random(7)
+    store, model = Store(spark, folder("store"), bucket_rows=5), {}
+    for price in range(1, 7):
+        data = {(rng.randrange(12), price, rng.randrange(2), rng.randrange(6)) for _ in range(5 * price)}
+        data.add((1, price, 7, 0))
+        model |= {(coin, day, second): price for coin, price, day, second in data}
+        store.publish_quotes(store.stage_quotes(quote_rows(spark, store, sorted(data))))
+        found = store.read("quotes").selectExpr(
+            "coin_id", "datediff(event_date, '2024-01-01')", "second(timestamp)", "cast(price_usd as int)"
+        )
+        assert sorted(tuple(r) for r in found.collect()) == sorted((*k, v) for k, v in model.items())
+        live = [e for e in store.log.entries() if e.table == "quotes"]
+        assert sum(e.rows for e in live) == len(model) and len({(e.day, e.bucket) for e in live}) == len(live)
+    assert max(e.buckets for e in live) > 1 and min(e.buckets for e in live) == 1
+    store.vacuum()
+    assert store.read("quotes").count() == len(model)
+
+
+def test_loaded_files_are_not_read_again(store, folder, monkeypatch):
+    path = folder("feed")
+    for k in range(30):
+        put(path, f"{k}.json", [market(f"c{k}", 1.0)])
+    spec = get_source("coingecko")
+    read = []
+
+    def reading(spark, given):
+        read.append(given)
+        return spec.read(spark, given)
+
+    spied = replace(spec, read=reading)
+    ingest.run_source(store, "coingecko", path, run_ts=T1, spec=spied)
+    put(path, "new.json", [market("btc", 2.0, "2024-01-16T00:00:00Z"), market("old", 2.0, "2024-01-01T00:00:00Z")])
+    done = ingest.run_source(store, "coingecko", path, run_ts=T2, spec=spied)
+    assert read[0] == path and [f.rsplit("/", 1)[1] for f in read[1]] == ["new.json"]
+    assert (done.records_processed, done.rows_read) == (1, 1)  # the checkpoint holds for rows of new files
+    assert ingest.run_source(store, "coingecko", path, run_ts=T2, spec=spied).rows_read == 0 and len(read) == 2
+    put(path, "3.json", [market("c3", 5.0, "2024-01-20T00:00:00Z"), market("c3", 6.0, "2024-01-21T00:00:00Z")])
+    with monkeypatch.context() as patch:  # a failed run has loaded nothing
+        patch.setattr(Stage, "commit", lambda *a, **b: 1 / 0)
+        with pytest.raises(ingest.RunFailed):
+            ingest.run_source(store, "coingecko", path, run_ts=T2, spec=spied)
+    assert ingest.run_source(store, "coingecko", path, run_ts=T2, spec=spied).records_processed == 2
+    assert [f.rsplit("/", 1)[1] for f in read[-1]] == ["3.json"]
+    # Another source has a log of its own, and a full run reads everything.
+    assert ingest.run_source(store, "csv", put(folder(), "a.csv", "ticker,price\nbtc,1\n"), run_ts=T2).rows_read == 1
+    ingest.run_source(store, "coingecko", path, force_full=True, run_ts=T2, spec=spied)
+    assert read[-1] == path
 
 
 def state(store):
@@ -362,6 +430,41 @@ def test_stream_resumes_redelivers_and_handles_late_rows(store, folder):
     assert facts(store) == before
 
 
+def test_a_batch_that_is_delivered_again_opens_no_run(store, folder):
+    landing, ckpt = folder("landing"), folder("ckpt")
+    put(landing, "0.json", [market("btc", 1.0)])
+    stream_json(store, "coingecko", landing, ckpt, run_ts=T1).awaitTermination()
+    before = facts(store), rows(store.runs()), store.log.head()
+    assert before[2].streams and list(before[2].streams.values())[0].number == 0
+    os.rename(f"{ckpt}/commits", f"{ckpt}/lost")  # as if Spark had died before it noted the batch
+    stream_json(store, "coingecko", landing, ckpt, run_ts=T2).awaitTermination()
+    assert (facts(store), rows(store.runs()), store.log.head()) == before
+    put(landing, "1.json", [market("btc", 2.0)])
+    stream_json(store, "coingecko", landing, ckpt, run_ts=T2).awaitTermination()
+    assert [r["batch_id"] for r in store.runs().orderBy("id").collect()] == [0, 1]
+    # A new checkpoint is a new stream, whose batches count from 0 again.
+    stream_json(store, "coingecko", landing, folder("other"), run_ts=T2).awaitTermination()
+    assert [r["batch_id"] for r in store.runs().orderBy("id").collect()] == [0, 1, 0]
+    assert len(store.log.head().streams) == 2
+
+
+def test_rows_beyond_the_lateness_go_to_the_quarantine(store, folder):
+    landing, ckpt = folder("landing"), folder("ckpt")
+
+    def deliver(number, *items):
+        put(landing, f"{number}.json", list(items))
+        stream_json(store, "coingecko", landing, ckpt, late_after=timedelta(days=2), run_ts=T1).awaitTermination()
+
+    deliver(0, market("btc", 1.0, "2024-01-10T00:00:00Z"), market("eth", 1.0, "2024-01-01T00:00:00Z"))
+    deliver(1, market("sol", 2.0, "2024-01-08T00:00:00Z"), market("old", 2.0, "2024-01-07T23:59:59Z"), market("bad", "N/A"))
+    deliver(2, market("btc", 3.0, "2024-01-20T00:00:00Z"), market("xrp", 3.0, "2024-01-08T00:00:00Z"))
+    deliver(3, market("xrp", 4.0, "2024-01-09T00:00:00Z"), market("xrp", 4.0, None))
+    assert sorted((f[0], f[2].day) for f in facts(store)) == [
+        ("BTC", 10), ("BTC", 20), ("ETH", 1), ("SOL", 8), ("XRP", 1), ("XRP", 8),
+    ]
+    assert rows(store.quarantine().select("job_id", "reject_reason")) == [(2, "bad_number"), (2, "late"), (4, "late")]
+
+
 def test_csv_stream(store, folder):
     landing = put(folder("landing"), "a.csv", 'ticker,price,vol,date\nBTC,1,2,2024-01-15\nBTC,"3",2,2024-01-15\n')
     stream_csv(store, "csv", landing, folder("ckpt"), run_ts=T1).awaitTermination()
