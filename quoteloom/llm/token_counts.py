@@ -5,7 +5,7 @@ with the characters up to there. The vocabulary is checked once (``check_cuts``)
 behind another character, and none of several characters holds a line break. Byte-pair merges then never cross
 from one pre-token into the next, and the tokens of a text are the sum over its pre-tokens.
 
-1. The driver fits a compact hash table, pre-token to number of tokens, on a bounded sample: at most
+1. The driver fits a compact hash table, pre-token to number of tokens, on a bounded sample: about
    ``TableSpec.texts`` texts chosen by hash, ``TableSpec.characters`` of each. It is a cache: what it
    holds decides the speed, never a count.
 2. The table and the vocabulary are broadcast; both have a fixed largest size. Tasks look pre-tokens up
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What the tokenizer writes for a space; in a text the two are the same to it.
 SPACE = "▁"
@@ -70,7 +71,7 @@ def pre_tokens(text: str, block: int = BLOCK) -> Iterator[list[str]]:
     text = " " + text.replace(SPACE, " ")
     begin = 0
     while begin < len(text):
-        cut = _BOUNDARY.search(text, begin + block)
+        cut = _BOUNDARY.search(text, begin + max(1, block))
         end = cut.start() if cut else len(text)
         yield _PRE_TOKEN.findall(text, begin, end)
         begin = end
@@ -87,11 +88,16 @@ def encoded_lengths(processor, tokens: list[str]) -> list[int]:
 
 
 def fit_table(docs: DataFrame, processor, spec: TableSpec = TableSpec()) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of a sample of texts, chosen by their hash."""
+    """Lengths of the most frequent pre-tokens of a sample of texts, chosen by their hash.
+
+    The share of all rows that makes ``spec.texts`` of them is chosen, each text once however often it
+    stands in the table: about as many rows reach the driver at any size, never more than twice as many.
+    """
+    share = min(1.0, spec.texts / max(1, docs.count()))
+    chosen = F.shiftrightunsigned(F.xxhash64("text"), 11) < int(share * (1 << 53))
     part = F.substring("text", 1, spec.characters).alias("part")
-    sample = docs.select(F.xxhash64("text").alias("place"), part).where("part <> ''").orderBy("place", "part").limit(spec.texts)
     counts: Counter[str] = Counter()
-    for row in sample.collect():  # at most spec.texts short rows
+    for row in docs.where(chosen).select(part).where("part <> ''").distinct().limit(2 * spec.texts).collect():
         for block in pre_tokens(row["part"]):
             counts.update(t for t in block if len(t) <= CACHED_LENGTH)
     common = sorted(counts, key=lambda t: (-counts[t], t))[: spec.entries]
@@ -162,7 +168,7 @@ def with_token_counts(
     given = docs.select(F.col("text").alias("_counted"), *carry)
     kept = given.drop("_counted")
     names = [*kept.columns, out]
-    return given.mapInArrow(run, kept.schema.add(out, "long"))
+    return given.mapInArrow(run, T.StructType([*kept.schema, T.StructField(out, T.LongType())]))
 
 
 def count_tokens(docs: DataFrame, model: bytes, limit: int = LIMIT, id_column: str = "doc_id", spec: TableSpec = TableSpec()) -> DataFrame:

@@ -132,7 +132,7 @@ def _sums(kept: DataFrame, books: Codebooks) -> list:
                 counts += np.bincount(slot, minlength=parts * count)
                 order = np.argsort(slot, kind="stable")
                 held, first = np.unique(slot[order], return_index=True)
-                sums[held] += np.add.reduceat(block.reshape(-1, width)[order], first, axis=0)
+                sums[held] += np.add.reduceat(block.reshape(len(slot), width)[order], first, axis=0)
         slots = np.flatnonzero(counts)
         if len(slots):
             yield pa.RecordBatch.from_arrays(
