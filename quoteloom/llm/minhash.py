@@ -2,26 +2,28 @@
 
 A document's set holds its distinct shingles of five words; a shorter text is one shingle, a text
 without words has an empty set and is linked with nothing. Two sets are linked when 100 times their
-intersection is at least 75 times their union.
+intersection is at least 75 times their union. Shingles are compared by 64-bit hashes.
 
-1. One pass over the texts (Arrow, numpy) gives each document its set's size, a fingerprint of the
+1. One pass over the texts (Arrow, numpy) gives each document its set's size, two fingerprints of the
    set and its sketch. The sketch is Fast Similarity Sketching: round after round each element is
    hashed into one of ``t`` bins, a bin keeps the smallest (round, hash) it has met, and rounds end
    when every bin is filled; from round ``t`` on, round ``t + i`` puts every element into bin ``i``,
    so ``2 t`` rounds always fill all. Coordinates agree with the sets' similarity as probability.
-2. Documents with equal sets are one class; a class costs as much as a single document from here on.
-3. Bands of coordinates are bucket keys. A bucket of up to ``bucket`` classes is joined with itself.
-   In a larger one each class meets only the bucket's leader, so its pairs grow with its size.
-4. Candidate pairs pass a size bound and a bit sketch (seven standard deviations below the limit),
-   then their full sets are intersected. Only such links count.
-5. Connected components by alternating star contractions. A larger bucket whose classes are all in
-   one component is settled. One with up to ``odd`` classes outside its main component is settled by
-   comparing these with all others: every link that could still join components has an odd end. The
-   classes of other buckets go to the next tier, with longer bands and more of them, which separate
-   what merely shares a passage. After the last tier odd classes are taken ``odd`` at a time until
-   every bucket is settled, so no link between components is lost.
-
-At a similarity of 0.75 a pair shares no band of the first tier with a probability of 0.000005.
+2. Documents whose sets agree in both fingerprints are one class; a class costs as much as a single
+   document from here on. Bands of coordinates are bucket keys.
+3. Each class meets the leader of its buckets only: the class that shares most buckets, which is the text
+   that the others were made from if there is one. Pairs pass a size bound and a bit sketch (seven
+   standard deviations below the limit), then their full sets are intersected. Only such links count.
+4. Components of the links by alternating star contractions. A bucket whose classes are all in one
+   component is settled. In the others only pairs across components are left, as no other link matters.
+5. In buckets of up to ``bucket`` classes these pairs are taken directly. In larger ones an exact prefix
+   filter finds them (``_prefix_pairs``): it goes through the shingles in one order for all sets, those that
+   are rare outside the main components first, and two sets whose link is possible must share one of the first few. Copies
+   with more private shingles than a link allows meet nobody, however large their group is.
+6. These pairs are verified like the first, and the components of all links are the groups.
+
+At a similarity of 0.75 a pair shares no band with a probability of 0.000005; all that share one are
+decided exactly.
 """
 
 from __future__ import annotations
@@ -40,11 +42,9 @@ from .words import SPACED, Chunk, chunks, gram_starts, grams, mix, signed
 
 SHINGLE = 5
 PERCENT = 75
-#: (bands, coordinates in a band) of each tier.
-TIERS = ((32, 4), (128, 8))
+#: (bands, coordinates in a band).
+SHAPE = (32, 4)
 BUCKET = 32
-ODD = 1024
-SMALL_GRAPH = 1_000_000
 _BIT_WORDS = 2
 _ROUND_SHIFT = np.uint64(53)
 
@@ -110,10 +110,11 @@ def shingle_sets(chunk: Chunk) -> list[np.ndarray]:
     return sets
 
 
-def fingerprint(elements: np.ndarray) -> int:
-    """A 64-bit fingerprint of a set; its size is part of it."""
-    total = mix(elements).sum(dtype=np.uint64)
-    return int(signed(mix(np.array([total ^ np.uint64(len(elements))], np.uint64)))[0])
+def fingerprints(elements: np.ndarray) -> np.ndarray:
+    """Two 64-bit fingerprints of a set; its size is part of them."""
+    size = np.uint64(len(elements))
+    totals = [mix(elements).sum(dtype=np.uint64), mix(elements ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)]
+    return signed(mix(np.array(totals, np.uint64) ^ size))
 
 
 def _longs(rows: list[np.ndarray]) -> pa.Array:
@@ -129,29 +130,34 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[Chunk, pa.RecordBatch]]:
 
 
 def with_sketches(docs: DataFrame, id_column: str, sketcher: Sketcher) -> DataFrame:
-    """id, text_key, class_id, n_shingles, bits_0, bits_1, keys of each row; null class_id: no words."""
+    """id, text_key, class_id, check, n_shingles, bits_0, bits_1, keys of each row; null class_id: no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, rows in _slices(batch):
                 sets = shingle_sets(chunk)
                 sketches = [sketcher.coordinates(s) if len(s) else None for s in sets]
+                names = [fingerprints(s).tolist() if len(s) else (None, None) for s in sets]
                 bits = [bit_sketch(c) if c is not None else np.zeros(_BIT_WORDS, np.uint64) for c in sketches]
                 low, high = (pa.array(signed(np.array([b[k] for b in bits]))) for k in range(_BIT_WORDS))
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(1),
                         rows.column(2),
-                        pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
+                        pa.array([name[0] for name in names], pa.int64()),
+                        pa.array([name[1] for name in names], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         low,
                         high,
                         _longs([sketcher.keys(c) if c is not None else np.zeros(0, np.uint64) for c in sketches]),
                     ],
-                    ["id", "text_key", "class_id", "n_shingles", "bits_0", "bits_1", "keys"],
+                    ["id", "text_key", "class_id", "check", "n_shingles", "bits_0", "bits_1", "keys"],
                 )
 
-    schema = "id bigint, text_key bigint, class_id bigint, n_shingles bigint, bits_0 bigint, bits_1 bigint, keys array<bigint>"
+    schema = (
+        "id bigint, text_key bigint, class_id bigint, check bigint, n_shingles bigint, "
+        "bits_0 bigint, bits_1 bigint, keys array<bigint>"
+    )
     return _texts(docs, id_column).mapInArrow(run, schema)
 
 
@@ -159,20 +165,27 @@ def _texts(docs: DataFrame, id_column: str) -> DataFrame:
     return docs.select(F.col("text"), F.col(id_column).cast("long").alias("id"), F.xxhash64("text").alias("text_key"))
 
 
-def _sets(docs: DataFrame, id_column: str, classes: DataFrame) -> DataFrame:
-    """class_id, shingles: the full set of each of ``classes`` (class_id, member), read from one of its texts."""
+def _named_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with another class_id where different sets have the same first fingerprint."""
+    found = rows.groupBy("class_id").agg(F.min("check").alias("low"), F.max("check").alias("high"))
+    shared = materialize(found.where("low <> high").select("class_id", "low"), "shared_names")
+    other = F.xxhash64("class_id", "check")
+    joined = rows.join(shared, "class_id", "left")
+    return joined.withColumn("class_id", F.when(F.col("check") > F.col("low"), other).otherwise(F.col("class_id"))).drop("low")
+
+
+def _sets(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
+    """class_id, shingles: the full set of each class of ``wanted`` (class_id, member), read from one of its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, _ in _slices(batch):
-                sets = [s for s in shingle_sets(chunk) if len(s)]
-                ids = pa.array([fingerprint(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, _longs(sets)], ["class_id", "shingles"])
+            for chunk, rows in _slices(batch):
+                yield pa.RecordBatch.from_arrays([rows.column(1), _longs(shingle_sets(chunk))], ["class_id", "shingles"])
 
-    wanted = classes.select(F.col("member.id").alias("w_id"), F.col("member.text_key").alias("w_key"))
+    wanted = wanted.select("class_id", F.col("member.id").alias("w_id"), F.col("member.text_key").alias("w_key"))
     texts = _texts(docs, id_column)
-    chosen = texts.join(wanted, texts.id.eqNullSafe(F.col("w_id")) & (texts.text_key == F.col("w_key")), "left_semi")
-    return chosen.mapInArrow(run, "class_id bigint, shingles array<bigint>").dropDuplicates(["class_id"])
+    chosen = texts.join(wanted, texts.id.eqNullSafe(F.col("w_id")) & (texts.text_key == F.col("w_key")))
+    return chosen.select("text", "class_id").mapInArrow(run, "class_id bigint, shingles array<bigint>").dropDuplicates(["class_id"])
 
 
 def _linked(small: Column, large: Column) -> Column:
@@ -195,146 +208,143 @@ def _possible() -> Column:
     return _linked(small, F.greatest("a.n_shingles", "b.n_shingles")) & _similar_bits()
 
 
-def _members(sketches: DataFrame, label: str) -> DataFrame:
-    """Rows (bucket, size, leader, class columns) of buckets that hold more than one class."""
-    narrow = ["class_id", "n_shingles", "bits_0", "bits_1"]
-    banded = sketches.select(*narrow, F.posexplode("keys").alias("band", "key")).select(
-        *narrow, "band", F.xxhash64("band", "key").alias("bucket")
-    )
-    buckets = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class_id").alias("leader"))
+def _shared_buckets(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(class_id, bucket, size) of each class in buckets that hold more than one, and (bucket, leader).
+
+    A bucket's leader is the class whose own buckets hold most classes in total.
+    """
+    banded = classes.select("class_id", F.explode("keys").alias("bucket"))  # a key is a hash of band and values
     # Written first: its join with the rows can then be broadcast or split by AQE.
-    buckets = materialize(buckets.filter("size > 1"), f"{label}_buckets")
-    return materialize(banded.join(buckets, "bucket"), f"{label}_members")
+    sizes = materialize(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket_sizes")
+    shared = materialize(banded.join(sizes, "bucket"), "shared")
+    centres = materialize(shared.groupBy("class_id").agg(F.sum("size").alias("centre")), "centres")
+    # Of equals, the class with the smallest id.
+    place = F.struct("centre", F.bitwise_not("class_id").alias("other"))
+    leaders = shared.join(centres, "class_id").groupBy("bucket").agg(F.max(place)["other"].alias("other"))
+    return shared, materialize(leaders.select("bucket", F.bitwise_not("other").alias("leader")), "leaders")
 
 
-def _pairs(members: DataFrame, sketches: DataFrame, bucket: int, label: str) -> DataFrame:
-    """Distinct candidate pairs: all of small buckets, those with the leader of large ones."""
-    small = members.filter(F.col("size") <= bucket)
-    own = (
-        small.alias("a")
-        .join(small.alias("b"), (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.class_id") < F.col("b.class_id")) & _possible())
-        .select(F.col("a.class_id").alias("a"), F.col("b.class_id").alias("b"))
-    )
-    large = members.filter((F.col("size") > bucket) & (F.col("class_id") != F.col("leader")))
-    return materialize(own.union(_with_leader(large, sketches)).distinct(), f"{label}_pairs")
-
-
-def _with_leader(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(a, b) of rows and their ``leader`` that the bounds leave, the smaller id first."""
-    rows = rows.select("class_id", "n_shingles", "bits_0", "bits_1", "leader").distinct()
-    leaders = sketches.select("class_id", "n_shingles", "bits_0", "bits_1")
-    return (
-        rows.alias("a")
-        .join(leaders.alias("b"), (F.col("a.leader") == F.col("b.class_id")) & _possible())
-        .select(F.least("a.class_id", "b.class_id").alias("a"), F.greatest("a.class_id", "b.class_id").alias("b"))
-    )
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _verified(docs: DataFrame, id_column: str, pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    if pairs.isEmpty():
-        return pairs
-    needed = pairs.select(F.col("a").alias("class_id")).union(pairs.select(F.col("b").alias("class_id"))).distinct()
-    needed = materialize(classes.select("class_id", "member").join(needed, "class_id", "left_semi"), f"{label}_needed")
-    sets = materialize(_sets(docs, id_column, needed), f"{label}_sets")
-    left = sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("set_b"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return materialize(
-        pairs.join(left, "a")
-        .join(right, "b")
-        .withColumn("common", common)
-        .filter(_linked(F.col("common"), F.size("set_a") + F.size("set_b") - F.col("common")))
-        .select("a", "b"),
-        f"{label}_links",
+def _possible_pairs(pairs: DataFrame, traits: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) that the size bound and the bit sketches leave; ``traits``: class_id, n_shingles, bits."""
+    found = pairs.join(traits.alias("a"), F.col("a") == F.col("a.class_id")).join(
+        traits.alias("b"), F.col("b") == F.col("b.class_id")
     )
+    return found.where(_possible()).select("a", "b")
+
+
+def _verified(docs: DataFrame, id_column: str, classes: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    target = scratch_path(docs.sparkSession, label)
+    with scratch_scope(docs.sparkSession, f"{label}_work"):
+        sets = _written_sets(docs, id_column, classes, pairs.select("a").union(pairs.select("b")))
+        left = sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("set_a"))
+        right = sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("set_b"))
+        common = F.size(F.array_intersect("set_a", "set_b"))
+        compared = pairs.join(left, "a").join(right, "b").withColumn("common", common)
+        linked = _linked(F.col("common"), F.size("set_a") + F.size("set_b") - F.col("common"))
+        return materialize(compared.filter(linked).select("a", "b"), label, target)
 
 
-def components(links: DataFrame, label: str = "components", small: int = SMALL_GRAPH) -> DataFrame:
+def components(links: DataFrame, label: str = "components") -> DataFrame:
     """(node, root) for each node of ``links`` (a, b); the root is its component's smallest node.
 
     Alternating star contractions: every node hands its larger neighbours, then its smaller ones, to
-    the smallest node it knows, until all edges point at a root. A graph of up to ``small`` edges, two
-    longs each, is joined up by one task instead; counting them comes first.
+    the smallest node it knows, until all edges point at a root.
     """
-    edges = materialize(links.select("a", "b").filter("a <> b").distinct(), f"{label}_0")
-    step, count = 0, edges.count()
-    while count > small:
-        both = edges.union(edges.select(F.col("b"), F.col("a")))
-        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{label}_large")
-        large = both.join(least, "a").filter("b > a and b <> m").select(F.col("m").alias("a"), "b").distinct()
-        large = materialize(large, f"{label}_larged")
-        least = materialize(large.groupBy("b").agg(F.min("a").alias("m")), f"{label}_small")
-        tied = large.join(least, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-        step += 1
-        edges = materialize(tied.union(least.select(F.col("m").alias("a"), "b")).distinct(), f"{label}_{step}")
-        # Done when the edges are stars: each node below one other, which is below none.
-        uppers, lowers = edges.select("a"), edges.groupBy(F.col("b").alias("a")).count()
-        if lowers.filter("count > 1").isEmpty() and uppers.join(lowers, "a", "left_semi").isEmpty():
-            break
-    else:
-        return materialize(edges.coalesce(1).mapInArrow(_joined_up, "node bigint, root bigint"), f"{label}_roots")
-    roots = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
-    return materialize(
-        roots.union(edges.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct(), f"{label}_roots"
-    )
+    spark = links.sparkSession
+    target = scratch_path(spark, f"{label}_roots")
+    with scratch_scope(spark, label):
+        edges, step = materialize(links.select("a", "b").filter("a <> b").distinct(), f"{label}_0"), 0
+        while not edges.isEmpty():
+            both = edges.union(edges.select(F.col("b"), F.col("a")))
+            least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{label}_large")
+            large = both.join(least, "a").filter("b > a and b <> m").select(F.col("m").alias("a"), "b").distinct()
+            large = materialize(large, f"{label}_larged")
+            least = materialize(large.groupBy("b").agg(F.min("a").alias("m")), f"{label}_small")
+            tied = large.join(least, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
+            step += 1
+            edges = materialize(tied.union(least.select(F.col("m").alias("a"), "b")).distinct(), f"{label}_{step}")
+            # Done when the edges are stars: each node below one other, which is below none.
+            uppers, lowers = edges.select("a"), edges.groupBy(F.col("b").alias("a")).count()
+            if lowers.filter("count > 1").isEmpty() and uppers.join(lowers, "a", "left_semi").isEmpty():
+                break
+        roots = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
+        tops = edges.select(F.col("a").alias("node"), F.col("a").alias("root"))
+        return materialize(roots.union(tops).distinct(), f"{label}_roots", target)
+
 
+def _open_buckets(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """class_id, bucket, size, root, main of buckets whose classes lie in several components.
 
-def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, root) of all edges of one task: each node takes its neighbours' smallest root until none is smaller."""
-    read = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
-    if not read:
-        return
-    ends = [np.concatenate(c) for c in zip(*read)]
-    nodes, number = np.unique(np.concatenate(ends), return_inverse=True)
-    a, b = np.split(number, 2)
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[a], root[b])
-        before = root.copy()
-        for side in (root[a], root[b], a, b):
-            np.minimum.at(root, side, low)
-        root = root[root]
-        if (root == before).all():
-            break
-    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["node", "root"])
-
-
-def _open_buckets(members: DataFrame, sketches: DataFrame, roots: DataFrame, bucket: int, label: str) -> DataFrame:
-    """Members of large buckets that lie in several components, with ``root``, ``keys`` and ``main``.
-
-    ``main`` is the component with most members in the bucket, ``n_odd`` counts the members outside it.
+    ``main`` is the component with most classes in the bucket.
     """
-    large = members.filter(F.col("size") > bucket).drop("leader")
-    placed = large.join(roots, large.class_id == roots.node, "left").withColumn("root", F.coalesce("root", "class_id"))
-    placed = placed.drop("node")
+    placed = shared.join(roots, shared.class_id == roots.node, "left").withColumn("root", F.coalesce("root", "class_id"))
+    placed = placed.select("class_id", "bucket", "size", "root")
     shares = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    mains = shares.groupBy("bucket").agg(
-        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("parts")
-    )
-    mains = mains.filter("parts > 1").select("bucket", F.col("top.root").alias("main"), (F.col("all") - F.col("top.n")).alias("n_odd"))
-    opened = placed.join(materialize(mains, f"{label}_mains"), "bucket")
-    return materialize(opened.join(sketches.select("class_id", "keys"), "class_id"), f"{label}_open")
+    mains = shares.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts"))
+    mains = materialize(mains.filter("parts > 1").select("bucket", F.col("top.root").alias("main")), "mains")
+    return placed.join(mains, "bucket")
+
 
+def _bucket_pairs(rows: DataFrame, traits: DataFrame) -> DataFrame:
+    """Pairs across components within small buckets that the bounds leave."""
+    rows = rows.join(traits, "class_id")
+    across = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.root") < F.col("b.root")) & _possible()
+    return rows.alias("a").join(rows.alias("b"), across).select(*_ordered("a.class_id", "b.class_id"))
 
-def _odd_pairs(rows: DataFrame, odd: DataFrame, seen: DataFrame, label: str) -> DataFrame:
-    """Candidate pairs of odd classes with the classes of other components in their buckets, but ``seen``.
 
-    A pair that shares several buckets comes from the first of them alone.
+def _prefix_pairs(
+    docs: DataFrame, id_column: str, classes: DataFrame, opened: DataFrame, traits: DataFrame
+) -> DataFrame:
+    """Pairs across components of classes in large open buckets that an exact prefix filter leaves.
+
+    ``opened``: class_id, root, odd; a class is odd if it is outside the main component of one of its open
+    buckets. Any other pair lies within a main component, so one end is odd. All shingles are put in one
+    order: those of no odd class first, then by the number of odd classes that have them. For sets of
+    m and n shingles a link needs o = ceil(75 (m + n) / 175) common ones; the first of them in this order is at a
+    place up to m - o in the one and n - o in the other, counted from 0. So only places up to n - ceil(0.75 n) count,
+    and where private shingles fill them, a class meets nobody.
     """
-    shared = F.zip_with(F.col("a.keys"), F.col("b.keys"), lambda x, y: x == y)
-    first = F.array_position(shared, F.lit(True)) == F.col("a.band") + 1
-    apart = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.root") != F.col("b.root"))
-    found = (
-        rows.alias("a")
-        .join(odd.alias("b"), apart & _possible() & first)
-        .select(F.least("a.class_id", "b.class_id").alias("a"), F.greatest("a.class_id", "b.class_id").alias("b"))
+    target = scratch_path(docs.sparkSession, "prefixes")
+    with scratch_scope(docs.sparkSession, "prefixes_work"):
+        sets = _written_sets(docs, id_column, classes, opened.select("class_id"))
+        first = materialize(_prefixes(sets, opened, traits), "prefixes", target)
+    placed = first.select(
+        *traits.columns, "root", "odd", (F.col("before") + F.col("place")).alias("place"), "shingle"
+    )
+    both = F.col("a.n_shingles") + F.col("b.n_shingles")
+    least = F.ceil(both * PERCENT / (100 + PERCENT))
+    near = (F.col("a.place") <= F.col("a.n_shingles") - least) & (F.col("b.place") <= F.col("b.n_shingles") - least)
+    across = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") != F.col("b.root")) & near & _possible()
+    return placed.where("odd").alias("a").join(placed.alias("b"), across).select(*_ordered("a.class_id", "b.class_id"))
+
+
+def _prefixes(sets: DataFrame, opened: DataFrame, traits: DataFrame) -> DataFrame:
+    """Traits, root, odd, before, place and shingle of the first shingles of each set, in the order of all."""
+    odd = opened.where("odd").select("class_id")
+    words = sets.join(odd, "class_id", "left_semi").select(F.explode("shingles").alias("shingle"))
+    vocabulary = materialize(words.groupBy("shingle").agg(F.count("*").alias("f")), "odd_shingles")
+    held = sets.join(opened, "class_id").select("class_id", F.explode("shingles").alias("shingle")).join(vocabulary, "shingle")
+    ranked = held.groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("f", "shingle"))).alias("hits"))
+    size = F.col("n_shingles")
+    needed = F.ceil(size * PERCENT / 100)
+    before = (size - F.size("hits")).cast("long")  # shingles of no odd class
+    number = F.greatest(size - needed + 1 - before, F.lit(0)).cast("int")
+    first = (
+        ranked.join(traits, "class_id")
+        .join(opened, "class_id")
+        .select(*traits.columns, "root", "odd", before.alias("before"), F.slice("hits", F.lit(1), number).alias("hits"))
     )
-    return materialize(found.distinct().join(seen, ["a", "b"], "left_anti"), f"{label}_odd_pairs")
+    hits = F.posexplode("hits").alias("place", "hit")
+    return first.select(*traits.columns, "root", "odd", "before", hits).withColumn("shingle", F.col("hit.shingle")).drop("hit")
 
 
 def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", tiers=TIERS, bucket: int = BUCKET, odd: int = ODD
+    docs: DataFrame, id_column: str = "doc_id", shape: tuple[int, int] = SHAPE, bucket: int = BUCKET
 ) -> DataFrame:
     """id, text_key, n_shingles, component_id and root of each row of ``docs`` (id, text).
 
@@ -346,55 +356,53 @@ def near_duplicates(
     spark = docs.sparkSession
     target = scratch_path(spark, "near_duplicates")
     with scratch_scope(spark, "near_duplicates_work"):
-        return materialize(_decide(docs, id_column, tiers, bucket, odd), "near_duplicates", target)
-
-
-def _decide(docs: DataFrame, id_column: str, tiers, bucket: int, odd: int) -> DataFrame:
-    first = Sketcher(*tiers[0])
-    rows = materialize(with_sketches(docs, id_column, first), "sketches")
-    named = rows.filter("class_id is not null")
-    classes = materialize(
-        named.groupBy("class_id").agg(
+        rows = materialize(with_sketches(docs, id_column, Sketcher(*shape)), "sketches")
+        named = _named_apart(rows.filter("class_id is not null"))
+        classes = named.groupBy("class_id").agg(
             F.min("id").alias("low_id"),
             F.min(F.struct("id", "text_key")).alias("member"),
             F.max("n_shingles").alias("n_shingles"),
             F.first("bits_0").alias("bits_0"),
             F.first("bits_1").alias("bits_1"),
             F.first("keys").alias("keys"),
-        ),
-        "classes",
-    )
-    links = roots = seen = None
-    sketches = classes
-    for number, shape in enumerate(tiers):
-        label = f"tier_{number}"
-        if number:
-            again = classes.select("class_id", "member").join(waiting, "class_id", "left_semi")
-            again = with_sketches(_chosen_texts(docs, id_column, again), "id", Sketcher(*shape))
-            sketches = materialize(again.dropDuplicates(["class_id"]), f"{label}_sketches")
-        members = _members(sketches, label)
-        pairs = _pairs(members, sketches, bucket, label)
-        pairs = pairs if seen is None else materialize(pairs.join(seen, ["a", "b"], "left_anti"), f"{label}_new_pairs")
-        seen = pairs if seen is None else seen.union(pairs)
-        found = _verified(docs, id_column, pairs, classes, label)
-        links = found if links is None else links.union(found)
-        roots = components(links)
-        if members.filter(F.col("size") > bucket).isEmpty():
-            break
-        opened = _open_buckets(members, sketches, roots, bucket, label)
-        few = opened.filter(F.col("n_odd") <= odd)
-        pairs = _odd_pairs(few, few.filter("root <> main"), seen, label)
-        seen = seen.union(pairs)
-        found = _verified(docs, id_column, pairs, classes, f"{label}_odd")
-        if not found.isEmpty():
-            links = links.union(found)
-            roots = components(links)
-        many = opened.filter(F.col("n_odd") > odd)
-        waiting = materialize(many.select("class_id").distinct(), f"{label}_waiting")
-        if waiting.isEmpty():
-            break
-    else:
-        links, roots = _settle(docs, id_column, members, sketches, classes, links, roots, seen, bucket, odd)
+        )
+        classes = materialize(classes, "classes")
+        links = _links(docs, id_column, classes, bucket)
+        return materialize(_placed(rows, named, classes, components(links)), "near_duplicates", target)
+
+
+def _links(docs: DataFrame, id_column: str, classes: DataFrame, bucket: int) -> DataFrame:
+    """Links (a, b) that join all classes which belong together."""
+    spark = docs.sparkSession
+    target = scratch_path(spark, "links")
+    with scratch_scope(spark, "links_work"):
+        traits = classes.select("class_id", "n_shingles", "bits_0", "bits_1")
+        shared, leaders = _shared_buckets(classes)
+        met = shared.join(leaders, "bucket").where("class_id <> leader")
+        met = met.select(F.col("class_id").alias("a"), F.col("leader").alias("b")).distinct()
+        met = materialize(_possible_pairs(met, traits), "leader_pairs")
+        found = _verified(docs, id_column, classes, met, "leader_links")
+        opened = materialize(_open_buckets(shared, components(found)), "open")
+        small = materialize(_bucket_pairs(opened.where(F.col("size") <= bucket), traits).distinct(), "bucket_pairs")
+        large = opened.where(F.col("size") > bucket).groupBy("class_id", "root").agg(
+            F.max(F.col("root") != F.col("main")).alias("odd")
+        )
+        pairs = small.union(_prefix_pairs(docs, id_column, classes, materialize(large, "large"), traits)).distinct()
+        # Pairs of a class with its leader are decided.
+        pairs = pairs.join(met.select(*_ordered("a", "b")), ["a", "b"], "left_anti")
+        more = _verified(docs, id_column, classes, materialize(pairs, "open_pairs"), "open_links")
+        return materialize(found.union(more), "links", target)
+
+
+def _written_sets(docs: DataFrame, id_column: str, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """class_id, shingles of the classes ``ids`` (one column)."""
+    ids = ids.toDF("class_id").distinct()
+    wanted = materialize(classes.select("class_id", "member").join(ids, "class_id", "left_semi"), "wanted")
+    return materialize(_sets(docs, id_column, wanted), "sets")
+
+
+def _placed(rows: DataFrame, named: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The columns of ``near_duplicates`` for every row."""
     low = roots.join(classes, roots.node == classes.class_id).groupBy("root").agg(F.min("low_id").alias("component_id"))
     placed = materialize(
         roots.join(materialize(low, "component_ids"), "root").select(F.col("node").alias("class_id"), "root", "component_id"),
@@ -435,32 +443,3 @@ def _same_row(docs: DataFrame, id_column: str, rows: DataFrame) -> Column:
 def _without(docs: DataFrame, id_column: str, rows: DataFrame) -> DataFrame:
     """``docs`` but for the rows (id, text_key)."""
     return docs.join(rows, _same_row(docs, id_column, rows), "left_anti")
-
-
-def _chosen_texts(docs: DataFrame, id_column: str, classes: DataFrame) -> DataFrame:
-    wanted = classes.select(F.col("member.id").alias("w_id"), F.col("member.text_key").alias("w_key"))
-    texts = _texts(docs, id_column)
-    return texts.join(wanted, texts.id.eqNullSafe(F.col("w_id")) & (texts.text_key == F.col("w_key")), "left_semi")
-
-
-def _settle(docs, id_column, members, sketches, classes, links, roots, seen, bucket, odd):
-    """The exact way for buckets that stay open: odd classes in blocks, until none is left."""
-    done, number = None, 0
-    while True:
-        label = f"settle_{number}"
-        opened = _open_buckets(members, sketches, roots, bucket, label)
-        waiting = opened.filter("root <> main")
-        if done is not None:
-            waiting = waiting.join(done, ["bucket", "class_id"], "left_anti")
-        # Up to ``odd`` of each bucket: the smallest class of each residue.
-        block = waiting.groupBy("bucket", F.pmod("class_id", F.lit(odd))).agg(F.min("class_id").alias("class_id"))
-        block = materialize(block.select("bucket", "class_id"), f"{label}_block")
-        if block.isEmpty():
-            return links, roots
-        # A block's classes meet a bucket mate in every bucket they share, so none may be left out here.
-        pairs = _odd_pairs(opened, opened.join(block.select("class_id").distinct(), "class_id", "left_semi"), seen, label)
-        seen = seen.union(pairs)
-        links = links.union(_verified(docs, id_column, pairs, classes, label))
-        roots = components(links)
-        done = block if done is None else materialize(done.union(block), f"{label}_done")
-        number += 1

@@ -58,19 +58,77 @@ def test_near_duplicates_equal_all_pairs(spark):
     check_groups(minhash.near_duplicates(frame(spark, texts)).collect(), texts)
 
 
-@pytest.mark.parametrize("tiers,odd", [(minhash.TIERS, 2), (((32, 4),), 6)])
-def test_large_buckets_go_through_every_tier(spark, tiers, odd):
-    """Copies of one text around the limit: buckets stay open, deeper tiers and blocks settle them."""
-    rng = random.Random(5)
-    base = prose(rng, 60, 10**9)
+def copies(rng, base, number, changes):
+    """Texts with some words of ``base`` replaced by words that no other text has."""
     texts = []
-    for k in range(24):
+    for k in range(number):
         copy = list(base)
-        for at in rng.sample(range(len(base)), rng.choice([1, 2])):
-            copy[at] = f"x{k}-{at}"
-        texts.append((k, " ".join(copy)))
-    found = minhash.near_duplicates(frame(spark, texts), tiers=tiers, bucket=3, odd=odd).collect()
-    check_groups(found, texts)
+        for at in rng.sample(range(len(base)), rng.choice(changes)):
+            copy[at] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(copy[: rng.choice([len(copy), len(copy), len(copy) - 3])]))
+    return texts
+
+
+@pytest.mark.parametrize("seed,changes,hub", [(5, [1, 2], False), (6, [1, 2, 3], True), (7, [2, 3], True), (8, [3, 4], False), (9, [0, 1, 5], False)])
+def test_large_buckets_are_decided_exactly(spark, seed, changes, hub):
+    """Groups of copies around the limit, with the text they come from or without it."""
+    rng = random.Random(seed)
+    texts = []
+    for length in (60, 90):
+        base = prose(rng, length, 10**9)
+        texts += copies(rng, base, 25, changes) + [" ".join(base)] * hub
+        half = [*base[: length // 2], *prose(rng, length // 2, 10**9)]  # a second group that shares a passage
+        texts += copies(rng, half, 10, [0, 1, 2])
+    texts = list(enumerate(texts))
+    rng.shuffle(texts)
+    check_groups(minhash.near_duplicates(frame(spark, texts), bucket=3).collect(), texts)
+
+
+def test_the_prefix_filter_finds_every_link_across_components(spark):
+    rng = random.Random(11)
+    base = prose(rng, 70, 10**9)
+    texts = [t for t in copies(rng, base, 60, [0, 1, 2, 3, 4])]
+    rows = minhash.with_sketches(frame(spark, list(enumerate(texts))), "doc_id", minhash.Sketcher(*minhash.SHAPE)).collect()
+    classes = {r.class_id: (r, shingles(texts[r.id])) for r in rows}
+    member = "class_id long, member struct<id: long, text_key: long>, n_shingles long, bits_0 long, bits_1 long"
+    table = spark.createDataFrame([(c, (r.id, r.text_key), r.n_shingles, r.bits_0, r.bits_1) for c, (r, _) in classes.items()], member)
+    # Three components; the classes of the two smaller ones are odd.
+    roots = {c: k % 3 if k < 20 else 0 for k, c in enumerate(sorted(classes))}
+    opened = spark.createDataFrame([(c, r, r != 0) for c, r in roots.items()], "class_id long, root long, odd boolean")
+    traits = table.select("class_id", "n_shingles", "bits_0", "bits_1")
+    docs = frame(spark, list(enumerate(texts)))
+    found = {(r.a, r.b) for r in minhash._prefix_pairs(docs, "doc_id", table, opened, traits).distinct().collect()}
+    across = {(a, b) for a in classes for b in classes if a < b and roots[a] != roots[b]}
+    links = {(a, b) for a, b in across if linked(classes[a][1], classes[b][1])}
+    assert links and links <= found <= across and len(found) < len(across)
+
+
+def test_private_shingles_keep_pairs_away(spark):
+    """Copies too far from each other for any link meet nobody, however many there are."""
+    rng = random.Random(12)
+    base = prose(rng, 100, 10**9)
+    texts = list(enumerate(copies(rng, base, 80, [6])))
+    docs = frame(spark, texts)
+    rows = minhash.with_sketches(docs, "doc_id", minhash.Sketcher(*minhash.SHAPE))
+    table = rows.selectExpr("class_id", "struct(id, text_key) as member", "n_shingles", "bits_0", "bits_1")
+    opened = table.selectExpr("class_id", "class_id as root", "true as odd")
+    traits = table.select("class_id", "n_shingles", "bits_0", "bits_1")
+    assert minhash._prefix_pairs(docs, "doc_id", table, opened, traits).count() == 0
+    check_groups(minhash.near_duplicates(docs, bucket=3).collect(), texts)
+
+
+def test_sets_with_one_fingerprint_are_told_apart(spark, monkeypatch):
+    texts = [(1, "a b c d e f"), (2, "p q r s t u"), (3, "a b c d e f"), (4, "k l m n o"), (5, "p q r s t u v")]
+    real = minhash.fingerprints
+
+    def clash(elements):
+        found = real(elements)
+        found[0] = 7
+        return found
+
+    monkeypatch.setattr(minhash, "fingerprints", clash)
+    found = {r.id: r.component_id for r in minhash.near_duplicates(frame(spark, texts)).collect()}
+    assert (found[1], found[3]) == (1, 1) and len({found[1], found[2], found[4]}) == 3
 
 
 def test_near_duplicates_of_repeated_rows_and_null_ids(spark):
@@ -104,13 +162,12 @@ def test_one_row_of_each_group_stays(spark):
     assert len([1 for _, t in kept if not shingles(t)]) == len(sets) - len(full)
 
 
-@pytest.mark.parametrize("small", [0, 1000])
-def test_components_of_long_chains(spark, small):
+def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 102), (102, 101), (7, 7), (100, 102)]
     table = spark.createDataFrame(links, "a long, b long")
-    found = dict(minhash.components(table, small=small).select("node", "root").collect())
+    found = dict(minhash.components(table).select("node", "root").collect())
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
-    assert minhash.components(table.limit(0), small=small).collect() == []
+    assert minhash.components(table.limit(0)).collect() == []
 
 
 def test_sketch_agreement_estimates_similarity():
