@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .ids import with_dense_ids
@@ -63,6 +64,31 @@ def page(quotes: DataFrame, tie_break: list[str], limit: int = DEFAULT_PAGE, off
     return ordered.offset(offset).limit(limit) if offset else ordered.limit(limit)
 
 
+def page_after(
+    quotes: DataFrame, tie_break: list[str], after: Mapping[str, object] | Row, limit: int = DEFAULT_PAGE
+) -> DataFrame:
+    """The page behind the row ``after`` of the same order: the last one of the page before.
+
+    ``after`` has the row's timestamp and ``tie_break`` columns, which must tell rows apart. However deep the
+    page lies, it is one top-k of the rows behind that one: nothing is counted or numbered, and no
+    task keeps more than ``limit`` rows.
+    """
+    if not 1 <= limit <= MAX_PAGE:
+        raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
+    after = after.asDict() if isinstance(after, Row) else after
+    time = F.col("timestamp")
+    own = F.struct(*[F.lit(after[name]).cast(quotes.schema[name].dataType).alias(name) for name in tie_break])
+    behind = F.struct(*tie_break) > own  # field by field, nulls first, as in a sort
+    if after["timestamp"] is None:
+        quotes = quotes.where((time.isNull() & behind) | time.isNotNull())
+    else:
+        limit_time = F.lit(after["timestamp"]).cast(quotes.schema["timestamp"].dataType)
+        quotes = quotes.where(time <= limit_time).where((time < limit_time) | behind)  # the first reaches the scan
+        if "event_date" in quotes.columns:
+            quotes = quotes.where(F.col("event_date") <= F.to_date(limit_time))
+    return quotes.orderBy(time.desc_nulls_first(), *tie_break).limit(limit)
+
+
 def _placed(quotes: DataFrame, tie_break: list[str], limit: int, offset: int) -> DataFrame:
     """A page deep among rows of one second: they are sorted over all tasks and numbered."""
     newest_first = quotes.withColumn("_newest", -F.unix_micros(F.col("timestamp").cast("timestamp")))

@@ -91,6 +91,18 @@ def list_quotes_deep(spark, sf_dir):
     return _listed(q.page(b.quotes(spark, sf_dir), ["event_id"], limit=500, offset=6000))
 
 
+@query(
+    "list_quotes_after",
+    f"""WITH {b.QUOTES_SQL}, days AS (SELECT * REPLACE (date_trunc('day', "timestamp") AS "timestamp") FROM quotes)
+SELECT {_LIST} FROM days ORDER BY "timestamp" DESC, event_id LIMIT 500 OFFSET 500""",
+)
+def list_quotes_after(spark, sf_dir):
+    """The second page, found by the last row of the first, among rows that share their time."""
+    rows = b.quotes(spark, sf_dir).withColumn("timestamp", F.date_trunc("day", "timestamp"))
+    first = q.page(rows, ["event_id"], limit=500).select("timestamp", "event_id").collect()
+    return _listed(q.page_after(rows, ["event_id"], first[-1], limit=500))
+
+
 @query(
     "list_quotes_range",
     f"""WITH {b.QUOTES_SQL}

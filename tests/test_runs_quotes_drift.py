@@ -152,6 +152,23 @@ def test_deep_pages_equal_direct_pages(spark, monkeypatch, offset):
     assert got == newest_first[offset : offset + 20]
 
 
+@pytest.mark.parametrize("dated", [False, True])
+def test_pages_follow_each_other_by_their_last_rows(spark, dated):
+    import random
+
+    rng = random.Random(3)
+    times = [rng.choice([None, T0, T0, T0 + timedelta(seconds=rng.randint(0, 9)), T0 + timedelta(days=3)]) for _ in range(60)]
+    keys = [(i % 7 if i % 5 else None, i) for i in range(60)]
+    frame = spark.createDataFrame([(*k, t) for k, t in zip(keys, times)], "a int, b int, timestamp timestamp").repartition(4)
+    frame = frame.withColumn("event_date", F.to_date("timestamp")) if dated else frame
+    order = sorted(range(60), key=lambda i: (times[i] is not None, -times[i].timestamp() if times[i] else 0, keys[i][0] is not None, keys[i][0] or 0, i))
+    page, got = quotes.page(frame, ["a", "b"], 13).collect(), []
+    while page:
+        got += [r["b"] for r in page]
+        page = quotes.page_after(frame, ["a", "b"], page[-1], 13).collect()
+    assert got == order
+
+
 def test_upsert_matches_the_model(spark):
     import random
 
