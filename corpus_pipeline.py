@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
 again as the next stage's documents. All stages but the last return the columns of documents. Null and
 empty texts pass the filters; empty tables give empty results; repeated rows are near duplicates of
-each other, of which one stays unless they have no words.
+each other, of which one stays unless they have no words. Of equal rows the mix may cut any one. Very long
+texts are read whole by every stage. Further columns are kept, whatever their names; the last stage replaces those
+named size, text_crc32, law, shard, slot or grown_shard.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quoteloom.llm import decontaminate, minhash, mixing, sharding, toxicity
-from quoteloom.workspace import materialize
+from quoteloom.workspace import materialize, remove_path, scratch_path
 
 SHARDS = [1.0] * 8
 
@@ -54,8 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages applied to the documents of ``sf_dir``; a stage's rows go once the next one's are written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        docs = materialize(stage(spark, docs, sf_dir), name, path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs
