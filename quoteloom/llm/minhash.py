@@ -16,7 +16,7 @@ intersection is at least 75 times their union. Shingles are compared by 64-bit h
    standard deviations below the limit), then their full sets are intersected. Only such links count.
 4. Components of the links by alternating star contractions. A bucket whose classes are all in one
    component is settled. In the others only pairs across components are left, as no other link matters.
-5. In buckets of up to ``bucket`` classes these pairs are taken directly. In larger ones an exact prefix
+5. In buckets of a few classes (``bucket``) these pairs are taken directly. In larger ones an exact prefix
    filter finds them (``_prefix_pairs``): it goes through the shingles in one order for all sets, those that
    are rare outside the main components first, and two sets whose link is possible must share one of the first few. Copies
    with more private shingles than a link allows meet nobody, however large their group is.
@@ -29,10 +29,11 @@ decided exactly.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,9 @@ SHINGLE = 5
 PERCENT = 75
 #: (bands, coordinates in a band).
 SHAPE = (32, 4)
-BUCKET = 32
+BUCKET = 8
+#: Bits of the filter that keeps texts nobody asks for out of a join; a power of two, two megabytes.
+FILTER_BITS = 1 << 24
 _BIT_WORDS = 2
 _ROUND_SHIFT = np.uint64(53)
 
@@ -184,10 +187,33 @@ def _sets(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
 
     wanted = wanted.select("class_id", F.col("member.id").alias("w_id"), F.col("member.text_key").alias("w_key"))
     texts = _texts(docs, id_column)
+    texts = texts.where(_perhaps_in(wanted.select("w_key"))(F.col("text_key")))
     chosen = texts.join(wanted, texts.id.eqNullSafe(F.col("w_id")) & (texts.text_key == F.col("w_key")))
     return chosen.select("text", "class_id").mapInArrow(run, "class_id bigint, shingles array<bigint>").dropDuplicates(["class_id"])
 
 
+def _perhaps_in(keys: DataFrame) -> Callable[[Column], Column]:
+    """A test that every one of ``keys`` (one column of hashes) passes, and few others.
+
+    It has ``FILTER_BITS`` bits whatever the number of keys. Beyond some ten million of them it lets most
+    values pass, and the join behind it decides alone.
+    """
+    place = F.col(keys.columns[0]).bitwiseAND(F.lit(FILTER_BITS - 1))
+    flag = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    rows = keys.select(F.shiftright(place, 6).alias("place"), flag.alias("flags")).groupBy("place").agg(F.bit_or("flags").alias("flags"))
+    found = rows.toArrow()  # at most FILTER_BITS / 64 rows of two longs
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[found.column("place").to_numpy()] = found.column("flags").to_numpy()
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def known(values: pd.Series) -> pd.Series:
+        place = values.to_numpy(np.int64, na_value=0) & (FILTER_BITS - 1)
+        return pd.Series((shared.value[place >> 6] >> (place & 63)) & 1 == 1)
+
+    return known
+
+
 def _linked(small: Column, large: Column) -> Column:
     return small * 100 >= large * PERCENT
 
