@@ -29,11 +29,10 @@ decided exactly.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +45,8 @@ PERCENT = 75
 #: (bands, coordinates in a band).
 SHAPE = (32, 4)
 BUCKET = 8
-#: Bits of the filter that keeps texts nobody asks for out of a join; a power of two, two megabytes.
-FILTER_BITS = 1 << 24
+#: Slots of the filter that keeps texts nobody asks for out of a join; a long each, at most.
+FILTER_SLOTS = 1 << 21
 _BIT_WORDS = 2
 _ROUND_SHIFT = np.uint64(53)
 
@@ -186,34 +185,15 @@ def _sets(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([rows.column(1), _longs(shingle_sets(chunk))], ["class_id", "shingles"])
 
     wanted = wanted.select("class_id", F.col("member.id").alias("w_id"), F.col("member.text_key").alias("w_key"))
-    texts = _texts(docs, id_column)
-    texts = texts.where(_perhaps_in(wanted.select("w_key"))(F.col("text_key")))
+    # The slots of the wanted keys: at most FILTER_SLOTS longs, so they may be broadcast at any size. Few other
+    # texts are left for the join behind them; with millions of wanted ones most pass, and it decides alone.
+    slots = wanted.select(F.pmod("w_key", F.lit(FILTER_SLOTS)).alias("slot")).distinct()
+    texts = _texts(docs, id_column).withColumn("slot", F.pmod("text_key", F.lit(FILTER_SLOTS)))
+    texts = texts.join(F.broadcast(slots), "slot", "left_semi")
     chosen = texts.join(wanted, texts.id.eqNullSafe(F.col("w_id")) & (texts.text_key == F.col("w_key")))
     return chosen.select("text", "class_id").mapInArrow(run, "class_id bigint, shingles array<bigint>").dropDuplicates(["class_id"])
 
 
-def _perhaps_in(keys: DataFrame) -> Callable[[Column], Column]:
-    """A test that every one of ``keys`` (one column of hashes) passes, and few others.
-
-    It has ``FILTER_BITS`` bits whatever the number of keys. Beyond some ten million of them it lets most
-    values pass, and the join behind it decides alone.
-    """
-    place = F.col(keys.columns[0]).bitwiseAND(F.lit(FILTER_BITS - 1))
-    flag = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-    rows = keys.select(F.shiftright(place, 6).alias("place"), flag.alias("flags")).groupBy("place").agg(F.bit_or("flags").alias("flags"))
-    found = rows.toArrow()  # at most FILTER_BITS / 64 rows of two longs
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[found.column("place").to_numpy()] = found.column("flags").to_numpy()
-    shared = keys.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def known(values: pd.Series) -> pd.Series:
-        place = values.to_numpy(np.int64, na_value=0) & (FILTER_BITS - 1)
-        return pd.Series((shared.value[place >> 6] >> (place & 63)) & 1 == 1)
-
-    return known
-
-
 def _linked(small: Column, large: Column) -> Column:
     return small * 100 >= large * PERCENT
 
