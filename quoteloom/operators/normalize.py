@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import (
     clean_symbol,
@@ -61,14 +62,26 @@ def computed_once(df: DataFrame) -> DataFrame:
 def _fields(raw: DataFrame, **paths: tuple[str, ...]) -> DataFrame:
     """Text ``<name>`` and JSON type ``<name>_kind`` of each path of the VARIANT column ``item``.
 
-    The type is null for an absent field and VOID for a JSON null.
+    The type is null for an absent field and VOID for a JSON null. An object is gone through once for all
+    of its fields, since a lookup by path compares its keys from the first on; the fields of an object inside
+    another need a path to that object too. Unlike a function of the row, the generator is not copied.
     """
+    holders = {(): "item", **{keys: name for name, keys in paths.items()}}
+    values = raw.select("payload", "arrival", "item")
+    for holder in sorted({keys[:-1] for keys in paths.values()}, key=len):
+        inside = {name: keys[-1] for name, keys in paths.items() if keys[:-1] == holder}
+        kind = T.StructType([T.StructField(key, T.VariantType()) for key in inside.values()]).simpleString()
+        found = F.try_variant_get(holders[holder], "$", kind)
+        values = values.select("*", F.inline(F.array(found)).alias(*inside))
     columns = []
-    for name, keys in paths.items():
-        value = F.try_variant_get("item", "$" + "".join(f".{key}" for key in keys), "variant")
-        columns.append(variant_text("item", *keys).alias(name))
-        columns.append(F.schema_of_variant(value).alias(f"{name}_kind"))
-    return computed_once(raw.select("payload", "arrival", *columns))
+    for name in paths:
+        columns += [variant_text(name).alias(name), F.schema_of_variant(name).alias(f"{name}_kind")]
+    return values.select("payload", "arrival", *columns)
+
+
+def _with_numbers(fields: DataFrame, *names: str) -> DataFrame:
+    """Replace the texts of ``names`` by the doubles they stand for."""
+    return fields.withColumns({name: _lenient_number(name) for name in names})
 
 
 def _absent(name: str) -> Column:
@@ -99,7 +112,7 @@ def _lenient_number(name: str) -> Column:
 
 def _strict_number_ok(name: str) -> Column:
     """A strict numeric field accepts null, numbers and numeric text, but no "N/A" or other text."""
-    return _absent(name) | _lenient_number(name).isNotNull()
+    return _absent(name) | F.col(name).isNotNull()
 
 
 def _optional_text_ok(name: str) -> Column:
@@ -209,9 +222,9 @@ def _json_columns() -> dict[str, Column]:
         "source_id": F.col("id"),
         "name": F.col("name"),
         "symbol": clean_symbol(F.col("symbol")),
-        "price": _lenient_number("price"),
-        "cap": _lenient_number("cap"),
-        "volume": _lenient_number("volume"),
+        "price": F.col("price"),
+        "cap": F.col("cap"),
+        "volume": F.col("volume"),
         "raw_id": F.col("id"),
         "raw_symbol": F.col("symbol"),
     }
@@ -227,6 +240,7 @@ def normalize_markets(raw: DataFrame, source: str = "coingecko", run_ts: datetim
         raw, id=("id",), symbol=("symbol",), name=("name",), price=("current_price",), cap=("market_cap",),
         volume=("total_volume",), updated=("last_updated",),
     )
+    fields = _with_numbers(fields, "price", "cap", "volume")
     checks = [
         ("bad_id", _is("id", "STRING")),
         ("bad_symbol", _is("symbol", "STRING")),
@@ -244,7 +258,8 @@ def normalize_tickers(raw: DataFrame, source: str = "coinpaprika", run_ts: datet
         raw, id=("id",), symbol=("symbol",), name=("name",), rank=("rank",), quotes=("quotes",), usd=usd,
         price=(*usd, "price"), cap=(*usd, "market_cap"), volume=(*usd, "volume_24h"), updated=("last_updated",),
     )
-    rank = _lenient_number("rank")
+    fields = _with_numbers(fields, "rank", "price", "cap", "volume")
+    rank = F.col("rank")
     no_usd = F.col("usd_kind").isNull()
     checks = [
         ("bad_id", _is("id", "STRING")),
