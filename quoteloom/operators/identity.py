@@ -30,7 +30,9 @@ def source_id_map(raw: DataFrame) -> DataFrame:
     """
     keyed = raw.select("source", F.upper("raw_symbol").alias("symbol"), "raw_id", "arrival")
     usable = keyed.where("raw_id <> '' AND symbol <> ''")
-    return usable.groupBy("source", "symbol").agg(F.max_by("raw_id", "arrival").alias("source_id"))
+    # Symbol first: the aggregate sorts, and rows of one batch have one source.
+    ids = usable.groupBy("symbol", "source").agg(F.max_by("raw_id", "arrival").alias("source_id"))
+    return ids.select("source", "symbol", "source_id")
 
 
 def attach_source_ids(records: DataFrame, id_map: DataFrame) -> DataFrame:
@@ -108,10 +110,10 @@ def resolve_entities(
     first_row = F.min_by(F.struct("name", "arrival"), "arrival").alias("_first")
     if use_record_source_id:
         sid = first_filled(F.col("source_id"), F.col("symbol"))
-        keys = records.groupBy("source", "symbol", sid.alias("sid")).agg(first_row)
+        keys = records.groupBy("symbol", sid.alias("sid"), "source").agg(first_row)
         key_columns: tuple[str, ...] = ("source", "symbol", "source_id")
     else:
-        keys = records.groupBy("source", "symbol").agg(first_row)
+        keys = records.groupBy("symbol", "source").agg(first_row)  # symbol first, as in source_id_map
         id_map = source_id_map(raw) if raw is not None else None
         if id_map is None:
             keys = keys.withColumn("sid", F.col("symbol"))

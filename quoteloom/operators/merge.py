@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from ..schemas import QUOTE_KEY, QUOTE_UPDATES
 
 
-def last_per_key(df: DataFrame, keys: list[str], arrival: str = "arrival") -> DataFrame:
-    """The last row per key in arrival order.
+def last_per_key(
+    df: DataFrame, keys: list[str], arrival: str = "arrival", keep_arrival: bool = True
+) -> DataFrame:
+    """The last row per key in arrival order, without the ``arrival`` column unless it is kept.
 
     An aggregate rather than a window: each task keeps one row per key before the shuffle, so a key
-    that holds much of the data does not gather in one task.
+    that holds much of the data does not gather in one task. A kept arrival is shuffled twice, as the
+    order and in the row.
     """
-    rest = [c for c in df.columns if c not in keys]
+    columns = [c for c in df.columns if keep_arrival or c != arrival]
+    rest = [c for c in columns if c not in keys]
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), arrival).alias("_row"))
-    return last.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    return last.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*columns)
 
 
 def first_per_key(df: DataFrame, keys: list[str], arrival: str = "arrival") -> DataFrame:

@@ -239,7 +239,7 @@ def _load(
     quotes = resolution.attach(good).select(
         *QUOTE_KEY, "symbol", "price_usd", "market_cap", "volume_24h", "arrival"
     )
-    batch = merge.last_per_key(quotes, QUOTE_KEY).drop("arrival").withColumn("ingested_at", now)
+    batch = merge.last_per_key(quotes, QUOTE_KEY, keep_arrival=False).withColumn("ingested_at", now)
     affected = stage.upsert_quotes(materialize(with_event_date(batch), "batch"))
     checkpoint = from_micros(totals["newest"])
     return RunResult(

@@ -141,7 +141,7 @@ def stream_table(
         if batch_id <= store.last_batch(stream).number:
             return
         recover(store)
-        last = merge.last_per_key(part, keys).drop("arrival")
+        last = merge.last_per_key(part, keys, keep_arrival=False)
         stage = store.stage_quotes(materialize(with_event_date(last), "batch"), f"stream-{batch_id}")
         stage.commit(**StreamPart(stream, batch_id).done(stage.head, None))
 

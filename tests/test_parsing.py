@@ -5,9 +5,10 @@ import re
 from datetime import datetime, timezone
 
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
-from quoteloom.operators import normalize
+from quoteloom.operators import merge, normalize
 from quoteloom.sources import json_feeds
 
 RUN_TS = datetime(2024, 6, 1, tzinfo=timezone.utc)
@@ -54,3 +55,15 @@ def test_a_json_load_goes_through_each_object_once(spark, folder, feed):
     parse = normalize.normalize_markets if feed == "markets" else normalize.normalize_tickers
     plan = parse(pages, feed, RUN_TS)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"variant_get\(item#", plan)) == 1
+
+
+def test_last_per_key_leaves_the_arrival_out_of_the_row(spark):
+    quotes = spark.createDataFrame(
+        [(1, None, 5.0, ("f", 1)), (1, None, None, ("f", 2)), (2, "a", 1.0, ("g", 0)), (2, "a", 2.0, ("f", 9))],
+        "coin_id long, source string, price double, arrival struct<file: string, position: long>",
+    )
+    kept = merge.last_per_key(quotes, ["coin_id", "source"])
+    bare = merge.last_per_key(quotes, ["coin_id", "source"], keep_arrival=False)
+    assert rows(bare) == rows(kept.drop("arrival")) == [(1, None, None), (2, "a", 1.0)]
+    row = re.search(r"max_by\(struct\(([^)]*)\)", bare._jdf.queryExecution().optimizedPlan().toString()).group(1)
+    assert "price" in row and "arrival" not in row
